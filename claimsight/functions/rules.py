@@ -37,9 +37,18 @@ def money(x, decimals: int = 2) -> Column:
     return F.concat(F.lit("£"), F.format_number(_c(x), decimals))
 
 
+def fixed(x, decimals: int) -> Column:
+    """Fixed-point text without grouping, rounded half-even on the exact binary value.
+
+    ``format_number`` rounds like Python's ``format``; ``format_string('%.1f')``
+    would round half-up (0.25 -> 0.3 instead of 0.2).
+    """
+    return F.regexp_replace(F.format_number(_c(x), decimals), ",", "")
+
+
 def percent(x) -> Column:
     """One decimal and a percent sign (C4)."""
-    return F.format_string("%.1f%%", _c(x))
+    return F.concat(fixed(x, 1), F.lit("%"))
 
 
 # --------------------------------------------------------------------------- C5-C7
@@ -63,7 +72,7 @@ def insights(prediction, delay_hours="FNOL_Delay", driver_age="Driver_Age",
             "Escalate to claims manager and fraud investigation team", "High")),
         F.when(d > delay_threshold, _insight(
             "warning", "Delayed FNOL Reporting",
-            F.format_string("Claim reported %.0f hours after incident.", d),
+            F.concat(F.lit("Claim reported "), fixed(d, 0), F.lit(" hours after incident.")),
             "Request detailed incident timeline; check for fraud indicators", "Medium")),
         F.when(age < 25, _insight(
             "info", "Young Driver Risk Profile", F.lit("Driver age suggests higher risk category."),
@@ -73,7 +82,8 @@ def insights(prediction, delay_hours="FNOL_Delay", driver_age="Driver_Age",
             "Ensure clear communication and customer support", "Low")),
         F.when(v > 15, _insight(
             "warning", "Older Vehicle Assessment",
-            F.format_string("Vehicle age (%.0f years) may affect repair economics.", v.cast("double")),
+            F.concat(F.lit("Vehicle age ("), fixed(v.cast("double"), 0),
+                     F.lit(" years) may affect repair economics.")),
             "Evaluate total loss vs. repair cost-effectiveness", "Medium")),
         F.when(w.isin(*K.ADVERSE_WEATHER), _insight(
             "info", "Adverse Weather Conditions",

@@ -295,7 +295,7 @@ def savings_summary(df: DataFrame, **kw) -> DataFrame:
         row(5, "Total Savings", "All drivers", "total_savings", "Sum of the four categories",
             lambda v: R.money(v, 0)),
         row(6, "Automation ROI", "Severity Triage", "automation_roi_pct",
-            "Automation savings / monthly model cost", lambda v: F.format_string("%.1f%%", v)),
+            "Automation savings / monthly model cost", R.percent),
     )
     return d.select(F.inline(rows))
 

@@ -122,9 +122,43 @@ PREFIX = "WITH " + ",".join([CLAIMS_CTE, POLICIES_CTE, MERGED_CTE, IMPUTED_CTE,
                              FEATURES_CTE, SCORED_CTE]) + "\n"
 
 
+def half_up(body: str) -> str:
+    """Rewrite every ``round(expr, d)`` as ``floor(expr * 10^d + 0.5) / 10^d``.
+
+    The Spark side rounds with the same double arithmetic
+    (:func:`claimsight.plans.catalog.rnd`), so both engines round identically
+    even where a value sits on a decimal half.
+    """
+    out, i, low = [], 0, body.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(body[i:])
+                return "".join(out)
+            out.append(body[i:j + 6])
+            i = j + 6
+            continue
+        out.append(body[i:j])
+        depth, k, comma = 1, j + 6, -1
+        while depth:
+            ch = body[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner = half_up(body[j + 6:comma])
+        digits = int(body[comma + 1:k - 1].strip())
+        out.append(f"(floor(({inner}) * 1e{digits} + 0.5) / 1e{digits})")
+        i = k
+
+
 def sql(body: str) -> str:
     """Full oracle SQL: the shared CTEs plus ``body`` (more CTEs and/or a SELECT)."""
-    body = body.strip()
+    body = half_up(body.strip())
     if body.upper().startswith("SELECT"):
         return PREFIX + body
     # body starts with extra CTEs: "name AS (...), ... SELECT ..."
