@@ -340,13 +340,13 @@ def prediction_variance(preds: DataFrame, key: str = "Claim_ID", value: str = "p
     few = F.col("n") < 2
     cv = F.when(F.col("m") > 0, F.col("s") / F.col("m") * F.lit(100.0)).otherwise(F.lit(0.0))
     out = g.select(
-        key,
+        key, "n",
         F.when(few, F.lit(0.0)).otherwise(F.col("m")).alias("mean"),
         F.when(few, F.lit(0.0)).otherwise(F.col("s")).alias("std"),
         F.when(few, F.lit(0.0)).otherwise(cv).alias("cv"))
     return out.withColumn("confidence", F.when(few, "Low")
                           .when(F.col("cv") < K.CV_HIGH_CONFIDENCE, "High")
-                          .when(F.col("cv") < K.CV_MEDIUM_CONFIDENCE, "Medium").otherwise("Low"))
+                          .when(F.col("cv") < K.CV_MEDIUM_CONFIDENCE, "Medium").otherwise("Low")).drop("n")
 
 
 def category_vocabulary(df: DataFrame, cols: Sequence[str] = K.CATEGORICAL_FEATURES) -> DataFrame:

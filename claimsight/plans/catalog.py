@@ -84,3 +84,5 @@ def ts_text(df: DataFrame, *cols: str) -> DataFrame:
 # Import the query modules so that they register themselves.
 from claimsight.plans import queries_core  # noqa: E402,F401
 from claimsight.plans import queries_features  # noqa: E402,F401
+from claimsight.plans import queries_analytics  # noqa: E402,F401
+from claimsight.plans import queries_models  # noqa: E402,F401
