@@ -45,8 +45,20 @@ UPLOAD_TYPES = {
 
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("mode", mode)
-            .option("enforceSchema", False).csv(path))
+    """Header CSV matched to ``schema`` by column *name* (any order).
+
+    Every column is read as text (no inference pass), then cast; text that is
+    not a number becomes NULL.  Columns the schema lacks are kept as text;
+    schema columns missing from the file are absent from the result.
+    """
+    raw = spark.read.option("header", True).option("mode", mode).csv(path)
+    types = {f.name: f.dataType for f in schema.fields}
+    out = []
+    for c in raw.columns:
+        t = types.get(c)
+        out.append(F.col(f"`{c}`") if t is None or isinstance(t, T.StringType)
+                   else F.trim(F.col(f"`{c}`")).try_cast(t).alias(c))
+    return raw.select(*out)
 
 
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
