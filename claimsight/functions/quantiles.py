@@ -32,19 +32,23 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .where(F.col("v").isNotNull() & ~F.isnan("v")))
 
 
-def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[int, Iterable[int]],
+def order_statistics(df: DataFrame, cols: Sequence[str], ranks,
                      buckets: int = 4096, final_rows: int = 100_000,
                      max_passes: int = 64) -> dict[tuple[int, int], float]:
     """Exact 0-based order statistics ``{(col_index, rank): value}``.
 
-    ``df`` must already hold only the rows to rank (NULL/NaN are skipped).
+    ``ranks`` is ``{col_index: ranks}`` or a function of the per-column
+    non-NULL counts returning that dict (so that one pass yields counts, min
+    and max).  NULL/NaN are skipped.
     """
     spark = df.sparkSession
     long_df = _long_values(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = {r["k"]: r for r in long_df.groupBy("k").agg(
             F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        # search state per (k, rank): [lo, hi, below]
+        if callable(ranks):
+            ranks = ranks({k: stats[k]["n"] if k in stats else 0 for k in range(len(cols))})
+        # search state per (k, rank): [lo, hi, below, count in range]
         state: dict[tuple[int, int], list] = {}
         result: dict[tuple[int, int], float] = {}
         for k, rs in ranks.items():
@@ -118,21 +122,22 @@ def _finish_small(long_df: DataFrame, small: dict, result: dict) -> None:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     **kw) -> dict[str, dict[float, float | None]]:
     """``{col: {p: value}}`` with linear interpolation; empty column gives None."""
-    counts = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
-                      for i, c in enumerate(cols)]).first()
     plan: dict[tuple[int, float], tuple[int, int, float]] = {}
-    ranks: dict[int, set] = {}
-    for i, _ in enumerate(cols):
-        n = counts[f"n{i}"]
-        if not n:
-            continue
-        for p in probs:
-            pos = p * (n - 1)
-            lo = int(math.floor(pos))
-            hi = min(lo + 1, n - 1)
-            plan[(i, p)] = (lo, hi, pos - lo)
-            ranks.setdefault(i, set()).update({lo, hi})
-    stats = order_statistics(df, cols, ranks, **kw) if ranks else {}
+
+    def ranks_for(counts: dict[int, int]) -> dict[int, set]:
+        ranks: dict[int, set] = {}
+        for i, n in counts.items():
+            if not n:
+                continue
+            for p in probs:
+                pos = p * (n - 1)
+                lo = int(math.floor(pos))
+                hi = min(lo + 1, n - 1)
+                plan[(i, p)] = (lo, hi, pos - lo)
+                ranks.setdefault(i, set()).update({lo, hi})
+        return ranks
+
+    stats = order_statistics(df, cols, ranks_for, **kw)
     out: dict[str, dict[float, float | None]] = {}
     for i, c in enumerate(cols):
         out[c] = {}
@@ -163,11 +168,30 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def mode_value(df: DataFrame, col: str):
-    """Most frequent non-NULL value, smallest on ties; None when all NULL.
+    """Most frequent non-NULL value, smallest on ties; None when all NULL."""
+    return mode_values(df, [col])[col]
 
-    A distributed ``groupBy`` with map-side combine, then a top-1 -- never a
-    single buffer of all values.
+
+def mode_values(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Modes of several columns, one job per column type.
+
+    (column, value) pairs are counted by a distributed ``groupBy`` with
+    map-side combine; a second aggregation keeps, per column, the minimum of
+    ``(-count, value)`` -- the most frequent value, smallest on ties (in the
+    column's own ordering).  The driver receives one row per column; no group
+    is ever gathered in one task.
     """
-    row = (df.where(F.col(col).isNotNull()).groupBy(col).count()
-           .orderBy(F.desc("count"), F.asc(col)).limit(1).first())
-    return None if row is None else row[col]
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = {}
+    for group in by_type.values():
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("k"), F.col(c).alias("v")) for i, c in enumerate(group)
+        ])).alias("e")).select("e.k", "e.v").where(F.col("v").isNotNull())
+        counts = pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("k").agg(
+            F.min(F.struct((-F.col("n")).alias("nn"), F.col("v").alias("v"))).alias("b"))
+        found = {r["k"]: r["b"]["v"] for r in best.collect()}
+        out.update({c: found.get(i) for i, c in enumerate(group)})
+    return {c: out.get(c) for c in cols}

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from claimsight import config as K
 from claimsight.functions import dates as D
 from claimsight.functions import rules as R
-from claimsight.functions.quantiles import approx_quantiles, exact_quantiles, mode_value
+from claimsight.functions.quantiles import approx_quantiles, exact_quantiles, mode_values
 from claimsight.operators.joins import attach_group_mean
 
 
@@ -64,11 +64,8 @@ def impute_mean(df: DataFrame, cols: Sequence[str] = K.NUMERIC_IMPUTE_COLUMNS) -
 
 def impute_mode(df: DataFrame, cols: Sequence[str] = K.CATEGORICAL_IMPUTE_COLUMNS) -> DataFrame:
     """Fill NULLs with the most frequent value (smallest value on ties)."""
-    repl = {}
-    for c in _present(df, cols):
-        m = mode_value(df, c)
-        if m is not None:
-            repl[c] = F.coalesce(F.col(c), F.lit(m))
+    modes = mode_values(df, _present(df, cols))
+    repl = {c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items() if m is not None}
     return df.withColumns(repl) if repl else df
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsight import config as K
-from claimsight.functions.quantiles import exact_quantiles, mode_value
+from claimsight.functions.quantiles import exact_quantiles, mode_values
 from claimsight.operators import metrics as M
 from claimsight.plans.scoring import enrich_predictions
 
@@ -58,7 +58,7 @@ def fit_feature_pipeline(train: DataFrame, numeric: Sequence[str] = K.NUMERIC_FE
     numeric = [c for c in numeric if c in train.columns]
     categorical = [c for c in categorical if c in train.columns]
     stats = numeric_statistics(train, numeric)
-    modes = {c: mode_value(train, c) for c in categorical}
+    modes = mode_values(train, categorical)
     exprs = numeric_expressions(stats)
     for c in categorical:
         fill = "NULL" if modes[c] is None else "'" + str(modes[c]).replace("'", "''") + "'"

@@ -150,8 +150,12 @@ def half_up(body: str) -> str:
             elif ch == "," and depth == 1:
                 comma = k
             k += 1
+        if comma < 0:  # round(x): no digits
+            comma = k - 1
+            digits = 0
+        else:
+            digits = int(body[comma + 1:k - 1].strip())
         inner = half_up(body[j + 6:comma])
-        digits = int(body[comma + 1:k - 1].strip())
         out.append(f"(floor(({inner}) * 1e{digits} + 0.5) / 1e{digits})")
         i = k
 

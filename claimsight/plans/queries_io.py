@@ -58,16 +58,22 @@ def q_split_roundtrip(spark, sf):
 
 
 @register("upload_roundtrip", """
-SELECT Claim_Type, CAST(count(*) AS BIGINT) AS claims, round(sum(Estimated_Claim_Amount), 2) AS estimate
+SELECT Claim_Type, CAST(count(*) AS BIGINT) AS claims,
+  CAST(sum(CAST(round(Estimated_Claim_Amount * 1000) AS BIGINT)) AS BIGINT) AS estimate_milli,
+  CAST(count(*) FILTER (WHERE FNOL_Date IS NOT NULL) AS BIGINT) AS dated
 FROM features GROUP BY 1""")
 def q_upload_roundtrip(spark, sf):
-    """Export claims as CSV, read them back as an upload with parsed dates."""
+    """Export claims as CSV, read them back as an upload with parsed dates.
+
+    The estimate total is compared in exact integer thousandths: a float sum
+    can sit on a rounding half.
+    """
     path = _run_dir(spark, "upload")
     export_csv(prepared(spark, sf).select(*UPLOAD_COLUMNS), path)
     up = read_upload(spark, path)
-    out = up.groupBy("Claim_Type").agg(F.count(F.lit(1)).alias("claims"),
-                                       F.sum("Estimated_Claim_Amount").alias("estimate"))
-    return out.withColumn("estimate", F.floor(F.col("estimate") * 100 + 0.5) / 100)
+    milli = F.round(F.col("Estimated_Claim_Amount") * 1000).cast("bigint")
+    return up.groupBy("Claim_Type").agg(F.count(F.lit(1)).alias("claims"), F.sum(milli).alias("estimate_milli"),
+                                        F.count("FNOL_Date").alias("dated"))
 
 
 @register("demo_views")

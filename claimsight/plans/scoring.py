@@ -10,6 +10,8 @@ fitted MLlib model can be applied with :func:`claimsight.operators.ml.score`.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,17 @@ from claimsight.sources.tables import fixture_claims, fixture_policies
 
 
 def prepared_claims(spark: SparkSession, sf_dir: str, median_method: str = "exact",
-                    **thresholds) -> DataFrame:
+                    write_join: bool = True, **thresholds) -> DataFrame:
+    """Claims joined to policies, cleaned and featurised.
+
+    With ``write_join`` the joined table is written once to the shared
+    checkpoint folder: the imputation statistics then scan only the columns
+    they need from Parquet instead of recomputing the shuffle join per
+    statistic, and a lost executor recomputes from the written table.
+    """
     merged = merge_claims_policies(fixture_claims(spark, sf_dir), fixture_policies(spark, sf_dir))
+    if write_join:
+        merged = materialize(spark, merged, f"joined/{uuid.uuid4().hex}")
     return derive_features(merged, median_method=median_method, **thresholds)
 
 

@@ -21,6 +21,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
