@@ -72,6 +72,11 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
              .withColumn("__bidx", F.pmod(F.xxhash64(F.col(id_col), F.col("__s"), F.lit(seed)),
                                           F.lit(n_bg)).cast("int")))
     pairs = pairs.join(F.broadcast(bg), "__bidx")
+    # The explained rows often come from a top-n sample (a single partition);
+    # spread the (row, sample) pairs before the features x 2 expansion.
+    n_parts = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # by id only: the final groupBy(id, feature) then needs no second shuffle
+    pairs = pairs.repartition(n_parts, id_col)
     ranks = [F.xxhash64(F.col(id_col), F.col("__s"), F.lit(i), F.lit(seed + 1)) for i in range(nf)]
     pairs = pairs.withColumn("__r", F.array(*ranks))
     # one row per (row, sample, feature j, with/without j)
@@ -86,8 +91,6 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
         cols[f] = (F.when(own, F.when(F.col("__with"), F.col(f)).otherwise(F.col(f"__b_{f}")))
                    .when(before, F.col(f)).otherwise(F.col(f"__b_{f}")))
     mixed = mixed.withColumns(cols).select(id_col, "__s", "__j", "__with", *feats)
-    if partitions:
-        mixed = mixed.repartition(partitions, id_col)
     scored = scorer(mixed)
     signed = F.when(F.col("__with"), F.col("prediction")).otherwise(-F.col("prediction"))
     contrib = scored.groupBy(id_col, "__j").agg((F.sum(signed) / F.lit(float(samples))).alias("contribution"))

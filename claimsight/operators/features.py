@@ -18,7 +18,7 @@ from claimsight import config as K
 from claimsight.functions import dates as D
 from claimsight.functions import rules as R
 from claimsight.functions.quantiles import approx_quantiles, exact_quantiles, mode_values
-from claimsight.operators.joins import attach_group_mean
+from claimsight.operators.joins import attach_group_mean, attach_lookup
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -144,8 +144,8 @@ def estimate_features(df: DataFrame, type_means: DataFrame | None = None) -> Dat
     if type_means is None:
         df = attach_group_mean(df, "Claim_Type", "Estimated_Claim_Amount", "Type_Avg_Estimate")
     else:
-        from claimsight.operators.joins import join_small
-        df = join_small(df, type_means.select("Claim_Type", "Type_Avg_Estimate"), "Claim_Type", "left")
+        df = attach_lookup(df.drop("Type_Avg_Estimate"), type_means.dropDuplicates(["Claim_Type"]),
+                           "Claim_Type", "Type_Avg_Estimate")
     return df.withColumns({
         "Estimate_Relative_to_Type": F.try_divide(est, F.col("Type_Avg_Estimate")),
         "Complexity_Score": _flag(F.col("Traffic_Condition").isin(*K.COMPLEX_TRAFFIC)

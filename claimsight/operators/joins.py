@@ -54,16 +54,38 @@ def merge_claims_policies(claims: DataFrame, policies: DataFrame,
 
 
 def attach_group_mean(df: DataFrame, key: str, value: str, out: str,
-                      max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                      max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                      max_literal_keys: int = 10_000) -> DataFrame:
     """Group-transform mean (J2/W1): each row gets the mean of ``value`` over its ``key``.
 
     Rows whose key is NULL get NULL (NULL keys form no group).  Written as a
-    partial aggregate joined back instead of ``avg().over(partitionBy(key))``:
-    a window over a low-cardinality key would pull every row of a key into one
-    sorted task, while the aggregate shuffles one partial row per key and task.
+    partial aggregate instead of ``avg().over(partitionBy(key))``: a window
+    over a low-cardinality key would pull every row of a key into one sorted
+    task, while the aggregate shuffles one partial row per key and task.
     """
     means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value).alias(out))
-    return join_small(df, means, key, "left", max_rows)
+    return attach_lookup(df, means, key, out, max_rows, max_literal_keys)
+
+
+def attach_lookup(df: DataFrame, table: DataFrame, key: str, out: str,
+                  max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_literal_keys: int = 10_000) -> DataFrame:
+    """Attach ``table[out]`` by a unique ``key``.
+
+    Up to ``max_literal_keys`` keys (checked by fetching at most one more row)
+    the table becomes a literal map expression: no join at all, and queries
+    that do not use ``out`` prune it away.  Larger tables are joined with
+    :func:`join_small` (broadcast behind a row-count check, else a shuffle join).
+    """
+    rows = table.select(key, out).limit(max_literal_keys + 1).collect()
+    if len(rows) <= max_literal_keys:
+        if not rows:
+            return df.withColumn(out, F.lit(None).cast(table.schema[out].dataType))
+        pairs = []
+        for r in rows:
+            pairs += [F.lit(r[0]), F.lit(r[1])]
+        lookup = F.create_map(*pairs)
+        return df.withColumn(out, F.when(F.col(key).isNotNull(), F.element_at(lookup, F.col(key))))
+    return join_small(df, table.select(key, out), key, "left", max_rows)
 
 
 def monthly_high_share(df: DataFrame, month_col: str, amount: str, threshold: float) -> DataFrame:
