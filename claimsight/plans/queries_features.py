@@ -332,3 +332,21 @@ def q_validate_upload_scored(spark, sf):
 @register("shape", "SELECT CAST(count(*) AS BIGINT) AS \"rows\", CAST(28 AS BIGINT) AS columns FROM features")
 def q_shape(spark, sf):
     return Q.shape(prepared(spark, sf))
+
+
+@register("type_report")
+def q_type_report(spark, sf):
+    """Column name and Spark type of the prepared claims (Q3)."""
+    return Q.type_report(prepared(spark, sf))
+
+
+@register("quality_gate")
+def q_quality_gate(spark, sf):
+    """The preparation's quality gate on the joined claims (Q4): one row per check."""
+    rep = Q.validate(merged(spark, sf), raise_on_failure=False)
+    rows = [("rows", str(rep["shape"][0])), ("columns", str(rep["shape"][1])),
+            ("total_missing", str(rep["missing_values"]["total_missing"])),
+            ("critical_missing", ",".join(rep["missing_values"]["critical_missing"])),
+            ("duplicate_rows", str(rep["duplicate_rows"]["count"])),
+            ("validation_passed", str(rep["validation_passed"]))]
+    return spark.createDataFrame(rows, "check string, value string")

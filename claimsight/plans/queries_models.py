@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from claimsight import config as K
@@ -223,3 +224,50 @@ def q_compare_models(spark, sf):
     _, table = ML.retrain(prepared(spark, sf), ["elastic_net", "gradient_boosting"],
                           {k: _SMALL[k] for k in ("elastic_net", "gradient_boosting")})
     return table.drop("params")
+
+
+@register("feature_pipeline")
+def q_feature_pipeline(spark, sf):
+    """Fitted preprocessing (M2-M4): slot names of the assembled vector and their train means."""
+    df = prepared(spark, sf)
+    train, _ = train_test_split(df)
+    prep = ML.fit_feature_pipeline(ML.with_label(train))
+    out = prep.transform(df)
+    names = ML.feature_names(out)
+    means = out.select(vector_to_array("features").alias("v")).agg(
+        *[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(len(names))]).first()
+    return spark.createDataFrame([(i, n, float(means[f"m{i}"])) for i, n in enumerate(names)],
+                                 "slot int, feature string, mean double")
+
+
+def _fitted_gbt(spark, sf):
+    df = prepared(spark, sf)
+    train, test = train_test_split(df)
+    tm = ML.fit_model(train, "gradient_boosting", _SMALL["gradient_boosting"])
+    return df, train, test, tm
+
+
+@register("shapley_model")
+def q_shapley_model(spark, sf):
+    """Sampled Shapley values (log scale) of a boosted-tree model for 500 sampled test claims."""
+    df, train, test, tm = _fitted_gbt(spark, sf)
+    feats = [c for c in list(K.NUMERIC_FEATURES) + list(K.CATEGORICAL_FEATURES) if c in df.columns]
+    rows = sample_n(test, 500).select("Claim_ID", *feats)
+
+    def scorer(d):
+        return tm.model.transform(d).drop("features")
+
+    contrib = X.shapley_sampling(rows, train.select("Claim_ID", *feats), scorer, feats, samples=8,
+                                 background_rows=50)
+    return X.global_importance(contrib, k=20)
+
+
+@register("ale_model")
+def q_ale_model(spark, sf):
+    """ALE of the driver's age on a boosted-tree model's currency-scale prediction."""
+    df, _, test, tm = _fitted_gbt(spark, sf)
+
+    def scorer(d):
+        return tm.model.transform(d).withColumn("prediction", F.expm1("prediction"))
+
+    return X.ale(test, scorer, "Driver_Age", bins=10)
