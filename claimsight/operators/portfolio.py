@@ -349,6 +349,28 @@ def prediction_variance(preds: DataFrame, key: str = "Claim_ID", value: str = "p
                           .when(F.col("cv") < K.CV_MEDIUM_CONFIDENCE, "Medium").otherwise("Low")).drop("n")
 
 
+def prediction_variance_wide(df: DataFrame, cols: Sequence[str], key: str = "Claim_ID") -> DataFrame:
+    """G20 when each model's prediction is a column of the same row: no shuffle.
+
+    Mean and population std over the non-NULL predictions of the row, with
+    higher-order array functions (JVM-side); same rules as the long form.
+    """
+    arr = F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
+    g = df.select(key, arr.alias("__p")).withColumn("n", F.size("__p"))
+    g = g.withColumn("m", F.aggregate("__p", F.lit(0.0), lambda acc, x: acc + x) / F.col("n"))
+    g = g.withColumn("s", F.sqrt(F.aggregate("__p", F.lit(0.0),
+                                             lambda acc, x: acc + (x - F.col("m")) * (x - F.col("m")))
+                                 / F.col("n")))
+    few = F.col("n") < 2
+    cv = F.when(F.col("m") > 0, F.col("s") / F.col("m") * F.lit(100.0)).otherwise(F.lit(0.0))
+    out = g.select(key, "n", F.when(few, F.lit(0.0)).otherwise(F.col("m")).alias("mean"),
+                   F.when(few, F.lit(0.0)).otherwise(F.col("s")).alias("std"),
+                   F.when(few, F.lit(0.0)).otherwise(cv).alias("cv"))
+    return out.withColumn("confidence", F.when(few, "Low")
+                          .when(F.col("cv") < K.CV_HIGH_CONFIDENCE, "High")
+                          .when(F.col("cv") < K.CV_MEDIUM_CONFIDENCE, "Medium").otherwise("Low")).drop("n")
+
+
 def category_vocabulary(df: DataFrame, cols: Sequence[str] = K.CATEGORICAL_FEATURES) -> DataFrame:
     """Sorted distinct non-NULL values per categorical column and their encoded names."""
     cols = [c for c in cols if c in df.columns]

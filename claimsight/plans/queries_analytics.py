@@ -372,7 +372,7 @@ def q_feature_statistics(spark, sf):
                {c: 4 for c in ("mean", "median", "std", "min", "max", "q25", "q75")})
 
 
-@register("prediction_variance", """
+ORACLE_PREDICTION_VARIANCE = """
 l AS (SELECT Claim_ID, Predictions AS prediction FROM scored
       UNION ALL SELECT Claim_ID, Estimated_Claim_Amount FROM scored),
 g AS (SELECT Claim_ID, count(prediction) AS n, avg(prediction) AS m, stddev_pop(prediction) AS s FROM l GROUP BY 1),
@@ -380,7 +380,10 @@ o AS (SELECT Claim_ID, CASE WHEN n < 2 THEN 0 ELSE m END AS mean, CASE WHEN n <
         CASE WHEN n < 2 THEN 0 WHEN m > 0 THEN s / m * 100 ELSE 0 END AS cv, n FROM g)
 SELECT Claim_ID, round(mean, 4) AS mean, round(std, 4) AS std, round(cv, 6) AS cv,
   CASE WHEN n < 2 THEN 'Low' WHEN cv < 10 THEN 'High' WHEN cv < 25 THEN 'Medium' ELSE 'Low' END AS confidence
-FROM o""")
+FROM o"""
+
+
+@register("prediction_variance", ORACLE_PREDICTION_VARIANCE)
 def q_prediction_variance(spark, sf):
     """Spread between the model's prediction and the handler's estimate, per claim."""
     df = scored(spark, sf)
@@ -430,3 +433,11 @@ SELECT 'alert-medium', '📊 Elevated Average Claim Cost',
   ') exceeds industry benchmarks. Consider enhanced fraud detection protocols.' FROM a WHERE avg_claim > 15000""")
 def q_dashboard_alerts(spark, sf):
     return P.dashboard_alerts(scored(spark, sf))
+
+
+@register("prediction_variance_wide", ORACLE_PREDICTION_VARIANCE)
+def q_prediction_variance_wide(spark, sf):
+    """G20 with both predictions as columns of the claim's row: computed row-wise, no shuffle."""
+    df = scored(spark, sf)
+    return rnd(P.prediction_variance_wide(df, ["Predictions", "Estimated_Claim_Amount"]),
+               {"mean": 4, "std": 4, "cv": 6})

@@ -53,9 +53,11 @@ def q_numeric_branch(spark, sf):
 
 @register("loglinear_baseline", "SELECT round(a, 9) AS intercept, round(b, 9) AS slope FROM baseline")
 def q_loglinear_baseline(spark, sf):
-    a, b = _baseline(spark, sf)
-    return rnd(prepared(spark, sf).limit(1).select(F.lit(a).alias("intercept"), F.lit(b).alias("slope")),
-               {"intercept": 9, "slope": 9})
+    """The M10 fit itself: one aggregate over the training split."""
+    train = prepared(spark, sf).where(~is_test())
+    ly, lx = F.log1p(K.TARGET), F.log1p("Estimated_Claim_Amount")
+    fit = train.agg(F.regr_intercept(ly, lx).alias("intercept"), F.regr_slope(ly, lx).alias("slope"))
+    return rnd(fit, {"intercept": 9, "slope": 9})
 
 
 _MET_SQL = """
