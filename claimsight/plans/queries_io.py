@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from claimsight.operators.metrics import fit_loglinear, loglinear_predict
 from claimsight.operators.split import is_test
-from claimsight.plans.catalog import prepared, register
+from claimsight.plans.catalog import prepared, register, rnd
 from claimsight.plans.prepare import persist_split
 from claimsight.plans.scoring import enrich_predictions, materialize
 from claimsight.session import shared_path
@@ -76,7 +76,9 @@ def q_upload_roundtrip(spark, sf):
                                         F.count("FNOL_Date").alias("dated"))
 
 
-@register("demo_views")
+@register("demo_views", """
+SELECT Claim_ID, Policy_ID, round(Predictions, 4) AS Predictions, Severity,
+  round(Recommended_Reserve, 4) AS Recommended_Reserve FROM scored""")
 def q_demo_views(spark, sf):
     """Start-up view (S8): read the written processed table, score it, enrich, log predictions."""
     df = materialize(spark, prepared(spark, sf), f"demo/{uuid.uuid4().hex}")
@@ -84,10 +86,13 @@ def q_demo_views(spark, sf):
     out = enrich_predictions(df.withColumn("Predictions", F.expm1(loglinear_predict(a, b))))
     out = out.select("Claim_ID", "Policy_ID", "Predictions", "Severity", "Recommended_Reserve")
     append_prediction_log(out, _run_dir(spark, "prediction_log"))
-    return out
+    return rnd(out, {"Predictions": 4, "Recommended_Reserve": 4})
 
 
-@register("score_arrivals")
+@register("score_arrivals", """
+SELECT CAST(Claim_ID AS VARCHAR) AS Claim_ID, round(Estimate_Relative_to_Type, 8) AS Estimate_Relative_to_Type,
+  round(Predictions, 4) AS Predictions, Severity, round(Recommended_Reserve, 4) AS Recommended_Reserve
+FROM scored""")
 def q_score_arrivals(spark, sf):
     """Arrival stream (ST1): claims dropped as CSV files are scored into a Parquet sink."""
     base = _run_dir(spark, "arrivals")
@@ -102,5 +107,6 @@ def q_score_arrivals(spark, sf):
     q = score_arrivals(spark, f"{base}/in", f"{base}/out", f"{base}/_checkpoint", UPLOAD_SCHEMA, scorer,
                        "2026-01-01 00:00:00", type_means=type_means)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(
+    out = spark.read.parquet(f"{base}/out").select(
         "Claim_ID", "Estimate_Relative_to_Type", "Predictions", "Severity", "Recommended_Reserve")
+    return rnd(out, {"Estimate_Relative_to_Type": 8, "Predictions": 4, "Recommended_Reserve": 4})
