@@ -42,6 +42,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_settings(input_bytes: int, executor_cores: int, executors: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the largest shuffle (the claims-policies
+    join moves roughly the projected input), never fewer than three waves
+    of tasks; AQE then coalesces small partitions and splits skewed ones at
+    run time.  Scan splits stay at 256 MB so a task's input fits comfortably
+    in executor memory next to its shuffle buffers.
+    """
+    slots = max(executor_cores * executors, 1)
+    by_size = -(-int(input_bytes) // target_partition_bytes)
+    partitions = max(by_size, 3 * slots)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        # broadcast only what the planner measured to be small; our own
+        # broadcasts are bounded by construction (see operators/joins.py)
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

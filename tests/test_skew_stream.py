@@ -80,3 +80,11 @@ def test_arrival_stream_scores_files(spark, tmp_dir):
     assert r["Estimate_Relative_to_Type"] == pytest.approx(1.0)
     assert r["FNOL_Delay"] == pytest.approx(30.0) and r["Complexity_Score"] == "Yes"
     assert r["Severity"] == "Medium"
+
+
+def test_scale_settings():
+    from claimsight.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4, executor_cores=4, executors=1000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    small = scale_settings(10 * 1024 ** 2, executor_cores=4, executors=2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least three waves
