@@ -33,7 +33,7 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def order_statistics(df: DataFrame, cols: Sequence[str], ranks,
-                     buckets: int = 4096, final_rows: int = 100_000,
+                     buckets: int = 4096, final_rows: int = 20_000,
                      max_passes: int = 64) -> dict[tuple[int, int], float]:
     """Exact 0-based order statistics ``{(col_index, rank): value}``.
 
