@@ -82,6 +82,16 @@ def q_claims_by_type(spark, sf):
     return P.claims_by_type(scored(spark, sf))
 
 
+@register("dashboard_chart_severity", _monthly_sql(
+    "100.0E0 * count(*) FILTER (WHERE Ultimate_Claim_Amount > 20000) / count(*)", 6,
+    "WHERE CAST(Accident_Date AS DATE) BETWEEN DATE '1996-03-01' AND DATE '2000-06-30' "
+    "AND Accident_Date >= TIMESTAMP '1996-03-01 00:00:00' AND Accident_Date <= TIMESTAMP '2000-06-30 00:00:00'"))
+def q_dashboard_chart_severity(spark, sf):
+    """Entry 3: date-range view, then the monthly share above a 20,000 threshold."""
+    from claimsight.plans.scoring import dashboard_chart
+    return _monthly(dashboard_chart(scored(spark, sf), "1996-03-01", "2000-06-30", "severity", 20000.0), 6)
+
+
 @register("batch_severity_counts", """
 SELECT Severity, CAST(count(*) AS BIGINT) AS count FROM scored WHERE Severity IS NOT NULL
 GROUP BY 1 ORDER BY count DESC, Severity""")

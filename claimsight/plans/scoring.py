@@ -58,6 +58,21 @@ def scored_claims(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return score_baseline(prepared_claims(spark, sf_dir, **kw))
 
 
+def dashboard_chart(scored: DataFrame, start, end, metric: str = "exposure",
+                    threshold: float = 15000.0) -> DataFrame:
+    """The dashboard's chart data (entry 3).
+
+    The memoised batch view keeps claims whose accident *date* is in range
+    (P4); the chart then compares *timestamps* with both ends at midnight
+    (P5) and computes the selected monthly metric with its 3-month mean
+    (G4-G7, W2), or the severity counts when no metric is selected (G2).
+    """
+    from claimsight.operators.filters import date_range, date_range_ts
+    from claimsight.operators.portfolio import monthly_metric
+    batch = date_range(scored, start, end)
+    return monthly_metric(date_range_ts(batch, start, end), metric, threshold)
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
