@@ -47,11 +47,21 @@ def duplicate_report(df: DataFrame) -> DataFrame:
         .withColumn("duplicate_pct", F.try_divide(F.col("duplicates") * F.lit(100.0), F.col("rows")))
 
 
-def type_report(df: DataFrame) -> DataFrame:
-    """Column name and type (Q3) -- schema metadata only, no job."""
-    spark: SparkSession = df.sparkSession
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                                 "column string, dtype string")
+def type_report(df: DataFrame, with_counts: bool = True) -> DataFrame:
+    """Column name and type (Q3), with the non-NULL count of each column.
+
+    Without counts this is schema metadata only (no job); with counts it is
+    one aggregate over all columns, unpivoted to one row per column.
+    """
+    fields = df.schema.fields
+    if not with_counts:
+        spark: SparkSession = df.sparkSession
+        return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields],
+                                     "column string, dtype string")
+    wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                 F.col(f"c{i}").alias("non_null")) for i, f in enumerate(fields)])))
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -334,9 +334,25 @@ def q_shape(spark, sf):
     return Q.shape(prepared(spark, sf))
 
 
-@register("type_report")
+# Expected schema of the prepared claims (the oracle states it; Spark must produce it)
+_PREPARED_TYPES = (
+    ("Claim_ID", "bigint"), ("Policy_ID", "bigint"), ("Customer_ID", "bigint"),
+    ("Accident_Date", "timestamp_ntz"), ("FNOL_Date", "timestamp_ntz"), ("Settlement_Date", "timestamp_ntz"),
+    ("Estimated_Claim_Amount", "double"), ("Ultimate_Claim_Amount", "double"), ("Claim_Type", "string"),
+    ("Traffic_Condition", "string"), ("Weather_Condition", "string"), ("Date_of_Birth", "timestamp_ntz"),
+    ("Full_License_Issue_Date", "timestamp_ntz"), ("Vehicle_Year", "int"), ("Vehicle_Type", "string"),
+    ("FNOL_Delay", "double"), ("Driver_Age", "bigint"), ("License_Age", "bigint"), ("Vehicle_Age", "bigint"),
+    ("High_Risk_Driver", "string"), ("Inexperienced_Driver", "string"), ("Old_Vehicle", "string"),
+    ("Early_FNOL", "string"), ("Estimate_to_Age_Ratio", "double"), ("Estimate_Bucket", "string"),
+    ("Type_Avg_Estimate", "double"), ("Estimate_Relative_to_Type", "double"), ("Complexity_Score", "string"),
+)
+
+
+@register("type_report", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS dtype, CAST(count({c}) AS BIGINT) AS non_null FROM features"
+    for c, t in _PREPARED_TYPES))
 def q_type_report(spark, sf):
-    """Column name and Spark type of the prepared claims (Q3)."""
+    """Column name, Spark type and non-NULL count of the prepared claims (Q3)."""
     return Q.type_report(prepared(spark, sf))
 
 
