@@ -356,7 +356,22 @@ def q_type_report(spark, sf):
     return Q.type_report(prepared(spark, sf))
 
 
-@register("quality_gate")
+_NULLS = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _MERGED_COLS)
+_CRITICAL = " || ".join(
+    f"CASE WHEN 100.0E0 * count(*) FILTER (WHERE {c} IS NULL) / count(*) > 10 THEN '{c},' ELSE '' END"
+    for c in _MERGED_COLS)
+
+
+@register("quality_gate", f"""
+a AS (SELECT count(*) AS n, {_NULLS} AS nulls, {_CRITICAL} AS crit FROM merged),
+d AS (SELECT count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM merged)),
+r AS (SELECT n, nulls, rtrim(crit, ',') AS crit, n - distinct_rows AS dups FROM a CROSS JOIN d)
+SELECT 'rows' AS "check", CAST(n AS VARCHAR) AS value FROM r
+UNION ALL SELECT 'columns', '{len(_MERGED_COLS)}'
+UNION ALL SELECT 'total_missing', CAST(nulls AS VARCHAR) FROM r
+UNION ALL SELECT 'critical_missing', crit FROM r
+UNION ALL SELECT 'duplicate_rows', CAST(dups AS VARCHAR) FROM r
+UNION ALL SELECT 'validation_passed', CASE WHEN crit = '' THEN 'True' ELSE 'False' END FROM r""")
 def q_quality_gate(spark, sf):
     """The preparation's quality gate on the joined claims (Q4): one row per check."""
     rep = Q.validate(merged(spark, sf), raise_on_failure=False)
