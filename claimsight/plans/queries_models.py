@@ -228,18 +228,52 @@ def q_compare_models(spark, sf):
     return table.drop("params")
 
 
-@register("feature_pipeline")
+def _feature_pipeline_sql() -> str:
+    num, cat = list(K.NUMERIC_FEATURES), list(K.CATEGORICAL_FEATURES)
+    parts = [
+        "md AS (SELECT " + ", ".join(f"median({c}) AS md_{c}" for c in num) + " FROM split WHERE split = 'train')",
+        "ms AS (SELECT " + ", ".join(f"avg(coalesce({c}, md_{c})) AS mu_{c}, stddev_pop(coalesce({c}, md_{c})) AS sd_{c}"
+                                     for c in num) + " FROM split CROSS JOIN md WHERE split = 'train')",
+    ]
+    for j, c in enumerate(cat):
+        parts.append(f"mo_{j} AS (SELECT {c} AS v FROM split WHERE split = 'train' AND {c} IS NOT NULL "
+                     f"GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)")
+    fill = {c: f"CAST(coalesce({c}, (SELECT v FROM mo_{j})) AS VARCHAR)" for j, c in enumerate(cat)}
+    labs = " UNION ALL ".join(f"SELECT DISTINCT {j} AS cj, '{c}' AS col, {fill[c]} AS v FROM split "
+                              f"WHERE split = 'train'" for j, c in enumerate(cat))
+    parts.append(f"labs AS (SELECT cj, col, v, {len(num) - 1} + row_number() OVER (ORDER BY cj, v) AS slot "
+                 f"FROM ({labs}))")
+    counts = " UNION ALL ".join(f"SELECT {j} AS cj, {fill[c]} AS v, count(*) AS k FROM split GROUP BY 2"
+                                for j, c in enumerate(cat))
+    parts.append(f"cc AS ({counts})")
+    parts.append("tot AS (SELECT count(*) AS n FROM split)")
+    nums = " UNION ALL ".join(
+        f"SELECT {i} AS slot, '{c}' AS feature, round(avg((coalesce(s.{c}, md_{c}) - mu_{c}) / "
+        f"CASE WHEN sd_{c} = 0 THEN 1 ELSE sd_{c} END), 8) AS mean FROM split s CROSS JOIN md CROSS JOIN ms"
+        for i, c in enumerate(num))
+    cats = ("SELECT CAST(l.slot AS INT), l.col || '_' || l.v, round(coalesce(cc.k, 0) * 1.0E0 / tot.n, 8) "
+            "FROM labs l CROSS JOIN tot LEFT JOIN cc ON cc.cj = l.cj AND cc.v = l.v")
+    return ",\n".join(parts) + "\n" + nums + " UNION ALL " + cats
+
+
+@register("feature_pipeline", _feature_pipeline_sql())
 def q_feature_pipeline(spark, sf):
-    """Fitted preprocessing (M2-M4): slot names of the assembled vector and their train means."""
+    """Fitted preprocessing (M2-M4): every slot of the assembled vector with its mean over all claims.
+
+    Numeric slots are standardised with train statistics; categorical slots
+    are the alphabetical train levels (mode-filled), unseen levels all zero.
+    """
     df = prepared(spark, sf)
     train, _ = train_test_split(df)
     prep = ML.fit_feature_pipeline(ML.with_label(train))
     out = prep.transform(df)
     names = ML.feature_names(out)
-    means = out.select(vector_to_array("features").alias("v")).agg(
-        *[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(len(names))]).first()
-    return spark.createDataFrame([(i, n, float(means[f"m{i}"])) for i, n in enumerate(names)],
-                                 "slot int, feature string, mean double")
+    wide = out.select(vector_to_array("features").alias("v")).agg(
+        *[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(len(names))])
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("slot"), F.lit(n).alias("feature"), F.col(f"m{i}").alias("mean"))
+        for i, n in enumerate(names)])))
+    return rnd(long, {"mean": 8})
 
 
 def _fitted_gbt(spark, sf):
