@@ -45,6 +45,16 @@ def shapley_linear(rows: DataFrame, coefficients: dict[str, float], means: dict[
 
 
 # --------------------------------------------------------------------------- X1
+def hash60(*cols: Column) -> Column:
+    """A 60-bit integer from the MD5 of the values joined by ``-``.
+
+    Portable: any SQL engine with ``md5`` reproduces the background choice and
+    feature order (first 15 hex digits read as an integer).
+    """
+    text = F.concat_ws("-", *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, features: Sequence[str],
                      id_col: str = "Claim_ID", samples: int = 32, background_rows: int = 100,
                      seed: int = K.RANDOM_STATE, partitions: int | None = None) -> DataFrame:
@@ -69,7 +79,7 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
         raise ValueError("empty background")
     pairs = (rows.select(id_col, *feats)
              .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-             .withColumn("__bidx", F.pmod(F.xxhash64(F.col(id_col), F.col("__s"), F.lit(seed)),
+             .withColumn("__bidx", F.pmod(hash60(F.col(id_col), F.col("__s"), F.lit(seed)),
                                           F.lit(n_bg)).cast("int")))
     pairs = pairs.join(F.broadcast(bg), "__bidx")
     # The explained rows often come from a top-n sample (a single partition);
@@ -77,7 +87,7 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
     n_parts = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # by id only: the final groupBy(id, feature) then needs no second shuffle
     pairs = pairs.repartition(n_parts, id_col)
-    ranks = [F.xxhash64(F.col(id_col), F.col("__s"), F.lit(i), F.lit(seed + 1)) for i in range(nf)]
+    ranks = [hash60(F.col(id_col), F.col("__s"), F.lit(i), F.lit(seed + 1)) for i in range(nf)]
     pairs = pairs.withColumn("__r", F.array(*ranks))
     # one row per (row, sample, feature j, with/without j)
     mixed = (pairs.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(nf - 1))))
