@@ -192,14 +192,17 @@ def param_grid(estimator, grid: dict[str, list]) -> list:
 
 def tune(train: DataFrame, name: str, grid: dict[str, list] | None = None, folds: int = K.CV_FOLDS,
          parallelism: int = 4, numeric: Sequence[str] = K.NUMERIC_FEATURES,
-         categorical: Sequence[str] = K.CATEGORICAL_FEATURES) -> tuple[TrainedModel, DataFrame]:
+         categorical: Sequence[str] = K.CATEGORICAL_FEATURES,
+         train_scores: bool = False) -> tuple[TrainedModel, DataFrame]:
     """Exhaustive grid search with k-fold CV, refit on the best RMSLE.
 
     RMSE of the log1p label *is* the RMSLE of the amounts, so the built-in
     evaluator serves.  Folds come from a hash of the claim id (deterministic,
     no shuffle).  The assembled training vectors are persisted once and shared
     by every fold and grid point.  Returns the refit model and a table of
-    average CV RMSLE per grid point.
+    average CV RMSLE per grid point; with ``train_scores`` also the average
+    RMSLE of each fold model on its own training folds (one distributed
+    evaluation per fold and grid point, from the collected sub-models).
     """
     grid = grid if grid is not None else GRIDS[name]
     labelled = with_label(train)
@@ -214,12 +217,20 @@ def tune(train: DataFrame, name: str, grid: dict[str, list] | None = None, folds
         cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
                             evaluator=RegressionEvaluator(labelCol=LABEL, metricName="rmse"),
                             foldCol="fold", numFolds=folds, parallelism=parallelism,
-                            seed=K.RANDOM_STATE)
+                            seed=K.RANDOM_STATE, collectSubModels=train_scores)
         cvm = cv.fit(vec)
         best = cvm.bestModel
         best_params = {p.name: best.getOrDefault(p) for p in maps[0].keys()} if maps and maps[0] else {}
-        rows = [({p.name: str(v) for p, v in m.items()}, float(s)) for m, s in zip(maps, cvm.avgMetrics)]
-        table = train.sparkSession.createDataFrame(rows, "params map<string,string>, cv_rmsle double")
+        train_rmsle: list = [None] * len(maps)
+        if train_scores:
+            ev = RegressionEvaluator(labelCol=LABEL, metricName="rmse")
+            for j in range(len(maps)):
+                train_rmsle[j] = sum(ev.evaluate(cvm.subModels[k][j].transform(vec.where(F.col("fold") != k)))
+                                     for k in range(folds)) / folds
+        rows = [({p.name: str(v) for p, v in m.items()}, float(s), t)
+                for m, s, t in zip(maps, cvm.avgMetrics, train_rmsle)]
+        table = train.sparkSession.createDataFrame(
+            rows, "params map<string,string>, cv_rmsle double, train_rmsle double")
     finally:
         vec.unpersist()
     return TrainedModel(name, PipelineModel(stages=[prep, best]), best_params), table

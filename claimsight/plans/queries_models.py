@@ -213,8 +213,8 @@ def q_tune_elastic_net(spark, sf):
     """Grid search with 5 hash folds on a reduced elastic-net grid."""
     train, _ = train_test_split(prepared(spark, sf))
     _, table = ML.tune(train, "elastic_net", {"regParam": [0.01, 0.1], "elasticNetParam": [0.5, 1.0],
-                                             "maxIter": [100]}, folds=5)
-    return table.select(F.to_json("params").alias("params"), "cv_rmsle")
+                                             "maxIter": [100]}, folds=5, train_scores=True)
+    return table.select(F.to_json("params").alias("params"), "cv_rmsle", "train_rmsle")
 
 
 @register("score_claims")
