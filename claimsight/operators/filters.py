@@ -37,9 +37,15 @@ def _date_lit(d) -> Column:
 
 
 def date_range(df: DataFrame, start, end, col: str = "Accident_Date") -> DataFrame:
-    """Calendar-date filter, both ends inclusive."""
-    d = F.col(col).cast("date")
-    return df.where((d >= _date_lit(start)) & (d <= _date_lit(end)))
+    """Calendar-date filter, both ends inclusive.
+
+    Written as the half-open timestamp range ``[start 00:00, end + 1 day
+    00:00)`` -- the same rows as comparing ``to_date(col)``, but a plain
+    comparison on the column reaches the Parquet scan as a pushed filter.
+    """
+    lo = _date_lit(start).cast(T.TimestampNTZType())
+    hi = F.date_add(_date_lit(end), 1).cast(T.TimestampNTZType())
+    return df.where((F.col(col) >= lo) & (F.col(col) < hi))
 
 
 def date_range_ts(df: DataFrame, start, end, col: str = "Accident_Date") -> DataFrame:
