@@ -110,3 +110,23 @@ def q_score_arrivals(spark, sf):
     out = spark.read.parquet(f"{base}/out").select(
         "Claim_ID", "Estimate_Relative_to_Type", "Predictions", "Severity", "Recommended_Reserve")
     return rnd(out, {"Estimate_Relative_to_Type": 8, "Predictions": 4, "Recommended_Reserve": 4})
+
+
+@register("monthly_exposure_stream", """
+m AS (SELECT CAST(date_trunc('month', Accident_Date) AS DATE) AS Month, sum(Ultimate_Claim_Amount) AS value
+      FROM scored GROUP BY 1)
+SELECT strftime(Month, '%Y-%m-%d') AS Month, round(value, 2) AS value,
+  round(avg(value) OVER (ORDER BY Month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving_avg
+FROM m""")
+def q_monthly_exposure_stream(spark, sf):
+    """Claims arriving as CSV files keep the monthly exposure current (stateful stream, G4 + W2)."""
+    from claimsight.operators.portfolio import with_moving_average
+    from claimsight.plans.catalog import iso
+    from claimsight.streaming.arrivals import EXPOSURE_SCHEMA, monthly_exposure_stream
+    base = _run_dir(spark, "exposure_stream")
+    cols = [f.name for f in EXPOSURE_SCHEMA.fields]
+    export_csv(prepared(spark, sf).select(*cols).repartition(4), f"{base}/in")
+    q = monthly_exposure_stream(spark, f"{base}/in", f"{base}/snapshot", f"{base}/_checkpoint", EXPOSURE_SCHEMA)
+    q.awaitTermination()
+    snap = spark.read.parquet(f"{base}/snapshot").select("Month", "value")
+    return iso(rnd(with_moving_average(snap), {"value": 2, "moving_avg": 2}), "Month")
