@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -232,8 +233,7 @@ def fit(labelled: DataFrame, to_pooled: float = 0.02, to_identity: float = 0.01,
     for r in rows:
         v = np.array([x["v"] for x in r["v"]])
         by[r["fold"], r["label"]] = Moments(float(v[0]), v[1:1 + DIM], v[1 + DIM:].reshape(DIM, DIM))
-    every = [sum((m for (_, y), m in sorted(by.items()) if y == k), start=_Zero()) for k in (0, 1)]
-    every = [m if isinstance(m, Moments) else Moments.none() for m in every]
+    every = [reduce(Moments.plus, (m for (_, y), m in sorted(by.items()) if y == k), Moments.none()) for k in (0, 1)]
     model = fit_moments(every, to_pooled, to_identity)
     if model is None:
         return None
@@ -243,11 +243,6 @@ def fit(labelled: DataFrame, to_pooled: float = 0.02, to_identity: float = 0.01,
     return model
 
 
-class _Zero:
-    def __add__(self, o: Moments) -> Moments:
-        return o
-
-
 #: Score bins of the calibration: the difference is compressed to [-1, 1] and cut into this many.
 BINS = 2000
 
