@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import bpe, lengths, quality
+from claimsight.llm import bpe, lengths, minmax, quality, substring
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,55 @@ def labelled_statistics(stats: DataFrame, labels: DataFrame) -> DataFrame:
     return (stats.join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
             .where(fold("doc_id", 5) != 0)
             .withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(5)).cast("int")))
+
+
+@register
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` left after every repeated window of 35 words is removed."""
+    out = substring.remove_repeated(table(spark, sf_dir, "documents"), ["doc_id"], 35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op9_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35),
+w AS (SELECT doc_id, i, md5(array_to_string(ws[i:i+34], ' ')) AS h FROM s),
+r AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+t AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM d),
+c AS (SELECT t.doc_id, t.j, t.word,
+             max(r.i) OVER (PARTITION BY t.doc_id ORDER BY t.j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+      FROM t LEFT JOIN r ON r.doc_id = t.doc_id AND r.i = t.j),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept
+      FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@register
+def op8_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of ``documents``: 3-word shingles, similarity of 0.85 or more."""
+    out = minmax.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+ORACLE["op8_minmax_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+        WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS gs FROM d),
+e AS (SELECT doc_id, unnest(gs) AS s FROM g),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM e x JOIN e y ON x.s = y.s AND x.doc_id < y.doc_id
+      GROUP BY x.doc_id, y.doc_id),
+l AS (SELECT a, b FROM p JOIN g ga ON ga.doc_id = a JOIN g gb ON gb.doc_id = b
+      WHERE 100 * n_both >= 85 * (len(ga.gs) + len(gb.gs) - n_both)),
+sym AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT a, b FROM sym UNION SELECT r.doc_id, sym.b FROM r JOIN sym ON sym.a = r.other),
+c AS (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id)
+SELECT g.doc_id, CAST(len(gs) AS BIGINT) AS n_shingles, least(g.doc_id, coalesce(low, g.doc_id)) AS component_id,
+       g.doc_id <= coalesce(low, g.doc_id) AS kept
+FROM g LEFT JOIN c USING (doc_id)
+"""
