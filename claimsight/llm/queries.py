@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import bpe, lengths, minmax, quality, substring
+from claimsight.llm import bpe, langid, lengths, minmax, quality, substring
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,15 @@ def fold(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of ``documents``; learns outside the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(fold("doc_id", 3) != 1))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    return langid.identify(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every whole text of ``documents``."""
