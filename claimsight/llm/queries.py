@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import bpe, langid, lengths, minmax, quality, substring
+from claimsight.llm import ann, bpe, langid, lengths, minmax, quality, substring
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,9 @@ SELECT g.doc_id, CAST(len(gs) AS BIGINT) AS n_shingles, least(g.doc_id, coalesce
        g.doc_id <= coalesce(low, g.doc_id) AS kept
 FROM g LEFT JOIN c USING (doc_id)
 """
+
+
+@register
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products found for every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20, "vec_id", "embedding")
