@@ -100,7 +100,7 @@ def search(vectors: DataFrame, is_query: str, k: int, id: str, vector: str, proj
     own = own.where(F.size("v") == dim)
     stored = own.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
                         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), "id", "v")
-    asked = own.where("q").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+    asked = own.where("q").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
                                   F.pmod(F.xxhash64("id", F.lit(7)), F.lit(groups)).cast("int").alias("grp"), "id", "v")
 
     def matrix(t: pa.Table) -> np.ndarray:
