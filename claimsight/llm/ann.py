@@ -27,6 +27,8 @@ from claimsight.llm import common as C
 
 #: Share of an array that the first windows hold on average, and the factor by which a round widens them.
 START_SHARE, WIDEN = 0.54, 1.1
+#: Vectors verified per query and block at least, besides the share.
+LEAST_VERIFIED = 200
 #: Vectors per block and queries per group.
 BLOCK_ROWS, GROUP_ROWS = 4096, 1024
 
@@ -57,7 +59,7 @@ class Index:
         n = len(self.ids)
         scaled = queries * (self.top_norm / np.linalg.norm(queries, axis=1))[:, None]
         centres = scaled @ self.lines[:-1]
-        wanted = min(n, k + 1 + int(np.ceil(verify_share * n)))
+        wanted = min(n, k + 1 + max(LEAST_VERIFIED, int(np.ceil(verify_share * n))))
         out = []
         thin = self.sorted[:, ::max(1, n // 64)]
         for q, c, qid in zip(queries, centres, query_ids):

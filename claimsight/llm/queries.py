@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import ann, bpe, langid, lengths, minmax, quality, substring
+from claimsight.llm import ann, bpe, langid, lengths, minmax, mixing, quality, substring
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,45 @@ FROM g LEFT JOIN c USING (doc_id)
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products found for every vector whose id is divisible by 20."""
     return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20, "vec_id", "embedding")
+
+
+#: Production mixing: nearly even sources, none repeated more than four times, as many tokens as the corpus has.
+MIX = {"target_entropy": 0.95, "max_repeats": 4.0}
+
+
+@register
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of ``documents`` taken by temperature mixing of their sources (tokens: words)."""
+    sized = written(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("n_tokens")), "sized")
+    weights = written(mixing.source_weights(sized, **MIX), "weights")
+    blocks = written(mixing.block_order(sized, weights), "blocks")
+    return mixing.realise(sized, weights, blocks, ["doc_id", "source", "n_tokens"]).drop("progress")
+
+
+ORACLE["op6_source_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+         CAST('0x' || substr(md5('mix:' || doc_id), 1, 15) AS BIGINT) AS ticket FROM documents),
+t AS (SELECT source, count(*) AS docs, sum(n_tokens) AS total FROM d GROUP BY source HAVING sum(n_tokens) > 0),
+ps AS (SELECT list(total / (SELECT sum(total) FROM t) ORDER BY source) AS p, count(*) AS n FROM t),
+bis(k, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT k + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END FROM (
+    SELECT k, lo, hi, mid, ln(z) - mid * s / z >= 0.95 * ln(n) AS ok FROM (
+      SELECT k, lo, hi, mid, n, list_sum(list_transform(p, lambda x: pow(x, mid))) AS z,
+             list_sum(list_transform(p, lambda x: pow(x, mid) * ln(x))) AS s
+      FROM (SELECT k, lo, hi, CASE WHEN k = 0 THEN 1.0 ELSE (lo + hi) / 2 END AS mid FROM bis WHERE k < 60), ps))),
+a AS (SELECT CASE WHEN (SELECT n FROM ps) < 2 THEN 1.0 ELSE (SELECT lo FROM bis WHERE k = 60) END AS e),
+w AS (SELECT source, docs, total, pow(total / (SELECT sum(total) FROM t), e) / (SELECT sum(pow(total / (SELECT sum(total) FROM t), e)) FROM t) AS weight FROM t, a),
+b AS (SELECT source, docs, total, CAST(floor(weight * (SELECT sum(total) FROM t)) AS BIGINT) AS budget FROM w),
+x AS (SELECT d.*, b.total, b.budget, ticket % CAST(ceil(docs / 4096.0) AS BIGINT) AS block FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+y AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, block ORDER BY ticket, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside FROM x),
+v AS (SELECT source, block, sum(n_tokens) AS size, any_value(total) AS total, any_value(budget) AS budget FROM x GROUP BY source, block),
+e AS (SELECT *, unnest(range(0, CAST((budget - 1) // total + 1 AS BIGINT))) AS epoch FROM v WHERE budget > 0),
+f AS (SELECT *, epoch * total + coalesce(sum(size) OVER (PARTITION BY source, epoch ORDER BY md5(concat_ws(':', 'mix', epoch, source, block)), block
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e)
+SELECT y.doc_id, y.source, y.n_tokens, CAST(f.epoch AS INTEGER) AS epoch, CAST(y.block AS BIGINT) AS block,
+       CAST(f.before + y.inside AS BIGINT) AS tokens_before
+FROM y JOIN f ON y.source IS NOT DISTINCT FROM f.source AND y.block = f.block WHERE f.before + y.inside < y.budget
+"""
