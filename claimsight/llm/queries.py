@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import ann, bpe, langid, lengths, minmax, mixing, quality, substring
+from claimsight.llm import ann, bpe, langid, lengths, minmax, mixing, quality, substring, winnowing
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,12 @@ SELECT y.doc_id, y.source, y.n_tokens, CAST(f.epoch AS INTEGER) AS epoch, CAST(y
        CAST(f.before + y.inside AS BIGINT) AS tokens_before
 FROM y JOIN f ON y.source IS NOT DISTINCT FROM f.source AND y.block = f.block WHERE f.before + y.inside < y.budget
 """
+
+
+@register
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text of ``documents`` and of its edited text, and how alike they are."""
+    out = winnowing.edited_and_next(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(F.array_join(c, " "), 256).alias(c)
+    return out.select("doc_id", "n_chars", "edited_sha256", digest("fingerprint"), digest("edited_fingerprint"),
+                      "near_edited", "near_next")
