@@ -110,17 +110,20 @@ def block_order(sized: DataFrame, weights: DataFrame, id: str = "doc_id", source
 
 
 def realise(sized: DataFrame, weights: DataFrame, blocks: DataFrame, keep: list[str], id: str = "doc_id",
-            source: str = "source", tokens: str = "n_tokens", block_docs: int = 4096, seed: str = "mix") -> DataFrame:
-    """The mixture: columns ``keep`` of every copy taken, with ``epoch``, ``block``, ``tokens_before`` (in the
-    source's schedule) and ``progress`` (share of the source's budget used before; sorting by it interleaves the
-    sources in proportion)."""
+            source: str = "source", tokens: str = "n_tokens", block_docs: int = 4096, seed: str = "mix",
+            schedule: bool = True) -> DataFrame:
+    """The mixture: columns ``keep`` of every copy taken; with ``schedule`` also ``epoch``, ``block``,
+    ``tokens_before`` (in the source's schedule) and ``progress`` (share of the source's budget used before;
+    sorting by it interleaves the sources in proportion)."""
     own = _blocked(sized, weights, id, source, block_docs, seed)
     inside = (Window.partitionBy(F.col(source), F.col("__block")).orderBy("__ticket", F.col(id))
               .rowsBetween(Window.unboundedPreceding, -1))
     own = own.withColumn("__inside", F.coalesce(F.sum(F.coalesce(F.col(tokens), F.lit(0))).over(inside), F.lit(0)))
-    b = blocks.select(F.col("source").alias("__s"), F.col("block").alias("__b"), "epoch", "before", "budget")
-    at = F.col("before") + F.col("__inside")
-    return (own.join(b, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
-            .where(at < F.col("budget"))
-            .select(*keep, F.col("epoch").cast("int").alias("epoch"), F.col("__block").alias("block"), at.alias("tokens_before"),
-                    (at / F.col("budget")).alias("progress")))
+    b = blocks.select(*[F.col(c).alias(f"__of_{c}") for c in ("source", "block", "epoch", "before", "budget")])
+    at = F.col("__of_before") + F.col("__inside")
+    taken = (own.join(b, F.col(source).eqNullSafe(F.col("__of_source")) & (F.col("__block") == F.col("__of_block")))
+             .where(at < F.col("__of_budget")))
+    if not schedule:
+        return taken.select(*keep)
+    return taken.select(*keep, F.col("__of_epoch").cast("int").alias("epoch"), F.col("__block").alias("block"),
+                        at.alias("tokens_before"), (at / F.col("__of_budget")).alias("progress"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import ann, bpe, langid, lengths, minmax, mixing, quality, substring, winnowing
+from claimsight.llm import ann, bpe, html_text, langid, lengths, minmax, mixing, quality, substring, winnowing
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page, laid out as a browser would show it."""
+    out = html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return out.withColumn("n_chars", F.length("text"))
+
+
 @register
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every whole text of ``documents``."""

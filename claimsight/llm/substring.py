@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,10 +98,13 @@ def cut(s: _Slice, repeated: np.ndarray, width: int) -> tuple[np.ndarray, np.nda
     return n_words, n_removed, text.cast(pa.string())
 
 
-def remove_repeated(docs: DataFrame, keep: list[str], width: int, text: str = "text",
+def remove_repeated(docs: DataFrame, keep: list[str], width: int, text: str = "text", rejoin: bool = True,
                     chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Columns ``keep`` of ``docs`` plus ``n_words``, ``n_removed`` (long) and ``kept_text`` (the kept
-    words joined by one space), one row per input row.  ``keep`` must not hold these names."""
+    words joined by one space), one row per input row.  ``keep`` must not hold these names.
+
+    Without ``rejoin`` a text that loses nothing stays as it is (null too).
+    """
     spark = docs.sparkSession
     least = 2 * C.shuffle_partitions(spark)
     size = docs.select(F.sum(F.octet_length(text))).first()[0] or 0
@@ -142,7 +146,10 @@ def remove_repeated(docs: DataFrame, keep: list[str], width: int, text: str = "t
         done = [cut(s, repeated, width) for s in parsed]
         join = lambda i, kind: pa.concat_arrays([pa.array(d[i], kind) if i < 2 else d[i] for d in done]) \
             if done else pa.array([], kind)
-        out = [C.column(group, c) for c in keep] + [join(0, pa.int64()), join(1, pa.int64()), join(2, pa.string())]
+        removed, texts = join(1, pa.int64()), join(2, pa.string())
+        if not rejoin:
+            texts = pc.if_else(pc.equal(removed, 0), C.column(group, "__text"), texts)
+        out = [C.column(group, c) for c in keep] + [join(0, pa.int64()), removed, texts]
         return pa.table(out, names=schema.names)
 
     sent = chunked.groupBy("__chunk").applyInArrow(send, "__range int, __chunk int, keys binary")
