@@ -60,24 +60,31 @@ class Index:
         scaled = queries * (self.top_norm / np.linalg.norm(queries, axis=1))[:, None]
         centres = scaled @ self.lines[:-1]
         wanted = min(n, k + 1 + max(LEAST_VERIFIED, int(np.ceil(verify_share * n))))
-        out = []
         thin = self.sorted[:, ::max(1, n // 64)]
-        for q, c, qid in zip(queries, centres, query_ids):
-            half = np.quantile(abs(thin - c[:, None]), START_SHARE)
-            while True:
-                lo, hi = (np.array([s.searchsorted(x, side) for s, x in zip(self.sorted, edge)])
-                          for edge, side in ((c - half, "left"), (c + half, "right")))
+        half = np.array([np.quantile(abs(thin - c[:, None])[::4], START_SHARE) for c in centres])
+        kind = self.place.dtype
+        offset, inside = np.empty_like(self.place), np.empty(self.place.shape, bool)
+        out: list[tuple[np.ndarray, np.ndarray]] = [None] * len(queries)
+        open_ = np.arange(len(queries))
+        while len(open_):  # every round widens the windows of the queries that have too few vectors
+            c, h = centres[open_].T, half[open_]
+            lo = np.array([s.searchsorted(x - h, "left") for s, x in zip(self.sorted, c)]).T
+            hi = np.array([s.searchsorted(x + h, "right") for s, x in zip(self.sorted, c)]).T
+            more = []
+            for i, a, z in zip(open_, lo, hi):
                 # Inside a window: the place lies between its borders (one unsigned comparison).
-                kind = self.place.dtype
-                inside = (self.place - lo[:, None].astype(kind)) < (hi - lo)[:, None].astype(kind)
+                np.subtract(self.place, a[:, None].astype(kind), out=offset)
+                np.less(offset, (z - a)[:, None].astype(kind), out=inside)
                 found = np.flatnonzero(np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8) >= threshold)
-                if len(found) >= wanted or (hi - lo).min() == n:
-                    break
-                half = max(half * WIDEN, 1e-9 * self.top_norm)
-            found = found[self.ids[found] != qid]
-            scores = self.vectors[found] @ q
-            best = np.lexsort((self.ids[found], -scores))[:k]
-            out.append((self.ids[found[best]], scores[best]))
+                if len(found) < wanted and (z - a).min() < n:
+                    more.append(i)
+                    continue
+                found = found[self.ids[found] != query_ids[i]]
+                scores = self.vectors[found] @ queries[i]
+                best = np.lexsort((self.ids[found], -scores))[:k]
+                out[i] = (self.ids[found[best]], scores[best])
+            open_ = np.array(more, int)
+            half[open_] = np.maximum(half[open_] * WIDEN, 1e-9 * self.top_norm)
         return out
 
 
