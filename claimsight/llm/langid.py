@@ -14,7 +14,7 @@ landmarks x languages, with the first one's rows divided by their norms; as both
 are multiplied once into one ``DIM`` x languages matrix.
 
 The classifier is fitted on a bounded sample: about ``per_language`` texts of each learned value (all
-of them where there are fewer), chosen by a hash of the row.  A sampled text travels as its bit
+of them where there are fewer) and about ``most`` in all, chosen by a hash of the row.  A sampled text travels as its bit
 vector (``DIM`` / 8 bytes, whatever its length).  Scoring reads whole texts.
 
 Null text and text without a letter give ``und`` with score 0.  Without training rows every other
@@ -23,6 +23,7 @@ text gives ``und`` too.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -99,18 +100,25 @@ class Classifier:
         return names, np.concatenate(shares) if shares else np.zeros(0)
 
 
+def _normalised(bits: np.ndarray) -> np.ndarray:
+    """Rows of packed bits as vectors of length 1."""
+    x = np.unpackbits(bits, axis=1).astype(np.float32)
+    return x / np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1)
+
+
 def fit_kernel(bits: np.ndarray, languages: list[str], landmarks: int, ridge: float) -> Classifier:
-    """Nystroem landmarks (spread over the languages) and one-versus-rest ridge on the sample."""
+    """Nystroem landmarks (spread over the languages) and one-versus-rest ridge on the sample of packed
+    bit vectors.  Only the landmarks and one batch are unpacked at a time."""
     names = sorted(set(languages))
     y = np.array([[float(a == b) for b in names] for a in languages])
-    x = bits.astype(np.float32) / np.maximum(np.sqrt(bits.sum(axis=1, keepdims=True, dtype=np.float32)), 1)
-    order = np.argsort([languages[:i].count(a) for i, a in enumerate(languages)], kind="stable")  # round robin
-    marks = x[order[:landmarks]]
+    turn = Counter()
+    turns = [(turn.update([a]) or turn[a]) for a in languages]  # round robin over the languages
+    marks = _normalised(bits[np.argsort(turns, kind="stable")[:landmarks]])
     w = (marks @ marks.T).astype(float)
     values, vectors = np.linalg.eigh(w)
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # W^(-1/2) up to a rotation
-    phi = (x @ marks.T).astype(float) @ root
+    phi = np.concatenate([(_normalised(bits[i:i + BATCH]) @ marks.T).astype(float) @ root for i in range(0, len(bits), BATCH)])
     # Every language counts alike, however many rows it has in the sample.
     weight = (y / np.maximum(y.sum(axis=0), 1)).sum(axis=1) * len(y) / len(names)
     centre = (weight[:, None] * phi).sum(axis=0) / weight.sum()
@@ -121,7 +129,7 @@ def fit_kernel(bits: np.ndarray, languages: list[str], landmarks: int, ridge: fl
     return Classifier(names, (marks.T.astype(float) @ (root @ alpha)).astype(np.float32), mean - centre @ alpha)
 
 
-def fit(train: DataFrame, per_language: int = 1000, landmarks: int = 384, ridge: float = 1.0,
+def fit(train: DataFrame, per_language: int = 1000, most: int = 8000, landmarks: int = 384, ridge: float = 1.0,
         text: str = "text", language: str = "lang") -> Classifier | None:
     """Fit on a sample of ``train``; rows with null text or language are left out. None without rows.
 
@@ -131,6 +139,7 @@ def fit(train: DataFrame, per_language: int = 1000, landmarks: int = 384, ridge:
     counts = train.where(F.col(language).isNotNull()).groupBy(F.col(language).alias("l")).count().collect()  # a row per class
     if not counts:
         return None
+    per_language = min(per_language, most / len(counts))
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["l"], min(1.0, per_language / r["count"]))])
     ticket = F.pmod(F.xxhash64(*train.columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = (train.where(F.col(text).isNotNull() & (ticket < share[F.col(language)]))
@@ -148,7 +157,7 @@ def fit(train: DataFrame, per_language: int = 1000, landmarks: int = 384, ridge:
     got = sorted((r["l"], bytes(r["bits"])) for r in sample.mapInArrow(run, "l string, bits binary").collect())
     if not got:
         return None
-    bits = np.unpackbits(np.frombuffer(b"".join(b for _, b in got), np.uint8).reshape(len(got), -1), axis=1)
+    bits = np.frombuffer(b"".join(b for _, b in got), np.uint8).reshape(len(got), -1)
     return fit_kernel(bits, [a for a, _ in got], landmarks, ridge)
 
 
