@@ -2,121 +2,127 @@
 
 Spark's exact ``percentile``/``median`` aggregate keeps every distinct value of
 a group in one buffer; for a global median over a very large table that is the
-whole column in one task.  Here the order statistic is found by histogram
-refinement instead: each pass is a distributed ``groupBy(bucket)`` whose output
-is bounded by ``buckets`` rows per search, and narrows the value range to the
-one bucket that holds the wanted rank.  The driver only ever sees these
-bounded histograms (and, at the end, at most ``final_rows`` values).
+whole column in one task.  Here a mergeable sketch (``percentile_approx``)
+brackets the wanted rank, and exact counts below, at, between and above the
+bracket say where the rank is.  Each pass is one aggregate over the needed
+columns for all open searches together; nothing is exploded, shuffled at full
+width or persisted.  The bracket's inside shrinks about a hundredfold per pass, until it
+has at most ``final_rows`` values, which the next pass collects.
 
 Quantiles interpolate linearly between order statistics (the default of
-pandas/NumPy ``quantile`` and DuckDB ``quantile_cont``).
+pandas/NumPy ``quantile`` and DuckDB ``quantile_cont``).  Infinite values count
+like any other; NULL and NaN are skipped.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Steps of the sketch's percentages per pass.
+_GRID = 200
 
-def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(k, v) long form of the numeric columns, NULL/NaN removed."""
-    packed = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(cols)
-    ])).alias("e")
-    return (df.select(packed).select("e.k", "e.v")
-            .where(F.col("v").isNotNull() & ~F.isnan("v")))
 
+@dataclass
+class _Search:
+    """Where one rank is: strictly between ``a`` and ``b`` (None: no limit), with ``base`` values at or below ``a``.
 
-def order_statistics(df: DataFrame, cols: Sequence[str], ranks,
-                     buckets: int = 4096, final_rows: int = 20_000,
-                     max_passes: int = 64) -> dict[tuple[int, int], float]:
+    The next pass splits that range at ``lo`` and ``hi``; ``expect`` bounds the
+    values between them (None: not known yet).
+    """
+
+    rank: int | None
+    a: float | None = None
+    b: float | None = None
+    base: int = 0
+    lo: float = -math.inf
+    hi: float = math.inf
+    expect: int | None = None
+
+    def split(self) -> tuple:
+        return self.a, self.lo, self.hi, self.b
+
+
+def _value(c: str) -> Column:
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _pass(df: DataFrame, cols: Sequence[str], wanted: list[tuple[int, tuple, bool]], buckets: int) -> list[dict]:
+    """Counts of the five parts of each range, and the sorted inside (True) or its sketch."""
+    grid = [i / _GRID for i in range(_GRID + 1)]
+    out = []
+    for j, (k, (a, lo, hi, b), collect) in enumerate(wanted):
+        v = _value(cols[k])
+        inside = (v > F.lit(lo)) & (v < F.lit(hi))
+        left = v < F.lit(lo) if a is None else (v > F.lit(a)) & (v < F.lit(lo))
+        right = v > F.lit(hi) if b is None else (v > F.lit(hi)) & (v < F.lit(b))
+        lowest = F.lit(False) if lo == a else v == F.lit(lo)
+        highest = F.lit(False) if hi in (b, lo) else v == F.lit(hi)
+        out += [F.count_if(x).alias(f"{name}{j}") for name, x in
+                (("below", left), ("low", lowest), ("mid", inside), ("high", highest), ("above", right))]
+        held = F.when(inside, v)
+        out.append((F.sort_array(F.collect_list(held)) if collect
+                    else F.percentile_approx(held, grid, buckets)).alias(f"seen{j}"))
+    row = df.agg(*out).first()
+    return [{n: row[f"{n}{j}"] for n in ("below", "low", "mid", "high", "above", "seen")} | {"whole": w[2]}
+            for j, w in enumerate(wanted)]
+
+
+def order_statistics(df: DataFrame, cols: Sequence[str], ranks, buckets: int = 10_000,
+                     final_rows: int = 20_000) -> dict[tuple[int, int], float]:
     """Exact 0-based order statistics ``{(col_index, rank): value}``.
 
-    ``ranks`` is ``{col_index: ranks}`` or a function of the per-column
-    non-NULL counts returning that dict (so that one pass yields counts, min
-    and max).  NULL/NaN are skipped.
+    ``ranks`` is ``{col_index: ranks}`` or a function of the per-column counts
+    of values returning that dict (the first pass yields the counts).
+    ``buckets`` is the accuracy of the sketch.
     """
-    spark = df.sparkSession
-    long_df = _long_values(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = {r["k"]: r for r in long_df.groupBy("k").agg(
-            F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        if callable(ranks):
-            ranks = ranks({k: stats[k]["n"] if k in stats else 0 for k in range(len(cols))})
-        # search state per (k, rank): [lo, hi, below, count in range]
-        state: dict[tuple[int, int], list] = {}
-        result: dict[tuple[int, int], float] = {}
-        for k, rs in ranks.items():
-            if k not in stats:
-                continue
-            for r in rs:
-                state[(k, r)] = [stats[k]["lo"], stats[k]["hi"], 0, stats[k]["n"]]
-        for _ in range(max_passes):
-            active = {key: st for key, st in state.items() if key not in result}
-            for key, (lo, hi, below, cnt) in list(active.items()):
-                if lo == hi:
-                    result[key] = lo
-            active = {key: st for key, st in active.items() if key not in result}
-            if not active:
-                break
-            small = {key: st for key, st in active.items() if st[3] <= final_rows}
-            large = {key: st for key, st in active.items() if st[3] > final_rows}
-            if small:
-                _finish_small(long_df, small, result)
-            if not large:
-                break
-            # one distributed histogram pass for every open search
-            ranges = sorted({(k, st[0], st[1]) for (k, _), st in large.items()})
-            sid = {rng: i for i, rng in enumerate(ranges)}
-            searches = spark.createDataFrame(
-                [(i, k, lo, hi) for (k, lo, hi), i in sid.items()],
-                "sid int, k int, lo double, hi double")
-            width = (F.col("hi") - F.col("lo")) / F.lit(float(buckets))
-            hist = (long_df.join(F.broadcast(searches), "k")
-                    .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                    .withColumn("b", F.least(F.floor((F.col("v") - F.col("lo")) / width),
-                                             F.lit(buckets - 1)).cast("int"))
-                    .groupBy("sid", "b")
-                    .agg(F.count("*").alias("n"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                    .collect())
-            by_sid: dict[int, list] = {}
-            for row in hist:
-                by_sid.setdefault(row["sid"], []).append(row)
-            for (k, r), st in large.items():
-                rows = sorted(by_sid.get(sid[(k, st[0], st[1])], []), key=lambda x: x["b"])
-                want = r - st[2]
-                acc = 0
-                for row in rows:
-                    if acc + row["n"] > want:
-                        st[0], st[1], st[2], st[3] = row["bmin"], row["bmax"], st[2] + acc, row["n"]
-                        break
-                    acc += row["n"]
-        return result
-    finally:
-        long_df.unpersist()
-
-
-def _finish_small(long_df: DataFrame, small: dict, result: dict) -> None:
-    """Collect the few remaining candidates (bounded by ``final_rows`` each)."""
-    spark = long_df.sparkSession
-    ranges = sorted({(k, st[0], st[1]) for (k, _), st in small.items()})
-    sid = {rng: i for i, rng in enumerate(ranges)}
-    searches = spark.createDataFrame([(i, k, lo, hi) for (k, lo, hi), i in sid.items()],
-                                     "sid int, k int, lo double, hi double")
-    rows = (long_df.join(F.broadcast(searches), "k")
-            .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            .select("sid", "v").collect())
-    values: dict[int, list] = {}
-    for row in rows:
-        values.setdefault(row["sid"], []).append(row["v"])
-    for (k, r), st in small.items():
-        vals = sorted(values.get(sid[(k, st[0], st[1])], []))
-        result[(k, r)] = vals[r - st[2]]
+    result: dict[tuple[int, int], float] = {}
+    first = _pass(df, cols, [(k, _Search(None).split(), False) for k in range(len(cols))], buckets)
+    counts = {k: sum(p[n] for n in ("below", "low", "mid", "high", "above")) for k, p in enumerate(first)}
+    if callable(ranks):
+        ranks = ranks(counts)
+    open_ = {(k, r): _Search(r) for k, rs in ranks.items() if counts[k] for r in rs}
+    seen = {(k, _Search(None).split()): p for k, p in enumerate(first)}
+    while open_:
+        for (k, r), s in list(open_.items()):
+            found = _narrow(s, seen[(k, s.split())], buckets)
+            if found is not None:
+                result[(k, r)] = found
+                del open_[(k, r)]
+        wanted = list({(k, s.split(), s.expect is not None and s.expect <= final_rows) for (k, _), s in open_.items()})
+        if wanted:
+            seen = {(k, split): p for (k, split, _), p in zip(wanted, _pass(df, cols, wanted, buckets))}
+    return result
+
+
+def _narrow(s: _Search, p: dict, buckets: int) -> float | None:
+    """The value at the rank, or None after narrowing ``s`` to the part that holds it."""
+    at = s.rank - s.base
+    for name, value, a, b in (("below", None, s.a, s.lo), ("low", s.lo, None, None), ("mid", None, s.lo, s.hi),
+                              ("high", s.hi, None, None), ("above", None, s.hi, s.b)):
+        n = p[name]
+        if at >= n:
+            at -= n
+            continue
+        if value is not None:
+            return value
+        if name == "mid" and p["whole"]:
+            return p["seen"][at]
+        s.base, s.a, s.b = s.rank - at, a, b
+        if name != "mid":  # the sketch misjudged the rank and there is none of this part: sketch it next
+            s.lo, s.hi, s.expect = a, b, n
+        else:
+            place = at / max(n - 1, 1) * _GRID
+            lo, hi = max(0, math.floor(place) - 1), min(_GRID, math.ceil(place) + 1)
+            s.lo, s.hi = p["seen"][lo], p["seen"][hi]
+            s.expect = int(n * ((hi - lo) / _GRID + 2 / buckets)) + 2
+        return None
+    raise ValueError("rank beyond the number of values")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

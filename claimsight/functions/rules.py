@@ -138,16 +138,6 @@ def band(x, edges: Sequence[float], labels: Sequence[str], right: bool = False)
     return expr
 
 
-def band_order(x, edges: Sequence[float], right: bool = False) -> Column:
-    """0-based ordinal of the band (for ordering categorical bands)."""
-    v = _c(x)
-    expr = None
-    for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
-        cond = (v > lo) & (v <= hi) if right else (v >= lo) & (v < hi)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
-
-
 def driver_age_band(x, right: bool = False) -> Column:
     return band(x, K.DRIVER_AGE_EDGES, K.DRIVER_AGE_LABELS, right)
 

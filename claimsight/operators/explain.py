@@ -9,7 +9,7 @@ work is spread over the executors and grows linearly with the rows explained:
   background -- never a cross product), and one random feature order; the
   "with" and "without" rows for every feature are scored together.
 * X2 exact contributions of a linear model, ``coef * (x - mean)``.
-* X5 accumulated local effects: two edge-shifted copies of every row.
+* X5 accumulated local effects: every row scored at both edges of its bin.
 """
 
 from __future__ import annotations
@@ -103,7 +103,8 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
     mixed = mixed.withColumns(cols).select(id_col, "__s", "__j", "__with", *feats)
     scored = scorer(mixed)
     signed = F.when(F.col("__with"), F.col("prediction")).otherwise(-F.col("prediction"))
-    contrib = scored.groupBy(id_col, "__j").agg((F.sum(signed) / F.lit(float(samples))).alias("contribution"))
+    # Rows that share an id are explained together, by the mean of their contributions.
+    contrib = scored.groupBy(id_col, "__j").agg((F.sum(signed) * 2 / F.count(F.lit(1))).alias("contribution"))
     names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("__j") + 1)
     return contrib.select(id_col, names.alias("feature"), "contribution")
 
@@ -158,34 +159,30 @@ def business_context(df: DataFrame, feature_col: str = "feature") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- X5
-def ale(rows: DataFrame, scorer: Scorer, feature: str, bins: int = 20,
-        id_col: str = "Claim_ID") -> DataFrame:
+def ale(rows: DataFrame, scorer: Scorer, feature: str, bins: int = 20) -> DataFrame:
     """First-order accumulated local effects of ``feature``.
 
     Equal-width bins between min and max; every row is scored at its bin's
-    lower and upper edge (one ``scorer`` call on the union); the mean
-    difference per bin is accumulated in bin order (the window holds one row
+    lower and upper edge; the mean difference per bin is accumulated in bin order (the window holds one row
     per bin) and centred by the count-weighted mean.  ``heterogeneity`` is the
     population std of the differences within the bin.
     """
-    rng = rows.agg(F.min(feature).alias("lo"), F.max(feature).alias("hi")).first()
+    v = F.col(feature).cast("double")
+    rng = rows.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     lo, hi = rng["lo"], rng["hi"]
     if lo is None:
         return rows.sparkSession.createDataFrame(
             [], "bin int, bin_start double, bin_end double, n bigint, effect double, heterogeneity double, "
                 "ale double")
-    lo, hi = float(lo), float(hi)
     width = (hi - lo) / bins if hi > lo else 1.0
-    x = F.col(feature).cast("double")
-    b = rows.where(x.isNotNull()).withColumn(
-        "__bin", F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")) \
-        .withColumn("__rid", F.col(id_col) if id_col in rows.columns else F.monotonically_increasing_id())
-    edges = b.withColumn("__upper", F.explode(F.array(F.lit(False), F.lit(True))))
-    edge_val = F.lit(lo) + (F.col("__bin") + F.col("__upper").cast("int")) * F.lit(width)
-    edges = edges.withColumn(feature, edge_val.cast(rows.schema[feature].dataType))
-    scored = scorer(edges)
-    signed = F.when(F.col("__upper"), F.col("prediction")).otherwise(-F.col("prediction"))
-    diffs = scored.groupBy("__rid", "__bin").agg(F.sum(signed).alias("__d"))
+    at = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    binned = rows.where(v.isNotNull()).withColumn("__bin", at)
+    # Both edges are scored on the same row, as doubles whatever the feature's type: no shuffle, no row id.
+    low, high = F.lit(lo) + F.col("__bin") * F.lit(width), F.lit(lo) + (F.col("__bin") + 1) * F.lit(width)
+    held = binned.columns
+    below = scorer(binned.withColumn(feature, low)).select(*held, F.col("prediction").alias("__below"))
+    both = scorer(below.withColumn(feature, high)).select("__bin", "__below", "prediction")
+    diffs = both.select("__bin", (F.col("prediction") - F.col("__below")).alias("__d"))
     per_bin = diffs.groupBy(F.col("__bin").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("__d").alias("effect"),
         F.stddev_pop("__d").alias("heterogeneity"))
@@ -196,3 +193,15 @@ def ale(rows: DataFrame, scorer: Scorer, feature: str, bins: int = 20,
     return acc.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
                       "n", "effect", "heterogeneity", (F.col("__acc") - centre).alias("ale"))
+
+
+def ale_all(rows: DataFrame, scorer: Scorer, features: Sequence[str], bins: int = 20, sample: int | None = 3000,
+            id_col: str = "Claim_ID", seed: int = K.RANDOM_STATE) -> DataFrame:
+    """``ale`` of several numeric features over one seeded sample of rows (None: all rows), with a ``feature`` column."""
+    if sample is not None:
+        rows = sample_n(rows, sample, seed, id_col)
+    parts = [ale(rows, scorer, f, bins).withColumn("feature", F.lit(f)) for f in features]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -144,8 +144,7 @@ def estimate_features(df: DataFrame, type_means: DataFrame | None = None) -> Dat
     if type_means is None:
         df = attach_group_mean(df, "Claim_Type", "Estimated_Claim_Amount", "Type_Avg_Estimate")
     else:
-        df = attach_lookup(df.drop("Type_Avg_Estimate"), type_means.dropDuplicates(["Claim_Type"]),
-                           "Claim_Type", "Type_Avg_Estimate")
+        df = attach_lookup(df, type_means, "Claim_Type", "Type_Avg_Estimate")
     return df.withColumns({
         "Estimate_Relative_to_Type": F.try_divide(est, F.col("Type_Avg_Estimate")),
         "Complexity_Score": _flag(F.col("Traffic_Condition").isin(*K.COMPLEX_TRAFFIC)

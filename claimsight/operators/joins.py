@@ -1,4 +1,4 @@
-"""Joins (J1-J3) and the size-checked broadcast used for small dimension tables."""
+"""Joins (J1-J3).  No side is hinted: Catalyst and AQE broadcast what they measure to be small."""
 
 from __future__ import annotations
 
@@ -7,26 +7,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is at or below this bound;
-# beyond it the join stays a shuffle join (AQE may still demote it at run time).
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def join_small(left: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``small`` to ``left``, broadcasting it only after checking its size.
-
-    ``small`` is typically an aggregate of ``left`` (one row per group).  It is
-    cached and counted -- the count is the size check -- so the aggregate runs
-    once; when it has more than ``max_rows`` rows the join is planned as an
-    ordinary shuffle join instead.
-    """
-    small = small.cache()
-    n = small.count()
-    right = F.broadcast(small) if n <= max_rows else small
-    return left.join(right, on, how)
-
-
 def merge_claims_policies(claims: DataFrame, policies: DataFrame,
                           on: Sequence[str] = ("Policy_ID", "Customer_ID"),
                           null_safe: bool = True, suffixes=("_x", "_y")) -> DataFrame:
@@ -53,9 +33,7 @@ def merge_claims_policies(claims: DataFrame, policies: DataFrame,
     return joined.drop(*[f"__r_{k}" for k in on])
 
 
-def attach_group_mean(df: DataFrame, key: str, value: str, out: str,
-                      max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      max_literal_keys: int = 10_000) -> DataFrame:
+def attach_group_mean(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Group-transform mean (J2/W1): each row gets the mean of ``value`` over its ``key``.
 
     Rows whose key is NULL get NULL (NULL keys form no group).  Written as a
@@ -63,29 +41,19 @@ def attach_group_mean(df: DataFrame, key: str, value: str, out: str,
     over a low-cardinality key would pull every row of a key into one sorted
     task, while the aggregate shuffles one partial row per key and task.
     """
-    means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value).alias(out))
-    return attach_lookup(df, means, key, out, max_rows, max_literal_keys)
+    means = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.avg(value).alias(out))
+    return df.drop(out).join(means, F.col(key) == F.col("__key"), "left").drop("__key")
 
 
-def attach_lookup(df: DataFrame, table: DataFrame, key: str, out: str,
-                  max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_literal_keys: int = 10_000) -> DataFrame:
-    """Attach ``table[out]`` by a unique ``key``.
+def attach_lookup(df: DataFrame, table: DataFrame, key: str, out: str) -> DataFrame:
+    """Attach ``table[out]`` by ``key`` with one equi-join, whatever the size of ``table``.
 
-    Up to ``max_literal_keys`` keys (checked by fetching at most one more row)
-    the table becomes a literal map expression: no join at all, and queries
-    that do not use ``out`` prune it away.  Larger tables are joined with
-    :func:`join_small` (broadcast behind a row-count check, else a shuffle join).
+    Rows with a NULL key get NULL, NULL keys of ``table`` match nothing, and of
+    several rows with one key the largest value counts.
     """
-    rows = table.select(key, out).limit(max_literal_keys + 1).collect()
-    if len(rows) <= max_literal_keys:
-        if not rows:
-            return df.withColumn(out, F.lit(None).cast(table.schema[out].dataType))
-        pairs = []
-        for r in rows:
-            pairs += [F.lit(r[0]), F.lit(r[1])]
-        lookup = F.create_map(*pairs)
-        return df.withColumn(out, F.when(F.col(key).isNotNull(), F.element_at(lookup, F.col(key))))
-    return join_small(df, table.select(key, out), key, "left", max_rows)
+    unique = (table.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"))
+              .agg(F.max(out).alias(out)))
+    return df.drop(out).join(unique, F.col(key) == F.col("__key"), "left").drop("__key")
 
 
 def monthly_high_share(df: DataFrame, month_col: str, amount: str, threshold: float) -> DataFrame:

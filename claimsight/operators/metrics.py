@@ -49,22 +49,6 @@ def smape(y, p) -> Column:
     return F.coalesce(F.avg(F.when(den != 0, F.lit(2.0) * F.abs(p - y) / den)), F.lit(0.0))
 
 
-def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """MSE, RMSE, MAE, MAPE, R2 as a one-row DataFrame."""
-    m = mse(label, prediction)
-    return df.agg(m.alias("mse"), F.sqrt(m).alias("rmse"), mae(label, prediction).alias("mae"),
-                  mape(label, prediction).alias("mape"), r2(label, prediction).alias("r2"))
-
-
-def full_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """All metrics including RMSLE and SMAPE, one row."""
-    m = mse(label, prediction)
-    return df.agg(F.count(F.lit(1)).alias("n"), m.alias("mse"), F.sqrt(m).alias("rmse"),
-                  mae(label, prediction).alias("mae"), mape(label, prediction).alias("mape"),
-                  r2(label, prediction).alias("r2"), rmsle(label, prediction).alias("rmsle"),
-                  smape(label, prediction).alias("smape"))
-
-
 # --------------------------------------------------------------------------- M10
 def fit_loglinear(df: DataFrame, x: str = "Estimated_Claim_Amount",
                   y: str = "Ultimate_Claim_Amount") -> tuple[float, float]:

@@ -10,7 +10,6 @@ the executors.  The label is ``log1p(Ultimate_Claim_Amount)`` -- applied once.
 
 from __future__ import annotations
 
-import datetime as _dt
 import itertools
 from dataclasses import dataclass, field
 from typing import Any, Sequence
@@ -34,13 +33,19 @@ LABEL = "label"
 
 # --------------------------------------------------------------------------- M2, M3, M4
 def numeric_statistics(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float, float]]:
-    """Per column: (median, mean, population std) of the median-imputed train values."""
+    """Per column: (median, mean, population std) of the median-imputed train values.
+
+    A column without any value imputes and standardises to 0.
+    """
     cols = list(cols)
+    if not cols:
+        return {}
     med = exact_quantiles(train, cols, [0.5])
+    med = {c: {0.5: 0.0 if med[c][0.5] is None else med[c][0.5]} for c in cols}
     filled = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c][0.5])).alias(c) for c in cols])
     row = filled.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                      *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    return {c: (med[c][0.5], row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+    return {c: (med[c][0.5], row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(cols)}
 
 
 def numeric_expressions(stats: dict[str, tuple[float, float, float]]) -> list[str]:
@@ -94,12 +99,21 @@ def elastic_net(regParam: float = 1.0, elasticNetParam: float = 0.5, maxIter: in
                             elasticNetParam=elasticNetParam, maxIter=maxIter, tol=tol, standardization=False)
 
 
+#: MLlib grows trees no deeper.
+MOST_DEPTH = 30
+
+
 def random_forest(numTrees: int = 100, maxDepth: int = 10, minInstancesPerNode: int = 1,
-                  seed: int = K.RANDOM_STATE) -> RandomForestRegressor:
-    """Random forest (M6): every feature considered at each split, like the reference."""
+                  seed: int = K.RANDOM_STATE, bootstrap: bool = True) -> RandomForestRegressor:
+    """Random forest (M6): every feature considered at each split, like the reference.
+
+    A ``maxDepth`` over MLlib's limit of 30 raises.
+    """
+    if maxDepth > MOST_DEPTH:
+        raise ValueError(f"maxDepth {maxDepth} is beyond MLlib's limit of {MOST_DEPTH}")
     return RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=numTrees,
-                                 maxDepth=min(maxDepth, 30), minInstancesPerNode=minInstancesPerNode,
-                                 featureSubsetStrategy="all", seed=seed)
+                                 maxDepth=maxDepth, minInstancesPerNode=minInstancesPerNode,
+                                 featureSubsetStrategy="all", seed=seed, bootstrap=bootstrap)
 
 
 def gradient_boosting(maxIter: int = 100, stepSize: float = 0.1, maxDepth: int = 3,
@@ -196,57 +210,85 @@ def tune(train: DataFrame, name: str, grid: dict[str, list] | None = None, folds
          train_scores: bool = False) -> tuple[TrainedModel, DataFrame]:
     """Exhaustive grid search with k-fold CV, refit on the best RMSLE.
 
-    RMSE of the log1p label *is* the RMSLE of the amounts, so the built-in
-    evaluator serves.  Folds come from a hash of the claim id (deterministic,
-    no shuffle).  The assembled training vectors are persisted once and shared
-    by every fold and grid point.  Returns the refit model and a table of
-    average CV RMSLE per grid point; with ``train_scores`` also the average
-    RMSLE of each fold model on its own training folds (one distributed
-    evaluation per fold and grid point, from the collected sub-models).
+    Folds come from an MD5 of the claim id (deterministic, no shuffle, the same
+    in any SQL engine).  The assembled training vectors are persisted once and
+    shared by every fold and grid point.  Returns the refit model and, per grid
+    point, the mean over folds of RMSLE and SMAPE on the held-out fold
+    (``cv_rmsle``, ``cv_smape``) and, with ``train_scores``, on the other folds
+    (``train_rmsle``, ``train_smape``).  RMSE of the log1p label *is* the RMSLE
+    of the amounts.  One aggregate per fold scores all its grid points.
     """
     grid = grid if grid is not None else GRIDS[name]
     labelled = with_label(train)
     prep = fit_feature_pipeline(labelled, numeric, categorical)
-    id_col = "Claim_ID" if "Claim_ID" in labelled.columns else None
-    fold = F.pmod(F.xxhash64(F.col(id_col)) if id_col else F.monotonically_increasing_id(), F.lit(folds))
-    vec = prep.transform(labelled).select("features", LABEL, fold.cast("int").alias("fold")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    vec = prep.transform(labelled).select("features", LABEL, cv_fold(folds).alias("fold")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         est = BUILDERS[name]()
         maps = param_grid(est, grid)
         cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
                             evaluator=RegressionEvaluator(labelCol=LABEL, metricName="rmse"),
                             foldCol="fold", numFolds=folds, parallelism=parallelism,
-                            seed=K.RANDOM_STATE, collectSubModels=train_scores)
+                            seed=K.RANDOM_STATE, collectSubModels=True)
         cvm = cv.fit(vec)
         best = cvm.bestModel
         best_params = {p.name: best.getOrDefault(p) for p in maps[0].keys()} if maps and maps[0] else {}
-        train_rmsle: list = [None] * len(maps)
-        if train_scores:
-            ev = RegressionEvaluator(labelCol=LABEL, metricName="rmse")
+        total = [[0.0] * 4 for _ in maps]
+        for k in range(folds):
+            scored = vec
+            for j in range(len(maps)):
+                scored = cvm.subModels[k][j].setPredictionCol(f"p{j}").transform(scored)
+            held = F.col("fold") == k
+            sides = (held, ~held) if train_scores else (held,)
+            row = scored.agg(*[e.alias(f"m{i}") for i, e in enumerate(
+                x for j in range(len(maps)) for side in sides for x in _cv_scores(f"p{j}", side))]).first()
             for j in range(len(maps)):
-                train_rmsle[j] = sum(ev.evaluate(cvm.subModels[k][j].transform(vec.where(F.col("fold") != k)))
-                                     for k in range(folds)) / folds
-        rows = [({p.name: str(v) for p, v in m.items()}, float(s), t)
-                for m, s, t in zip(maps, cvm.avgMetrics, train_rmsle)]
+                for i in range(2 * len(sides)):
+                    total[j][i] += row[2 * len(sides) * j + i] / folds
+        rows = [({p.name: str(v) for p, v in m.items()}, *t[:2], *(t[2:] if train_scores else (None, None)))
+                for m, t in zip(maps, total)]
         table = train.sparkSession.createDataFrame(
-            rows, "params map<string,string>, cv_rmsle double, train_rmsle double")
+            rows, "params map<string,string>, cv_rmsle double, cv_smape double, train_rmsle double, train_smape double")
     finally:
         vec.unpersist()
     return TrainedModel(name, PipelineModel(stages=[prep, best]), best_params), table
 
 
+def cv_fold(folds: int, id_col: str = "Claim_ID"):
+    """Fold of a claim: an MD5-derived integer modulo ``folds``."""
+    digits = F.substring(F.md5(F.concat(F.col(id_col).cast("string"), F.lit("#fold"))), 1, 15)
+    return (F.conv(digits, 16, 10).cast("long") % folds).cast("int")
+
+
+def _cv_scores(prediction: str, side) -> list:
+    """RMSLE and SMAPE of the rows on one side, from log-scale predictions."""
+    error = F.col(prediction) - F.col(LABEL)
+    return [F.sqrt(F.avg(F.when(side, error * error))),
+            M.smape(F.when(side, F.expm1(LABEL)), F.when(side, F.expm1(prediction)))]
+
+
 def grid_size(name: str) -> int:
     return len(list(itertools.product(*GRIDS[name].values())))
 
 
 # --------------------------------------------------------------------------- M16-M19
+#: Columns of the run table: errors of the log1p label, then errors of the amounts in currency.
+RUN_METRICS = ("mse_log", "rmse_log", "mae_log", "r2_log", "mse", "rmse", "mae", "mape", "r2", "rmsle", "smape")
+
+
+def run_metrics(m: dict) -> dict[str, float | None]:
+    """Metrics of one evaluated model with the squared errors of both scales."""
+    out = dict(m)
+    for scale in ("", "_log"):
+        rmse = m.get(f"rmse{scale}")
+        out[f"mse{scale}"] = None if rmse is None else rmse ** 2
+    return out
+
+
 def metrics_table(spark: SparkSession, models: Sequence[TrainedModel]) -> DataFrame:
-    rows = [(m.name, {k: str(v) for k, v in m.params.items()}, m.metrics.get("mse_log"),
-             m.metrics.get("rmse"), m.metrics.get("mae"), m.metrics.get("mape"), m.metrics.get("r2"),
-             m.metrics.get("rmsle"), m.metrics.get("smape")) for m in models]
-    return spark.createDataFrame(rows, "model string, params map<string,string>, mse double, rmse double, "
-                                       "mae double, mape double, r2 double, rmsle double, smape double")
+    """One row per model; a name ending in ``_log`` is on the label's scale, the others on the amounts'."""
+    rows = [(m.name, {k: str(v) for k, v in m.params.items()}, *[m.metrics.get(c) for c in RUN_METRICS]) for m in models]
+    return spark.createDataFrame(rows, "model string, params map<string,string>, "
+                                       + ", ".join(f"{c} double" for c in RUN_METRICS))
 
 
 def compare_models(metrics: DataFrame) -> DataFrame:
@@ -260,27 +302,22 @@ def best_model(metrics: DataFrame) -> str | None:
 
 
 def train_all(train: DataFrame, test: DataFrame, enabled: Sequence[str] = tuple(BUILDERS),
-              params: dict[str, dict] | None = None) -> list[TrainedModel]:
-    """Fit every enabled model and evaluate it on the test split."""
+              params: dict[str, dict] | None = None, **features) -> list[TrainedModel]:
+    """Fit every enabled model and evaluate it on the test split (M18); ``features`` as in :func:`fit_model`."""
     params = params or {}
     out = []
     for name in enabled:
-        tm = fit_model(train, name, params.get(name))
-        m = evaluate_model(test, tm.model)
-        m["mse_log"] = m["rmse_log"] ** 2 if m.get("rmse_log") is not None else None
-        tm.metrics = m
+        tm = fit_model(train, name, params.get(name), **features)
+        tm.metrics = run_metrics(evaluate_model(test, tm.model))
         out.append(tm)
     return out
 
 
 def retrain(df: DataFrame, enabled: Sequence[str] = tuple(BUILDERS), params: dict[str, dict] | None = None,
-            fraction: float = K.TEST_SIZE, seed: int = K.RANDOM_STATE) -> tuple[list[TrainedModel], DataFrame]:
+            fraction: float = K.TEST_SIZE, seed: int = K.RANDOM_STATE,
+            **features) -> tuple[list[TrainedModel], DataFrame]:
     """Refit on new labelled claims: split, train all, compare."""
     from claimsight.operators.split import train_test_split
     train, test = train_test_split(df, fraction=fraction, seed=seed)
-    models = train_all(train, test, enabled, params)
+    models = train_all(train, test, enabled, params, **features)
     return models, compare_models(metrics_table(df.sparkSession, models))
-
-
-def now_version() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")

@@ -66,7 +66,9 @@ def with_moving_average(series: DataFrame, order_col: str = "Month", value: str
 
 
 def _monthly(df: DataFrame, agg: Column) -> DataFrame:
-    series = df.groupBy(D.month_start("Accident_Date").alias("Month")).agg(agg.alias("value"))
+    # A claim without a date has no month; a NULL month would sort first and enter the means.
+    dated = df.where(F.col("Accident_Date").isNotNull())
+    series = dated.groupBy(D.month_start("Accident_Date").alias("Month")).agg(agg.alias("value"))
     return with_moving_average(series)
 
 
@@ -83,7 +85,8 @@ def monthly_volume(df: DataFrame, key: str = "Policy_ID") -> DataFrame:
 def monthly_high_severity_pct(df: DataFrame, threshold: float = K.MEDIUM_SEVERITY,
                               amount: str = ULT) -> DataFrame:
     """Percent of claims above ``threshold`` by month (G6, via J3)."""
-    series = monthly_high_share(df.withColumn("Month", D.month_start("Accident_Date")),
+    series = monthly_high_share(df.where(F.col("Accident_Date").isNotNull())
+                                .withColumn("Month", D.month_start("Accident_Date")),
                                 "Month", amount, threshold)
     return with_moving_average(series)
 
@@ -145,8 +148,9 @@ def amount_histogram(df: DataFrame, col: str = ULT, bins: int = 40) -> DataFrame
 
 # --------------------------------------------------------------------------- G11-G13
 def trend_volume(df: DataFrame) -> DataFrame:
-    """By month: distinct policies and total amount."""
-    return (df.groupBy(D.month_start("Accident_Date").alias("Month"))
+    """By month: distinct policies and total amount; claims without a date have no month."""
+    return (df.where(F.col("Accident_Date").isNotNull())
+            .groupBy(D.month_start("Accident_Date").alias("Month"))
             .agg(F.count_distinct("Policy_ID").alias("Volume"), F.sum(ULT).alias("Total_Amount")))
 
 

@@ -87,3 +87,4 @@ from claimsight.plans import queries_features  # noqa: E402,F401
 from claimsight.plans import queries_analytics  # noqa: E402,F401
 from claimsight.plans import queries_models  # noqa: E402,F401
 from claimsight.plans import queries_io  # noqa: E402,F401
+from claimsight.plans import queries_checks  # noqa: E402,F401

@@ -8,23 +8,25 @@ by R2, save every model and promote the best (entry 2).
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from claimsight.operators import ml as ML
-from claimsight.operators.features import derive_features
+from claimsight.operators.features import derive_features, estimate_features, flags, upload_features
 from claimsight.operators.joins import merge_claims_policies
 from claimsight.operators.quality import validate
 from claimsight.operators.split import train_test_split, with_split
+from claimsight.plans.scoring import materialize
 from claimsight.sources import artifacts as A
-from claimsight.sources.files import read_claims, read_policies
+from claimsight.sources.files import read_claims, read_policies, read_upload
 
 
 def prepare_frames(claims: DataFrame, policies: DataFrame, missing_threshold: float = 0.1,
                    median_method: str = "exact") -> tuple[DataFrame, dict]:
-    """Join, validate (raises on critical missing values) and derive features."""
-    merged = merge_claims_policies(claims, policies)
+    """Join (written once), validate (raises on critical missing values) and derive features."""
+    merged = materialize(claims.sparkSession, merge_claims_policies(claims, policies), f"joined/{uuid.uuid4().hex}")
     report = validate(merged, missing_threshold)
     return derive_features(merged, median_method=median_method), report
 
@@ -46,22 +48,21 @@ def persist_split(df: DataFrame, path: str) -> DataFrame:
 
 def train_and_promote(spark: SparkSession, processed: DataFrame, models_base: str,
                       enabled: Sequence[str] = tuple(ML.BUILDERS), params: dict[str, dict] | None = None,
-                      tune_grids: dict[str, dict] | None = None) -> DataFrame:
+                      tune_grids: dict[str, dict] | None = None, **features) -> DataFrame:
     """Entry 2: fit (or tune) each enabled model, save all, promote the best by R2.
 
+    ``features`` (``numeric``, ``categorical``) as in :func:`claimsight.operators.ml.fit_model`.
     Returns the ranked metrics table.
     """
     train, test = train_test_split(processed)
     trained = []
     for name in enabled:
         if tune_grids and name in tune_grids:
-            tm, _ = ML.tune(train, name, tune_grids[name])
+            tm, _ = ML.tune(train, name, tune_grids[name], **features)
         else:
-            tm = ML.fit_model(train, name, (params or {}).get(name))
-        m = ML.evaluate_model(test, tm.model)
-        m["mse_log"] = m["rmse_log"] ** 2 if m.get("rmse_log") is not None else None
-        tm.metrics = m
-        A.save_model(spark, tm.model, models_base, name, tm.params, m)
+            tm = ML.fit_model(train, name, (params or {}).get(name), **features)
+        tm.metrics = ML.run_metrics(ML.evaluate_model(test, tm.model))
+        A.save_model(spark, tm.model, models_base, name, tm.params, tm.metrics)
         trained.append(tm)
     ranked = ML.compare_models(ML.metrics_table(spark, trained))
     best = ranked.first()
@@ -69,3 +70,13 @@ def train_and_promote(spark: SparkSession, processed: DataFrame, models_base: st
         winner = next(t for t in trained if t.name == best["model"])
         A.promote(spark, winner.model, models_base, winner.name, "r2", best["r2"])
     return ranked
+
+
+def score_upload(spark: SparkSession, path: str, models_base: str, model: str, as_of: str,
+                 type_means: DataFrame | None = None) -> DataFrame:
+    """Batch upload scoring: read and check the upload, derive its features, load the model, predict, enrich.
+
+    ``type_means`` (``Claim_Type, Type_Avg_Estimate``) are the portfolio's averages.
+    """
+    df = estimate_features(flags(upload_features(read_upload(spark, path), as_of)), type_means=type_means)
+    return ML.score(df, A.load_model(spark, models_base, model))

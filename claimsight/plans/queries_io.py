@@ -26,12 +26,16 @@ def _run_dir(spark, what: str) -> str:
 
 
 @register("dataset_metadata", """
-SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(28 AS INT) AS n_columns, CAST(13 AS INT) AS numeric_columns,
-  CAST(15 AS INT) AS object_columns FROM features""")
+SELECT CAST(any_value(n) AS BIGINT) AS n_rows, CAST(count(*) AS INT) AS n_columns,
+  CAST(count(*) FILTER (WHERE kind IN ('BIGINT', 'INTEGER', 'DOUBLE') OR kind LIKE 'DECIMAL%') AS INT) AS numeric_columns,
+  CAST(count(*) FILTER (WHERE kind = 'VARCHAR') AS INT) AS text_columns,
+  CAST(count(*) FILTER (WHERE kind LIKE 'TIMESTAMP%' OR kind = 'DATE') AS INT) AS time_columns
+FROM (SELECT typeof(COLUMNS(*)) FROM features LIMIT 1) UNPIVOT INCLUDE NULLS (kind FOR col IN (*))
+CROSS JOIN (SELECT count(*) AS n FROM features)""")
 def q_dataset_metadata(spark, sf):
     """Rows, columns and column-kind counts of the processed artifact (A1, A3)."""
     meta = A.dataset_metadata(prepared(spark, sf), "processed")
-    return meta.select("n_rows", "n_columns", "numeric_columns", "object_columns")
+    return meta.select("n_rows", "n_columns", "numeric_columns", "text_columns", "time_columns")
 
 
 @register("processed_roundtrip", """
@@ -98,7 +102,7 @@ def q_score_arrivals(spark, sf):
     base = _run_dir(spark, "arrivals")
     df = prepared(spark, sf)
     a, b = fit_loglinear(df.where(~is_test()))
-    export_csv(df.select(*UPLOAD_COLUMNS).repartition(4), f"{base}/in")
+    export_csv(df.select(*UPLOAD_COLUMNS), f"{base}/in")
     type_means = df.select("Claim_Type", "Type_Avg_Estimate").dropDuplicates(["Claim_Type"])
 
     def scorer(s):
@@ -122,11 +126,11 @@ def q_monthly_exposure_stream(spark, sf):
     """Claims arriving as CSV files keep the monthly exposure current (stateful stream, G4 + W2)."""
     from claimsight.operators.portfolio import with_moving_average
     from claimsight.plans.catalog import iso
-    from claimsight.streaming.arrivals import EXPOSURE_SCHEMA, monthly_exposure_stream
+    from claimsight.streaming.arrivals import EXPOSURE_SCHEMA, monthly_exposure_stream, read_snapshot
     base = _run_dir(spark, "exposure_stream")
     cols = [f.name for f in EXPOSURE_SCHEMA.fields]
-    export_csv(prepared(spark, sf).select(*cols).repartition(4), f"{base}/in")
+    export_csv(prepared(spark, sf).select(*cols), f"{base}/in")
     q = monthly_exposure_stream(spark, f"{base}/in", f"{base}/snapshot", f"{base}/_checkpoint", EXPOSURE_SCHEMA)
     q.awaitTermination()
-    snap = spark.read.parquet(f"{base}/snapshot").select("Month", "value")
+    snap = read_snapshot(spark, f"{base}/snapshot").select("Month", "value")
     return iso(rnd(with_moving_average(snap), {"value": 2, "moving_avg": 2}), "Month")

@@ -74,8 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is.  Only when nothing is configured (local tests) do we set
-    a scratch folder of our own.
+    and is used as is.  Only a ``local`` master, where driver and executors are one
+    process, may go without; any other master without the setting raises, as a
+    machine-local folder would lose rows.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -85,6 +86,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="claimsight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

@@ -33,50 +33,55 @@ def _version() -> str:
 
 # --------------------------------------------------------------------------- A3
 def schema_fingerprint(df: DataFrame) -> dict[str, Any]:
-    """MD5 of the sorted JSON of column names and types, plus the column count (A3).
+    """MD5 of Spark's own schema, names and types in column order, and the column count (A3).
 
-    Metadata only: no Spark job runs.
+    Metadata only: no Spark job runs.  Another order of columns is another schema.
     """
-    spec = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    digest = hashlib.md5(json.dumps(spec, sort_keys=True).encode()).hexdigest()
-    return {"schema_hash": digest, "n_columns": len(spec)}
+    ordered = ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return {"schema_hash": hashlib.md5(ordered.encode()).hexdigest(), "n_columns": len(df.columns)}
 
 
 # --------------------------------------------------------------------------- A1
 META_SCHEMA = ("stage string, version string, created_at string, n_rows bigint, n_columns int, "
-               "schema_hash string, numeric_columns int, object_columns int, "
+               "schema_hash string, numeric_columns int, text_columns int, time_columns int, "
                "train_rows bigint, test_rows bigint, train_hash string, test_hash string, "
                "schema_consistent boolean, columns array<string>, info map<string,string>")
 
+_TIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def dataset_metadata(df: DataFrame, stage: str = "processed", version: str | None = None,
                      lineage: dict[str, str] | None = None, test: DataFrame | None = None) -> DataFrame:
     """One-row metadata table (A1).
 
-    ``processed``: rows, columns, schema hash, numeric/other column counts and
-    lineage.  ``split``: ``df`` is the training part and ``test`` the test part;
-    rows of both, their schema hashes and whether they agree.  Any other stage
-    raises.  Row counts are the only jobs.
+    Columns, their kinds (numeric, text, date or time) and the schema hash
+    describe ``df``.  A ``processed`` dataset adds its rows; a ``split`` has
+    ``df`` as the training part and ``test`` as the other, and adds the rows and
+    schema hash of both and whether the schemas agree.  ``lineage`` (for a split
+    also its method, parameters and target) is kept as text in ``info``.  Row
+    counts are the only jobs.
     """
-    spark = df.sparkSession
-    version = version or _version()
-    created = _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-    fp = schema_fingerprint(df)
-    numeric = sum(isinstance(f.dataType, _NUMERIC) for f in df.schema.fields)
-    info = {k: str(v) for k, v in (lineage or {}).items()}
+    if stage not in ("processed", "split"):
+        raise ValueError(f"no metadata is defined for stage {stage!r}")
+    if stage == "split" and test is None:
+        raise ValueError("the metadata of a split needs its test part")
+    own = schema_fingerprint(df)
+    kinds = [f.dataType for f in df.schema.fields]
+    row = {"stage": stage, "version": version or _version(),
+           "created_at": _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds"),
+           "n_columns": own["n_columns"], "schema_hash": own["schema_hash"],
+           "numeric_columns": sum(isinstance(k, _NUMERIC) for k in kinds),
+           "text_columns": sum(isinstance(k, T.StringType) for k in kinds),
+           "time_columns": sum(isinstance(k, _TIME) for k in kinds),
+           "columns": list(df.columns), "info": {k: str(v) for k, v in (lineage or {}).items()}}
     if stage == "processed":
-        row = (stage, version, created, df.count(), fp["n_columns"], fp["schema_hash"], numeric,
-               fp["n_columns"] - numeric, None, None, None, None, None, list(df.columns), info)
-    elif stage == "split":
-        if test is None:
-            raise ValueError("stage 'split' needs the test part")
-        tfp = schema_fingerprint(test)
-        row = (stage, version, created, None, fp["n_columns"], fp["schema_hash"], numeric,
-               fp["n_columns"] - numeric, df.count(), test.count(), fp["schema_hash"], tfp["schema_hash"],
-               fp["schema_hash"] == tfp["schema_hash"], list(df.columns), info)
+        row["n_rows"] = df.count()
     else:
-        raise ValueError(f"Unknown stage: {stage}")
-    return spark.createDataFrame([row], META_SCHEMA)
+        other = schema_fingerprint(test)["schema_hash"]
+        row |= {"train_rows": df.count(), "test_rows": test.count(), "train_hash": own["schema_hash"],
+                "test_hash": other, "schema_consistent": other == own["schema_hash"]}
+    names = [part.split()[0] for part in META_SCHEMA.split(", ")]
+    return df.sparkSession.createDataFrame([tuple(row.get(n) for n in names)], META_SCHEMA)
 
 
 # --------------------------------------------------------------------------- S3, S4, A2
@@ -163,7 +168,7 @@ def load_model(spark: SparkSession, base: str, name: str, version: str | None =
 
 
 def promote(spark: SparkSession, model: PipelineModel, base: str, source_name: str,
-            metric: str, value: float, alias: str = "claims_model_best") -> str:
+            metric: str, value: float, alias: str = "promoted") -> str:
     """Save the winner under a stable alias with a promotion record."""
     return save_model(spark, model, base, alias, params={"source": source_name, "selection_metric": metric},
                       metrics={metric: value})

@@ -49,16 +49,45 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERM
 
     Every column is read as text (no inference pass), then cast; text that is
     not a number becomes NULL.  Columns the schema lacks are kept as text;
-    schema columns missing from the file are absent from the result.
+    schema columns missing from the file are absent from the result.  The files
+    of a folder may order their columns differently: files with the same
+    header are read together, and the parts are united by name.
     """
-    raw = spark.read.option("header", True).option("mode", mode).csv(path)
     types = {f.name: f.dataType for f in schema.fields}
-    out = []
-    for c in raw.columns:
-        t = types.get(c)
-        out.append(F.col(f"`{c}`") if t is None or isinstance(t, T.StringType)
-                   else F.trim(F.col(f"`{c}`")).try_cast(t).alias(c))
-    return raw.select(*out)
+    parts = []
+    for header, files in _headers(spark, path).items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        # enforceSchema=false makes Spark check every file's header against the names.
+        raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False)
+               .option("mode", mode).csv(files))
+        out = []
+        for c in header:
+            t = types.get(c)
+            out.append(F.col(f"`{c}`") if t is None or isinstance(t, T.StringType)
+                       else F.trim(F.col(f"`{c}`")).try_cast(t).alias(c))
+        parts.append(raw.select(*out))
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p, allowMissingColumns=True)
+    return whole
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files under ``path``, from a light pass over the text; one row per file reaches the driver."""
+    first = (spark.read.text(path).select(F.col("_metadata.file_path").alias("file"),
+                                          F.col("_metadata.file_block_start").alias("start"), "value")
+             .where("start = 0 AND value <> ''").groupBy("file")
+             .agg(F.first("value").alias("header")).collect())
+    groups: dict[str, list[str]] = {}
+    for r in sorted(first, key=lambda r: r["file"]):
+        groups.setdefault(r["header"], []).append(r["file"])
+    out: dict[tuple[str, ...], list[str]] = {}
+    for header, files in groups.items():
+        names = spark.read.option("header", True).csv(spark.sparkContext.parallelize([header], 1)).columns
+        out.setdefault(tuple(names), []).extend(files)
+    if not out:
+        raise FileNotFoundError(f"no CSV header under {path}")
+    return out
 
 
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
@@ -81,11 +110,10 @@ def read_upload(spark: SparkSession, path: str, header_schema: T.StructType | No
     Any malformed date or number rejects the whole upload, like the
     reference.  The check is one aggregate pass counting unparseable values;
     the returned DataFrame is lazy.  ``header_schema`` lists the upload's
-    columns as text (defaults to reading the header of the files).
+    columns as text (defaults to the headers of the files).
     """
-    if header_schema is None:
-        header_schema = spark.read.option("header", True).csv(path).limit(0).schema
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in header_schema.fields])
+    wanted = header_schema.fields if header_schema is not None else []
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
     raw = _csv(spark, path, text, mode="FAILFAST")
     casts = {}
     for c in raw.columns:

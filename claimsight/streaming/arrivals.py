@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from claimsight import config as K
 from claimsight.operators.features import estimate_features, flags, upload_features
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -24,11 +26,25 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 def arrivals_stream(spark: SparkSession, in_dir: str, schema: T.StructType, as_of: str,
                     type_means: DataFrame | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The featurised arrivals as a streaming DataFrame."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    """The featurised arrivals as a streaming DataFrame.
+
+    Files whose header differs from ``schema`` in names or order stop the
+    stream.  A row with a malformed date or number is set aside: ``Rejected``
+    lists its bad columns (NULL for good rows).
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    reader = spark.readStream.schema(text).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(in_dir)
+    raw, typed, bad = reader.csv(in_dir), {}, []
+    for f in schema.fields:
+        kind = T.TimestampNTZType() if f.name in K.DATE_COLUMNS else f.dataType
+        if not isinstance(kind, T.StringType):
+            value = F.trim(F.col(f.name))
+            typed[f.name] = value.try_cast(kind)
+            bad.append(F.when((value != "") & typed[f.name].isNull(), F.lit(f.name)))
+    rejected = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    raw = raw.withColumns(typed | {"Rejected": F.when(F.size(rejected) > 0, F.array_join(rejected, ","))})
     df = upload_features(raw, as_of)
     df = flags(df)
     if type_means is not None and "Estimated_Claim_Amount" in df.columns:
@@ -39,10 +55,13 @@ def arrivals_stream(spark: SparkSession, in_dir: str, schema: T.StructType, as_o
 def score_arrivals(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: T.StructType,
                    scorer: Scorer, as_of: str, type_means: DataFrame | None = None,
                    available_now: bool = True) -> StreamingQuery:
-    """Start the scoring stream; ``scorer`` adds ``prediction`` on the log scale."""
+    """Start the scoring stream; ``scorer`` adds ``prediction`` on the log scale.
+
+    Rejected rows reach the sink without a prediction.
+    """
     from claimsight.functions import rules as R
     df = scorer(arrivals_stream(spark, in_dir, schema, as_of, type_means))
-    df = df.withColumn("Predictions", F.expm1(F.col("prediction")))
+    df = df.withColumn("Predictions", F.when(F.col("Rejected").isNull(), F.expm1(F.col("prediction"))))
     df = df.withColumns({"Severity": R.severity("Predictions"), "Recommended_Reserve": R.reserve("Predictions")})
     keep = [c for c in df.columns if not c.startswith("__") and c != "features"]
     writer = (df.select(*keep).writeStream.format("parquet").option("path", out_dir)
@@ -59,8 +78,9 @@ def monthly_exposure_stream(spark: SparkSession, in_dir: str, snapshot_path: str
     A stateful streaming aggregation in ``complete`` mode: the state holds one
     row per accident month -- bounded by the calendar, not by the claims -- so
     no watermark is needed and no late claim is ever dropped.  Each epoch
-    overwrites the snapshot table (idempotent if an epoch is replayed); the
-    3-month mean is applied to the snapshot in batch.
+    writes a version of its own (the same one if an epoch is replayed), so a
+    failed write never touches the version before it; :func:`read_snapshot`
+    gives the newest complete one.  The 3-month mean is applied to it in batch.
     """
     from claimsight.functions.dates import month_start
     from claimsight.operators.features import parse_dates
@@ -70,7 +90,7 @@ def monthly_exposure_stream(spark: SparkSession, in_dir: str, snapshot_path: str
         F.sum(amount).alias("value"), F.count(F.lit(1)).alias("claims"))
 
     def write_snapshot(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(snapshot_path)
+        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{snapshot_path}/version={epoch_id}")
 
     writer = (agg.writeStream.outputMode("complete").foreachBatch(write_snapshot)
               .option("checkpointLocation", checkpoint))
@@ -78,6 +98,24 @@ def monthly_exposure_stream(spark: SparkSession, in_dir: str, snapshot_path: str
     return writer.start()
 
 
+def read_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame:
+    """The newest complete snapshot; without any, no rows.
+
+    A version whose write failed holds no data files, so its rows can't be the newest.
+    """
+    fields = T.StructType([T.StructField("Month", T.DateType()), T.StructField("value", T.DoubleType()),
+                           T.StructField("claims", T.LongType()), T.StructField("epoch", T.LongType()),
+                           T.StructField("version", T.LongType())])
+    try:
+        every = spark.read.schema(fields).parquet(snapshot_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], fields).drop("epoch", "version")
+    newest = every.agg(F.max("version")).first()[0]  # from the folder names
+    return every.where(F.col("version") == newest).drop("epoch", "version")
+
+
 EXPOSURE_SCHEMA = T.StructType([
     T.StructField("Claim_ID", T.StringType()), T.StructField("Accident_Date", T.StringType()),
     T.StructField("Ultimate_Claim_Amount", T.DoubleType()),

@@ -110,3 +110,49 @@ def test_is_test_deterministic(spark, prepared):
     a = prepared.where(is_test()).select("Claim_ID").orderBy("Claim_ID").collect()
     b = prepared.repartition(3).where(is_test()).select("Claim_ID").orderBy("Claim_ID").collect()
     assert a == b
+
+
+def test_ale_of_integers_and_repeated_ids(spark):
+    scorer = lambda d: d.withColumn("prediction", F.col("x") * 3.0)
+    rows = spark.createDataFrame([(i // 3, i % 11) for i in range(99)], "Claim_ID long, x bigint")
+    out = X.ale(rows, scorer, "x", bins=4).orderBy("bin").collect()
+    assert [r["effect"] for r in out] == [7.5] * 4 and sum(r["n"] for r in out) == 99
+    assert all(r["heterogeneity"] < 1e-9 for r in out)
+    both = X.ale_all(rows.withColumn("y", F.col("x") * 2.0), lambda d: d.withColumn("prediction", F.col("x") + F.col("y")), ["x", "y"], bins=4)
+    assert {(r["feature"], r["effect"]) for r in both.collect()} == {("x", 2.5), ("y", 5.0)}
+
+
+def test_shapley_of_repeated_ids_is_their_mean(spark):
+    scorer = lambda d: d.withColumn("prediction", F.col("x") * 2.0)
+    bg = spark.createDataFrame([(9, 0.0)], "Claim_ID long, x double")
+    rows = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 5.0)], "Claim_ID long, x double")
+    got = {r["Claim_ID"]: r["contribution"] for r in X.shapley_sampling(rows, bg, scorer, ["x"], samples=3).collect()}
+    assert got == {1: 4.0, 2: 10.0}
+
+
+def test_depth_beyond_the_limit_raises():
+    with pytest.raises(ValueError):
+        ML.random_forest(maxDepth=31)
+
+
+def test_column_without_values(spark, prepared):
+    train = prepared.withColumn("Driver_Age", F.lit(None).cast("double"))
+    tm = ML.fit_model(train, "elastic_net", {"regParam": 0.0, "maxIter": 5}, numeric=["Driver_Age", "Estimated_Claim_Amount"], categorical=[])
+    assert ML.score(train, tm.model).where("Predictions IS NULL").count() == 0
+
+
+def test_run_table_keeps_the_scales_apart(spark, prepared):
+    train, test = train_test_split(prepared)
+    tm = ML.train_all(train, test, ["elastic_net"], {"elastic_net": {"regParam": 0.0, "maxIter": 10}})[0]
+    r = ML.metrics_table(spark, [tm]).first()
+    assert r["mse"] == pytest.approx(r["rmse"] ** 2) and r["mse_log"] == pytest.approx(r["rmse_log"] ** 2)
+    assert r["mse_log"] < 10 < r["rmse"] and r["rmsle"] == pytest.approx(r["rmse_log"])
+
+
+def test_tune_scores_every_point_on_both_measures(spark, prepared):
+    train, _ = train_test_split(prepared)
+    _, table = ML.tune(train, "elastic_net", {"regParam": [0.0, 0.5], "elasticNetParam": [0.5], "maxIter": [20]}, folds=3,
+                       numeric=["Estimated_Claim_Amount"], categorical=[], train_scores=True)
+    rows = table.collect()
+    assert len(rows) == 2 and all(r[c] > 0 for r in rows for c in ("cv_rmsle", "cv_smape", "train_rmsle", "train_smape"))
+    assert all(r["cv_smape"] <= 2 for r in rows)

@@ -140,3 +140,13 @@ def test_validate_upload_messages(spark):
     assert r["errors"][1] == "Claim_ID has 90.0% missing values (threshold: 10%)"
     empty = spark.createDataFrame([], "Policy_ID string")
     assert "Uploaded file contains no data" in Q.validate_upload(empty).first()["errors"]
+
+
+def test_claims_without_a_date_have_no_month(spark):
+    import datetime as dt
+    rows = [("a", "p1", dt.datetime(2024, 1, 5), 100.0, 90.0), ("b", "p2", dt.datetime(2024, 2, 5), 300.0, 310.0), ("c", "p3", None, 900.0, 0.0)]
+    df = spark.createDataFrame(rows, "Claim_ID string, Policy_ID string, Accident_Date timestamp_ntz, Ultimate_Claim_Amount double, Predictions double")
+    got = [(r["value"], r["moving_avg"]) for r in P.monthly_exposure(df).orderBy("Month").collect()]
+    assert got == [(100.0, 100.0), (300.0, 200.0)]
+    for series in (P.monthly_volume(df), P.monthly_high_severity_pct(df), P.monthly_mae(df), P.trend_volume(df)):
+        assert series.count() == 2 and series.where("Month IS NULL").count() == 0

@@ -45,3 +45,25 @@ def test_mode_ties_and_nulls(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     assert mode_value(df, "c") == "a"  # tie -> smallest; NULL never counts
     assert mode_value(spark.createDataFrame([(None,)], "c string"), "c") is None
+
+
+def test_infinities_at_any_size(spark):
+    inf = float("inf")
+    vals = [float(i % 97) for i in range(600)] + [inf] * 5 + [-inf] * 3 + [1e308, -1e308, 5e-324]
+    for final_rows in (5, 20_000):
+        got = exact_quantiles(_df(spark, vals), ["x"], [0.0, 0.001, 0.5, 0.9, 1.0], buckets=50, final_rows=final_rows)["x"]
+        assert got[0.0] == got[0.001] == -inf and got[1.0] == inf
+        assert got[0.5] == float(np.quantile(vals, 0.5)) and got[0.9] == pytest.approx(sorted(vals)[int(0.9 * 610)], abs=1.0)
+    assert exact_quantiles(_df(spark, [inf, inf]), ["x"], [0.5])["x"][0.5] == inf
+
+
+def test_passes_are_few(spark):
+    """Three jobs for several columns and quantiles of 200,000 rows: one sketch, one check, one answer at most."""
+    df = spark.range(200_000).selectExpr("CAST(id * 7919 % 200003 AS DOUBLE) AS x", "CAST(id % 10 AS DOUBLE) AS y")
+    spark.sparkContext.setJobGroup("quantiles", "count jobs")
+    got = exact_quantiles(df, ["x", "y"], [0.25, 0.5, 0.75])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
+    spark.sparkContext.setJobGroup("other", "")
+    want = np.quantile(np.arange(200_000) * 7919 % 200003, [0.25, 0.5, 0.75])
+    assert [got["x"][p] for p in (0.25, 0.5, 0.75)] == list(want) and got["y"][0.5] == 4.5
+    assert len(jobs) <= 6

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from claimsight.functions.quantiles import exact_quantiles, mode_values
 from claimsight.operators import portfolio as P
-from claimsight.operators.joins import attach_group_mean, join_small, merge_claims_policies
+from claimsight.operators.joins import attach_group_mean, attach_lookup, merge_claims_policies
 from claimsight.sources.files import export_csv
 from claimsight.streaming.arrivals import UPLOAD_COLUMNS, UPLOAD_SCHEMA, score_arrivals
 
@@ -34,12 +34,15 @@ def test_hot_group_mean_and_mode(spark):
     assert mode_values(df, ["Claim_Type"]) == {"Claim_Type": "Collision"}
 
 
-def test_group_mean_large_table_joins(spark):
+def test_lookup_is_one_join_for_any_table(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("k"), F.col("id").cast("double").alias("v"))
-    out = attach_group_mean(df, "k", "v", "m", max_literal_keys=10)  # forces the join path
-    assert out.where(F.col("m") != F.col("v")).count() == 0
-    small = spark.createDataFrame([("1", 5.0)], "k string, x double")
-    assert join_small(df, small, "k", max_rows=0).where(F.col("x").isNotNull()).count() == 1
+    out = attach_group_mean(df, "k", "v", "m")
+    assert out.where(F.col("m") != F.col("v")).count() == 0 and out.count() == 50
+    # NULL and repeated keys of the table neither raise nor multiply rows
+    odd = spark.createDataFrame([("1", 5.0), ("1", 7.0), (None, 9.0), ("x", None)], "k string, x double")
+    rows = spark.createDataFrame([("1",), ("x",), ("y",), (None,)], "k string")
+    assert {r["k"]: r["x"] for r in attach_lookup(rows, odd, "k", "x").collect()} == {"1": 7.0, "x": None, "y": None, None: None}
+    assert attach_lookup(rows, odd, "k", "x").count() == 4
 
 
 def test_quantiles_hot_value_exact(spark):

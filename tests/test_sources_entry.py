@@ -91,3 +91,52 @@ def test_export_and_prediction_log(spark, tmp_dir):
     log = spark.read.parquet(os.path.join(tmp_dir, "log"))
     assert log.count() == 5 and "scored_at" in log.columns
     assert log.where(F.col("scored_at").isNull()).count() == 0
+
+
+def test_columns_are_matched_by_name_across_files(spark, tmp_dir):
+    for name, lines in (("a.csv", "Claim_ID,Policy_ID,Estimated_Claim_Amount\nc1,p1,10\nc3,p3,30\n"),
+                        ("b.csv", "Policy_ID,Estimated_Claim_Amount,Claim_ID\np2,20,c2\n"),
+                        ("c.csv", 'Claim_ID,"Note, free"\nc4,"x, y"\n')):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(lines)
+    got = {r["Claim_ID"]: (r["Policy_ID"], r["Estimated_Claim_Amount"], r["Note, free"]) for r in S.read_claims(spark, tmp_dir).collect()}
+    assert got == {"c1": ("p1", 10.0, None), "c2": ("p2", 20.0, None), "c3": ("p3", 30.0, None), "c4": (None, None, "x, y")}
+    assert S.read_upload(spark, tmp_dir).count() == 4
+
+
+def test_read_policies(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "p.csv")
+    with open(path, "w") as f:
+        f.write("Vehicle_Year,Policy_ID,Customer_ID,Date_of_Birth\n2015,POL-1,CUS-1,1980-02-03\nold,POL-2,CUS-2,\n")
+    got = {r["Policy_ID"]: (r["Customer_ID"], r["Vehicle_Year"], r["Date_of_Birth"]) for r in S.read_policies(spark, path).collect()}
+    assert got == {"POL-1": ("CUS-1", 2015, "1980-02-03"), "POL-2": ("CUS-2", None, None)}
+
+
+def test_fingerprint_keeps_column_order(spark):
+    df = spark.createDataFrame([(1, "a", None)], "n int, s string, t timestamp_ntz")
+    assert A.schema_fingerprint(df) != A.schema_fingerprint(df.select("s", "n", "t"))
+    meta = A.dataset_metadata(df, "split", test=df.select("s", "n", "t"), lineage={"split_method": "md5", "target": "n"}).first()
+    assert (meta["numeric_columns"], meta["text_columns"], meta["time_columns"]) == (1, 1, 1)
+    assert meta["schema_consistent"] is False and meta["train_rows"] == meta["test_rows"] == 1 and meta["info"]["split_method"] == "md5"
+
+
+def test_shared_folder_is_needed_off_local():
+    from claimsight.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, *a):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = Context()
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
