@@ -64,32 +64,16 @@ def insights(prediction, delay_hours="FNOL_Delay", driver_age="Driver_Age",
     """Array of actionable alerts for one claim (C5); explode for a long table."""
     p, d, age = _c(prediction), _c(delay_hours), _c(driver_age)
     v, w = _c(vehicle_age), _c(weather)
-    candidates = [
-        F.when(severity(p) == "Critical", _insight(
-            "alert", "High-Value Claim Alert",
-            F.concat(F.lit("Predicted amount ("), money(p),
-                     F.lit(") exceeds critical threshold. Immediate senior review recommended.")),
-            "Escalate to claims manager and fraud investigation team", "High")),
-        F.when(d > delay_threshold, _insight(
-            "warning", "Delayed FNOL Reporting",
-            F.concat(F.lit("Claim reported "), fixed(d, 0), F.lit(" hours after incident.")),
-            "Request detailed incident timeline; check for fraud indicators", "Medium")),
-        F.when(age < 25, _insight(
-            "info", "Young Driver Risk Profile", F.lit("Driver age suggests higher risk category."),
-            "Apply enhanced scrutiny to damage assessment", "Medium"))
-         .when(age > 70, _insight(
-            "info", "Senior Driver Consideration", F.lit("Elderly driver may require additional support."),
-            "Ensure clear communication and customer support", "Low")),
-        F.when(v > 15, _insight(
-            "warning", "Older Vehicle Assessment",
-            F.concat(F.lit("Vehicle age ("), fixed(v.cast("double"), 0),
-                     F.lit(" years) may affect repair economics.")),
-            "Evaluate total loss vs. repair cost-effectiveness", "Medium")),
-        F.when(w.isin(*K.ADVERSE_WEATHER), _insight(
-            "info", "Adverse Weather Conditions",
-            F.concat(F.lit("Incident occurred in "), w, F.lit(" conditions.")),
-            "Document weather impact on incident severity", "Low")),
-    ]
+    cases = {
+        "high_value": (severity(p) == "Critical", money(p)), "late": (d > delay_threshold, fixed(d, 0)),
+        "young": (age < 25, None), "senior": (age > 70, None),
+        "old_vehicle": (v > 15, fixed(v.cast("double"), 0)), "weather": (w.isin(*K.ADVERSE_WEATHER), w),
+    }
+    candidates = []
+    for name, (condition, shown) in cases.items():
+        kind, title, before, after, action, priority = K.INSIGHT_TEXTS[name]
+        message = F.lit(before) if shown is None else F.concat(F.lit(before), shown, F.lit(after))
+        candidates.append(F.when(condition, _insight(kind, title, message, action, priority)))
     return F.filter(F.array(*candidates), lambda x: x.isNotNull())
 
 
@@ -97,31 +81,22 @@ def risk_factors(driver_age="Driver_Age", vehicle_age="Vehicle_Age", delay_hours
                  weather="Weather_Condition") -> Column:
     """Text labels describing the claim's risk profile."""
     age, v, d, w = _c(driver_age), _c(vehicle_age), _c(delay_hours), _c(weather)
+    T = K.RISK_TEXTS
     items = [
-        F.when(age < 25, "🔴 Young driver (high risk)")
-         .when(age > 70, "🟡 Senior driver (moderate risk)")
-         .otherwise("🟢 Driver age in standard range"),
-        F.when(v > 10, "🟡 Older vehicle (higher repair costs)").otherwise("🟢 Newer vehicle"),
-        F.when(d > 24, "🔴 Significant FNOL delay (fraud indicator)").otherwise("🟢 Timely FNOL reporting"),
-        F.when(w.isin("Rainy", "Snowy", "Foggy"), "🟡 Adverse weather conditions"),
+        F.when(age < 25, T["young"]).when(age > 70, T["senior"]).otherwise(T["standard_age"]),
+        F.when(v > 10, T["old_vehicle"]).otherwise(T["new_vehicle"]),
+        F.when(d > 24, T["late"]).otherwise(T["timely"]),
+        F.when(w.isin(*K.ADVERSE_WEATHER_LABELLED), T["weather"]),
     ]
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
-_ESCALATION = ("✓ Escalate to senior claims handler",
-               "✓ Initiate fraud investigation protocol",
-               "✓ Request detailed damage assessment")
-_STANDARD = ("✓ Set reserve to recommended amount",
-             "✓ Schedule repair assessment within 48 hours",
-             "✓ Contact customer for additional information")
-
-
 def recommended_actions(sev) -> Column:
     """Three escalation steps for High/Critical claims, then three standard steps."""
     s = _c(sev)
-    extra = F.when(s.isin("High", "Critical"), F.array(*[F.lit(a) for a in _ESCALATION])) \
+    extra = F.when(s.isin("High", "Critical"), F.array(*[F.lit(a) for a in K.ESCALATION_STEPS])) \
         .otherwise(F.array().cast("array<string>"))
-    return F.concat(extra, F.array(*[F.lit(a) for a in _STANDARD]))
+    return F.concat(extra, F.array(*[F.lit(a) for a in K.STANDARD_STEPS]))
 
 
 # --------------------------------------------------------------------------- N1-N6

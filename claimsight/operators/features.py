@@ -8,7 +8,7 @@ literals, so the per-row work is a single narrow projection.
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,12 +127,14 @@ def flags(df: DataFrame, high_risk_min_age: int = K.HIGH_RISK_MIN_AGE,
     return df.withColumns(repl) if repl else df
 
 
-def estimate_features(df: DataFrame, type_means: DataFrame | None = None) -> DataFrame:
+def estimate_features(df: DataFrame, type_means: DataFrame | None = None,
+                      keep_means: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Ratio, bucket, type average, relative estimate and complexity.
 
     ``type_means`` (columns ``Claim_Type, Type_Avg_Estimate``) lets new claims
     be compared with a portfolio's averages (fixes the one-row form case);
-    by default the averages come from ``df`` itself.
+    by default the averages come from ``df`` itself, and ``keep_means`` may
+    write them for later plans.
     """
     if "Estimated_Claim_Amount" not in df.columns:
         return df
@@ -142,7 +144,7 @@ def estimate_features(df: DataFrame, type_means: DataFrame | None = None) -> Dat
         "Estimate_Bucket": R.estimate_bucket(est),
     })
     if type_means is None:
-        df = attach_group_mean(df, "Claim_Type", "Estimated_Claim_Amount", "Type_Avg_Estimate")
+        df = attach_group_mean(df, "Claim_Type", "Estimated_Claim_Amount", "Type_Avg_Estimate", keep_means)
     else:
         df = attach_lookup(df, type_means, "Claim_Type", "Type_Avg_Estimate")
     return df.withColumns({
@@ -158,14 +160,14 @@ def settlement_delay(df: DataFrame) -> DataFrame:
 
 
 def derive_features(df: DataFrame, numeric_strategy: str = "median", median_method: str = "exact",
-                    **thresholds) -> DataFrame:
+                    keep_means: Callable[[DataFrame], DataFrame] | None = None, **thresholds) -> DataFrame:
     """F1-F17 in the reference order: parse dates, impute, derive."""
     df = parse_dates(df)
     df = impute(df, numeric_strategy, median_method)
     df = fnol_delay(df)
     df = ages(df)
     df = flags(df, **thresholds)
-    return estimate_features(df)
+    return estimate_features(df, keep_means=keep_means)
 
 
 def feature_list(include_original: bool = False) -> list[str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +33,19 @@ def merge_claims_policies(claims: DataFrame, policies: DataFrame,
     return joined.drop(*[f"__r_{k}" for k in on])
 
 
-def attach_group_mean(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def attach_group_mean(df: DataFrame, key: str, value: str, out: str,
+                      keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Group-transform mean (J2/W1): each row gets the mean of ``value`` over its ``key``.
 
     Rows whose key is NULL get NULL (NULL keys form no group).  Written as a
     partial aggregate instead of ``avg().over(partitionBy(key))``: a window
     over a low-cardinality key would pull every row of a key into one sorted
     task, while the aggregate shuffles one partial row per key and task.
+    ``keep`` may write the means (one row per key) so that later plans read
+    them instead of aggregating again.
     """
     means = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.avg(value).alias(out))
+    means = keep(means) if keep else means
     return df.drop(out).join(means, F.col(key) == F.col("__key"), "left").drop("__key")
 
 

@@ -288,14 +288,8 @@ def savings_summary(df: DataFrame, **kw) -> DataFrame:
 
     money2 = lambda v: R.money(v, 2)
     rows = F.array(
-        row(1, "Capital Release", "Reserving Accuracy", "cap_release",
-            "5% RoC on over-reserved capital", money2),
-        row(2, "Leakage Mitigation", "ML Model Lift", "leakage",
-            "10% capture of Human vs Model error gap", money2),
-        row(3, "Automation Gains", "Severity Triage", "automation",
-            "£15 labor saving per automated claim", money2),
-        row(4, "Delay Mitigation", "FNOL Response", "delay_mitigation",
-            "2% reduction in late-report penalties", money2),
+        *[row(i + 1, cat, driver, column, logic, money2)
+          for i, (cat, driver, column, logic) in enumerate(K.SAVINGS_ROWS)],
         row(5, "Total Savings", "All drivers", "total_savings", "Sum of the four categories",
             lambda v: R.money(v, 0)),
         row(6, "Automation ROI", "Severity Triage", "automation_roi_pct",
@@ -415,17 +409,14 @@ def dashboard_alerts(df: DataFrame, amount: str = ULT,
         + F.count(F.lit(1)) * F.lit(K.OPERATIONAL_SAVING_PER_CLAIM)
     a = df.agg(F.count_if(R.severity(amount) == "Critical").alias("critical"),
                savings.alias("savings"), F.avg(amount).alias("avg_claim"))
-    crit = F.struct(F.lit("alert-high").alias("kind"), F.lit("⚠️ Critical Claims Alert").alias("title"),
-                    F.format_string("%d claims exceed critical threshold (£50,000). "
-                                    "Immediate review recommended.", F.col("critical")).alias("message"))
-    save = F.struct(F.lit("alert-low").alias("kind"), F.lit("💰 Projected Cost Savings").alias("title"),
-                    F.concat(F.lit("ML-driven optimization projects "), R.money("savings"),
-                             F.lit(" in savings through improved reserve accuracy and fraud detection."))
-                    .alias("message"))
-    avg = F.struct(F.lit("alert-medium").alias("kind"), F.lit("📊 Elevated Average Claim Cost").alias("title"),
-                   F.concat(F.lit("Average claim ("), R.money("avg_claim"),
-                            F.lit(") exceeds industry benchmarks. Consider enhanced fraud detection protocols."))
-                   .alias("message"))
+    shown = {"critical": F.col("critical").cast("string"), "savings": R.money("savings"), "average": R.money("avg_claim")}
+
+    def alert(name):
+        kind, title, before, after = K.ALERT_TEXTS[name]
+        return F.struct(F.lit(kind).alias("kind"), F.lit(title).alias("title"),
+                        F.concat(F.lit(before), shown[name], F.lit(after)).alias("message"))
+
+    crit, save, avg = alert("critical"), alert("savings"), alert("average")
     arr = F.array(F.when(F.col("critical") > 0, crit), F.when(F.col("savings") > 0, save),
                   F.when(F.col("avg_claim") > elevated_average, avg))
     return a.select(F.inline(F.filter(arr, lambda x: x.isNotNull())))

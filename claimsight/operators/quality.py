@@ -35,16 +35,24 @@ def missing_report(df: DataFrame, threshold: float = K.MISSING_THRESHOLD) -> Dat
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical group: count and percent (Q2).
+    """Rows beyond the first of each identical group: count and percent (Q2); NULLs compare equal.
 
-    ``groupBy`` on every column (NULLs compare equal in grouping), with
-    map-side combine; a hot group costs one partial row per task.
+    Rows are counted by a 128-bit hash of all columns first, so only two longs
+    and a mask of NULLs are shuffled; full rows are compared only where a hash
+    occurs more than once.  A hot group costs one partial row per task.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
-    return g.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("bigint").alias("duplicates"),
-                 F.coalesce(F.sum("__c"), F.lit(0)).cast("bigint").alias("rows")) \
-        .withColumn("duplicate_pct", F.try_divide(F.col("duplicates") * F.lit(100.0), F.col("rows")))
+    # Hash functions skip NULLs, so where they are is part of the key.
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    keyed = df.select(F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b"),
+                               nulls.alias("n")).alias("__key"), *cols)
+    counts = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("__c"))
+    total = counts.agg(F.coalesce(F.sum("__c"), F.lit(0)).cast("bigint").alias("rows"))
+    again = keyed.join(counts.where("__c > 1").select("__key"), "__key", "left_semi").drop("__key")
+    groups = again.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
+    beyond = groups.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
+    return (beyond.crossJoin(total)  # one row each
+            .withColumn("duplicate_pct", F.try_divide(F.col("duplicates") * F.lit(100.0), F.col("rows"))))
 
 
 def type_report(df: DataFrame, with_counts: bool = True) -> DataFrame:
@@ -69,24 +77,23 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).cast("bigint").alias("columns"))
 
 
-def validate(df: DataFrame, threshold: float = K.MISSING_THRESHOLD, raise_on_failure: bool = True) -> dict:
-    """Shape, missing, duplicates and types; fail when any column is critical (Q4)."""
-    miss = missing_report(df, threshold).collect()  # one row per column: bounded by the schema
-    dup = duplicate_report(df).first()
-    report = {
-        "shape": (dup["rows"], len(df.columns)),
-        "missing_values": {
-            "total_missing": sum(r["missing"] for r in miss),
-            "columns_with_missing": {r["column"]: r["missing"] for r in miss if r["missing"] > 0},
-            "critical_missing": [r["column"] for r in miss if r["critical"]],
-        },
-        "duplicate_rows": {"count": dup["duplicates"], "percentage": dup["duplicate_pct"]},
-        "data_types": {f.name: f.dataType.simpleString() for f in df.schema.fields},
-    }
-    report["validation_passed"] = not report["missing_values"]["critical_missing"]
-    if raise_on_failure and not report["validation_passed"]:
-        raise ValidationError("Critical missing values detected: "
-                              + ", ".join(report["missing_values"]["critical_missing"]), report)
+def quality_gate(df: DataFrame, threshold: float = K.MISSING_THRESHOLD) -> DataFrame:
+    """The gate of the preparation as one row (Q4): rows, columns, missing cells, columns that miss
+    more than ``threshold`` of their values, duplicate rows, and whether the table passes (no such column)."""
+    miss = missing_report(df, threshold).agg(
+        F.sum("missing").alias("missing_cells"),
+        F.array_sort(F.collect_list(F.when(F.col("critical"), F.col("column")))).alias("critical_columns"))
+    return (duplicate_report(df).crossJoin(miss)  # one row each; the list is bounded by the schema
+            .select(F.col("rows").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"), "missing_cells",
+                    "critical_columns", F.col("duplicates").alias("duplicate_rows"), "duplicate_pct",
+                    (F.size("critical_columns") == 0).alias("passed")))
+
+
+def validate(df: DataFrame, threshold: float = K.MISSING_THRESHOLD) -> dict:
+    """:func:`quality_gate` as a dict; raises :class:`ValidationError` when the table does not pass."""
+    report = quality_gate(df, threshold).first().asDict()
+    if not report["passed"]:
+        raise ValidationError("Critical missing values detected: " + ", ".join(report["critical_columns"]), report)
     return report
 
 

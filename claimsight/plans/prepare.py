@@ -37,7 +37,7 @@ def prepare_data(spark: SparkSession, claims_path: str, policies_path: str, out_
     df, report = prepare_frames(read_claims(spark, claims_path), read_policies(spark, policies_path),
                                 missing_threshold)
     return A.write_processed(df, out_base, lineage={"claims": claims_path, "policies": policies_path,
-                                                    "validation_passed": report["validation_passed"]})
+                                                    "validation_passed": report["passed"]})
 
 
 def persist_split(df: DataFrame, path: str) -> DataFrame:

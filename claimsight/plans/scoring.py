@@ -31,12 +31,18 @@ def prepared_claims(spark: SparkSession, sf_dir: str, median_method: str = "exac
     With ``write_join`` the joined table is written once to the shared
     checkpoint folder: the imputation statistics then scan only the columns
     they need from Parquet instead of recomputing the shuffle join per
-    statistic, and a lost executor recomputes from the written table.
+    statistic, and a lost executor recomputes from the written table.  The
+    averages per claim type (one row per type) are written too.
     """
     merged = merge_claims_policies(fixture_claims(spark, sf_dir), fixture_policies(spark, sf_dir))
+    keep_means = None
     if write_join:
         merged = materialize(spark, merged, f"joined/{uuid.uuid4().hex}")
-    return derive_features(merged, median_method=median_method, **thresholds)
+
+        def keep_means(means: DataFrame) -> DataFrame:
+            return materialize(spark, means, f"type_means/{uuid.uuid4().hex}")
+
+    return derive_features(merged, median_method=median_method, keep_means=keep_means, **thresholds)
 
 
 def enrich_predictions(df: DataFrame, prediction: str = "Predictions") -> DataFrame:

@@ -128,7 +128,10 @@ def test_missing_and_duplicates(spark):
     assert (d["duplicates"], d["rows"]) == (1, 3)
     with pytest.raises(Q.ValidationError):
         Q.validate(df, 0.5)
-    assert Q.validate(df, 0.9)["validation_passed"]
+    assert Q.validate(df, 0.9)["passed"]
+    odd = spark.createDataFrame([(None, "a"), ("a", None), (None, "a")], "x string, y string")  # NULLs in other places differ
+    assert Q.duplicate_report(odd).first()["duplicates"] == 1
+    assert tuple(Q.duplicate_report(odd.limit(0)).first())[:2] == (0, 0)
 
 
 def test_validate_upload_messages(spark):
