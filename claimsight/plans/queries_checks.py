@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from claimsight.operators import explain as X
 from claimsight.operators import ml as ML
 from claimsight.operators.features import estimate_features, parse_dates
+from claimsight.operators.filters import sample_n
 from claimsight.operators.portfolio import monthly_exposure
 from claimsight.operators.split import train_test_split
 from claimsight.plans.catalog import iso, prepared, register, rnd, scored
@@ -236,3 +237,93 @@ def q_ale_all_features(spark, sf):
 
     out = X.ale_all(rows, product, ["Driver_Age", "Estimated_Claim_Amount"], bins=8, sample=None)
     return rnd(out.select("feature", "bin", "n", "effect", "ale"), {"effect": 4, "ale": 4})
+
+
+# --------------------------------------------------------------------------- explanations of three interacting features
+THREE = ("Driver_Age", "Vehicle_Age", "FNOL_Delay")
+_SAMPLES, _EXPLAINED, _BACKGROUND = 8, 1000, 100
+
+
+def _product(d):
+    """A model whose features interact: no feature's effect is the same in every order."""
+    return d.withColumn("prediction", F.col("Driver_Age") * F.col("Vehicle_Age") / 10 + F.col("FNOL_Delay") * F.col("Driver_Age") / 100
+                        + F.col("Vehicle_Age"))
+
+
+def _three_sql() -> str:
+    def model(values):
+        a, v, d = values
+        return f"(({a}) * ({v}) / 10.0E0 + ({d}) * ({a}) / 100.0E0 + ({v}))"
+
+    def number(*parts):
+        text = " || '-' || ".join(f"CAST({x} AS VARCHAR)" for x in parts)
+        return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+    parts = []
+    for j, f in enumerate(THREE):
+        def row(own):
+            return [own if i == j else f"CASE WHEN r{i} < r{j} OR (r{i} = r{j} AND {i} < {j}) THEN x{i} ELSE b{i} END" for i in range(3)]
+        parts.append(f"SELECT Claim_ID, '{f}' AS feature, sum({model(row(f'x{j}'))} - {model(row(f'b{j}'))}) / {_SAMPLES} AS contribution "
+                     f"FROM p GROUP BY Claim_ID")
+    xs = ", ".join(f"CAST({f} AS DOUBLE) AS x{i}" for i, f in enumerate(THREE))
+    bs = ", ".join(f"CAST({f} AS DOUBLE) AS b{i}" for i, f in enumerate(THREE))
+    ranks = ", ".join(f"{number('rs.Claim_ID', 's', i, 43)} AS r{i}" for i in range(3))
+    return f"""
+bg AS (SELECT {bs} FROM split WHERE split = 'train' ORDER BY md5(CAST(Claim_ID AS VARCHAR) || '#42'), Claim_ID LIMIT {_BACKGROUND}),
+bgi AS (SELECT *, row_number() OVER (ORDER BY b0, b1, b2) - 1 AS bidx FROM bg),
+nb AS (SELECT count(*) AS n FROM bgi),
+r AS (SELECT Claim_ID, {xs} FROM split WHERE split = 'test' ORDER BY md5(CAST(Claim_ID AS VARCHAR) || '#42'), Claim_ID LIMIT {_EXPLAINED}),
+rs AS (SELECT r.*, t.s FROM r CROSS JOIN range({_SAMPLES}) t(s)),
+p AS (SELECT rs.*, b0, b1, b2, {ranks} FROM rs CROSS JOIN nb JOIN bgi ON bgi.bidx = {number('rs.Claim_ID', 's', 42)} % nb.n),
+c AS ({' UNION ALL '.join(parts)}),
+i AS (SELECT feature, avg(abs(contribution)) AS importance FROM c GROUP BY feature ORDER BY importance DESC, feature LIMIT 2)"""
+
+
+_THREE_SQL = _three_sql()
+
+
+def _three(spark, sf):
+    train, test = train_test_split(prepared(spark, sf))
+    columns = [F.col("Claim_ID"), *[F.col(f).cast("double").alias(f) for f in THREE]]
+    rows = sample_n(test, _EXPLAINED).select(*columns)
+    return rows, X.shapley_sampling(rows, train.select(*columns), _product, THREE, samples=_SAMPLES, background_rows=_BACKGROUND)
+
+
+@register("shapley_three_features", _THREE_SQL + """
+SELECT Claim_ID, feature, round(contribution, 6) AS contribution FROM c""")
+def q_shapley_three_features(spark, sf):
+    """Sampled Shapley values of three interacting features: the order of the features matters."""
+    return rnd(_three(spark, sf)[1], {"contribution": 6})
+
+
+@register("importance_top_two", _THREE_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INT) AS place, feature, round(importance, 6) AS importance FROM i""")
+def q_importance_top_two(spark, sf):
+    """The two most important of three features, in order."""
+    top = X.global_importance(_three(spark, sf)[1], k=2).collect()
+    out = spark.createDataFrame([(i + 1, r["feature"], r["importance"]) for i, r in enumerate(top)], "place int, feature string, importance double")
+    return rnd(out, {"importance": 6})
+
+
+@register("points_top_two", _THREE_SQL + f"""
+SELECT c.Claim_ID, c.feature, round(contribution, 6) AS contribution,
+  round(CASE c.feature {' '.join(f"WHEN '{f}' THEN x{j}" for j, f in enumerate(THREE))} END, 6) AS value
+FROM c JOIN i ON i.feature = c.feature JOIN r ON r.Claim_ID = c.Claim_ID""")
+def q_points_top_two(spark, sf):
+    """Contribution and value of the two most important of three features."""
+    rows, contributions = _three(spark, sf)
+    out = X.contribution_points(contributions, rows, k=2).withColumn("value", F.col("value").cast("double"))
+    return rnd(out, {"contribution": 6, "value": 6})
+
+
+@register("waterfall_three_features", _THREE_SQL + """
+, z AS (SELECT Claim_ID, feature, contribution, row_number() OVER (PARTITION BY Claim_ID ORDER BY round(abs(contribution), 9) DESC, feature) AS step
+      FROM c WHERE abs(contribution) > 1e-9)
+SELECT Claim_ID, CAST(step AS INT) AS step, feature, round(contribution, 6) AS contribution FROM z
+UNION ALL
+SELECT Claim_ID, CAST(count(*) + 1 AS INT), 'Prediction', round(sum(contribution), 6) FROM z GROUP BY Claim_ID""")
+def q_waterfall_three_features(spark, sf):
+    """Bars of three contributions per claim in order of size, then the total (K3)."""
+    exact = _three(spark, sf)[1].where("abs(contribution) > 1e-9").withColumn("contribution", F.round("contribution", 9))
+    out = X.contribution_waterfall(exact).withColumn("step", F.col("step").cast("int"))
+    return rnd(out, {"contribution": 6})
