@@ -26,8 +26,20 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 # --------------------------------------------------------------------------- F1
-def parse_dates(df: DataFrame, cols: Sequence[str] = K.DATE_COLUMNS) -> DataFrame:
-    """Date columns to ``timestamp_ntz``; unparseable text becomes NULL."""
+def _parsed(c: str, formats: Sequence[str]):
+    text = F.trim(F.col(c).cast("string"))
+    tries = [D.parse_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)).cast(T.TimestampNTZType()) for f in formats]]
+    return F.coalesce(*tries)
+
+
+def parse_dates(df: DataFrame, cols: Sequence[str] = K.DATE_COLUMNS, formats: Sequence[str] = ()) -> DataFrame:
+    """Date columns to ``timestamp_ntz``; unparseable text becomes NULL.
+
+    ISO text is read first, then each of ``formats`` (Spark datetime patterns
+    such as ``MM/dd/yyyy`` or ``MMM d, yyyy``) in order.  Those go through the
+    session time zone, so a time that the zone skips moves by the gap.
+    :func:`lost_dates` counts what becomes NULL.
+    """
     repl = {}
     for c in _present(df, cols):
         dtype = df.schema[c].dataType
@@ -36,10 +48,16 @@ def parse_dates(df: DataFrame, cols: Sequence[str] = K.DATE_COLUMNS) -> DataFram
         if isinstance(dtype, (T.DateType, T.TimestampType)):
             repl[c] = F.col(c).cast(T.TimestampNTZType())
         else:
-            repl[c] = D.parse_timestamp(F.trim(F.col(c).cast("string")))
+            repl[c] = _parsed(c, formats)
     return df.withColumns(repl) if repl else df
 
 
+def lost_dates(df: DataFrame, cols: Sequence[str] = K.DATE_COLUMNS, formats: Sequence[str] = ()) -> DataFrame:
+    """One row: per text date column, how many non-blank values :func:`parse_dates` makes NULL."""
+    text = [c for c in _present(df, cols) if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.agg(*[F.count_if((F.trim(F.col(c)) != "") & _parsed(c, formats).isNull()).alias(c) for c in text])
+
+
 # --------------------------------------------------------------------------- F2-F4
 def impute_median(df: DataFrame, cols: Sequence[str] = K.NUMERIC_IMPUTE_COLUMNS,
                   method: str = "exact") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from claimsight.operators import explain as X
 from claimsight.operators import ml as ML
-from claimsight.operators.features import estimate_features, parse_dates
+from claimsight.operators.features import estimate_features, lost_dates, parse_dates
 from claimsight.operators.filters import sample_n
 from claimsight.operators.portfolio import monthly_exposure
 from claimsight.operators.split import train_test_split
@@ -218,6 +218,25 @@ def q_monthly_exposure_malformed(spark, sf):
     return iso(rnd(monthly_exposure(df), {"value": 2, "moving_avg": 2}), "Month")
 
 
+@register("parse_date_formats", """
+SELECT Claim_ID % 4 AS kind, CAST(count(*) AS BIGINT) AS claims,
+  CAST(sum(CASE WHEN Claim_ID % 4 <> 3 THEN date_diff('day', DATE '1970-01-01', CAST(Accident_Date AS DATE)) ELSE 0 END) AS BIGINT) AS days,
+  (SELECT CAST(count(*) AS BIGINT) FROM features WHERE Claim_ID % 4 = 3) AS lost
+FROM features GROUP BY 1""")
+def q_parse_date_formats(spark, sf):
+    """Dates in ISO and two other formats, and text that is none of them, which is counted (F1)."""
+    day, formats = F.col("Accident_Date").cast("date"), ["MM/dd/yyyy", "MMM d, yyyy"]
+    kind = F.col("Claim_ID") % 4
+    text = (F.when(kind == 0, day.cast("string")).when(kind == 1, F.date_format(day, formats[0]))
+            .when(kind == 2, F.date_format(day, formats[1])).otherwise("soon"))
+    df = prepared(spark, sf).select("Claim_ID", text.alias("Accident_Date"))
+    lost = lost_dates(df, formats=formats).select(F.col("Accident_Date").alias("lost"))
+    days = F.datediff(F.col("Accident_Date").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    out = (parse_dates(df, formats=formats).groupBy((F.col("Claim_ID") % 4).alias("kind"))
+           .agg(F.count(F.lit(1)).alias("claims"), F.coalesce(F.sum(days), F.lit(0)).alias("days")))
+    return out.crossJoin(lost)  # one row
+
+
 @register("ale_all_features", """
 r AS (SELECT Driver_Age, Estimated_Claim_Amount FROM features),
 v AS (SELECT 'Driver_Age' AS feature, CAST(Driver_Age AS DOUBLE) AS x, Estimated_Claim_Amount AS z FROM r
