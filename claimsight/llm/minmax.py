@@ -39,6 +39,8 @@ MOST_VALUES = 192
 MISS = 1.5e-6
 #: Agreement of signatures may fall this many standard deviations below the threshold.
 SLACK = 7.0
+#: Leaders per bucket and round: 1, then 16 times as many each round, up to this.
+MOST_SLOTS = 4096
 
 
 def plan(percent: int) -> tuple[int, int]:
@@ -163,12 +165,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id``, ``component`` (smallest id reachable) of every id in ``links`` (``a``, ``b``).
 
-    Alternates large-star and small-star steps until the edges no longer change; each step is an
-    aggregate and a join, so a node with very many links is only a skewed join side.
+    Alternates large-star and small-star steps until the edges are stars; each step is an aggregate
+    and a join, so a node with very many links is only a skewed join side.
     """
-    edges = C.written(links.where("a <> b").distinct(), "edges")
-    state = None
-    while True:
+    edges = C.written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while not _are_stars(edges):
         for large in (True, False):
             sym = edges.union(edges.select("b", "a")).toDF("u", "v")
             low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -178,13 +179,33 @@ def components(links: DataFrame) -> DataFrame:
                 below = sym.where("v < u").join(low, "u")
                 new = (below.select(F.col("v").alias("a"), F.col("m").alias("b"))
                        .union(low.where("m < u").select("u", "m")))
-            edges = C.written(new.where("a <> b").distinct(), "edges")
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == state or seen[0] == 0:
-            break
-        state = seen
-    stars = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return stars.union(edges.select("b", "b").distinct())
+            edges = new.where("a <> b").distinct()
+        edges = C.written(edges, "edges")
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every ``a`` has one ``b`` and no ``b`` is an ``a``. Edges must have ``b`` < ``a``."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 OR up = 1 AND down = 1").isEmpty()
+
+
+def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after some more links: only the components that these connect are worked on."""
+    if comps is None:
+        return C.written(components(links), "components")
+    of = lambda c: comps.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
+    between = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b"))
+    between = C.written(between.distinct(), "between")
+    if between.isEmpty():
+        return comps
+    moved = C.written(components(between), "moved").toDF("old", "new")
+    kept = comps.join(moved, F.col("component") == F.col("old"), "left").select("id", F.coalesce("new", "component").alias("component"))
+    fresh = moved.toDF("id", "component").join(comps, "id", "left_anti")
+    return C.written(kept.union(fresh.select("id", "component")), "components")
 
 
 def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,45 +227,47 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
         F.when(F.coalesce("rep", "id") == F.col("id"), F.col("bands")).alias("bands")), "classes")
     nodes = feats.where("sig is not null").select("id", "n_shingles", "sig")
     banded = feats.where("bands is not null").select("id", F.explode("bands").alias("key"))
-    shared = C.written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-    members = C.written(banded.join(shared, "key").select("key", "id", F.col("id").alias("comp")), "members")
-
-    links = sets = known = None
+    # Every bucket with its first leader, the smallest id.
+    first = C.written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader"))
+                      .where("n > 1").select("key", "leader"), "buckets")
+    members = C.written(banded.join(first, "key").where("id <> leader"), "members")
+    met = members.select("id", "leader")
+    comps = sets = known = None
     turn, slots = 0, 1
     while not members.isEmpty():
-        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots)).alias("slot")
-        leaders = members.groupBy("key", slot).agg(F.min(F.struct("id", "comp")).alias("l")).select(
-            "key", F.col("l.id").alias("leader"), F.col("l.comp").alias("of"))
-        leaders = C.written(leaders, "leaders")
-        pairs = (members.join(leaders, "key").where("id <> leader and comp <> of")
-                 .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+        pairs = met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
         sized = (pairs.join(nodes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa")), "a")
                  .join(nodes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")), "b"))
         pairs = C.written(_alike(sized, percent, values), "pairs")
         if not pairs.isEmpty():
             ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
             ids = C.written(ids.join(known, "id", "left_anti") if known is not None else ids, "ids")
-            more = C.written(_sets_of(own, ids, k), "sets")
-            sets = more if sets is None else sets.union(more)
-            known = ids if known is None else known.union(ids)
+            if not ids.isEmpty():
+                more = C.written(_sets_of(own, ids, k), "sets")
+                sets = more if sets is None else sets.union(more)
+                known = ids if known is None else known.union(ids)
             new = C.written(_confirmed(pairs, sets, percent), "links")
-            links = new if links is None else links.union(new)
-        comps = components(links) if links is not None else None
+            if not new.isEmpty():
+                comps = _merged(comps, new)
         # Leaders are done with: all their pairs in the bucket are compared.  Buckets whose other
         # members are connected are done with too.
-        rest = members.join(leaders.select("key", F.col("leader").alias("id")), ["key", "id"], "left_anti").drop("comp")
+        rest = members.select("key", "id") if turn == 0 else members.join(
+            leaders.select("key", F.col("leader").alias("id")), ["key", "id"], "left_anti").select("key", "id")
         if comps is not None:
             rest = rest.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
         else:
             rest = rest.withColumn("comp", F.col("id"))
         rest = C.written(rest, "rest")
         open_ = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        members = C.written(rest.join(C.written(open_, "open"), "key").select("key", "id", "comp"), "members")
-        turn, slots = turn + 1, min(slots * 8, 4096)
+        members = C.written(rest.join(open_, "key", "left_semi"), "members")
+        turn, slots = turn + 1, min(slots * 16, MOST_SLOTS)
+        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots)).alias("slot")
+        leaders = members.groupBy("key", slot).agg(F.min(F.struct("id", "comp")).alias("l")).select(
+            "key", F.col("l.id").alias("leader"), F.col("l.comp").alias("of"))
+        met = members.join(leaders, "key").where("id <> leader and comp <> of").select("id", "leader")
 
     result = feats.select("id", "n_shingles", "rep")
-    if links is not None:
-        comps = C.written(components(links), "components")
+    if comps is not None:
         result = (result.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
                   .select("id", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
     else:
