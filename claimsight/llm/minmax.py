@@ -10,7 +10,9 @@ reaches the threshold; components follow the links.
 * Bands of the signature make buckets.  In each bucket one leader is compared with all members,
   then (in rounds) further leaders with the members still in other components, until the members
   that were not leaders are all connected.  So every pair of a bucket is either compared or known
-  to be connected, without listing all pairs of a group of copies.
+  to be connected, without listing all pairs of a group of copies.  Leaders are the members that share most
+  buckets with others: the text that a group's copies were made from keeps the commonest key of every
+  band, and links with copies that do not link with each other.
 * A pair is compared by size, by agreement of the signatures (pairs far below the threshold drop
   out), then on the full sets.
 * Components come from alternating large-star and small-star steps over the links.
@@ -38,7 +40,7 @@ MOST_VALUES = 192
 #: Wanted probability that no band of a linked pair agrees.
 MISS = 1.5e-6
 #: Agreement of signatures may fall this many standard deviations below the threshold.
-SLACK = 7.0
+SLACK = 5.0
 #: Leaders per bucket and round: 1, then 16 times as many each round, up to this.
 MOST_SLOTS = 4096
 
@@ -227,15 +229,21 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
         F.when(F.coalesce("rep", "id") == F.col("id"), F.col("bands")).alias("bands")), "classes")
     nodes = feats.where("sig is not null").select("id", "n_shingles", "sig")
     banded = feats.where("bands is not null").select("id", F.explode("bands").alias("key"))
-    # Every bucket with its first leader, the smallest id.
-    first = C.written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader"))
-                      .where("n > 1").select("key", "leader"), "buckets")
-    members = C.written(banded.join(first, "key").where("id <> leader"), "members")
-    met = members.select("id", "leader")
-    comps = sets = known = None
+    shared = C.written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    members = C.written(banded.join(shared, "key"), "crowds")
+    weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
+    members = C.written(members.join(weights, "id").select("key", "id", "weight", F.col("id").alias("comp")), "members")
+    comps = sets = known = met = None
     turn, slots = 0, 1
     while not members.isEmpty():
-        pairs = met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots)).alias("slot")
+        leaders = C.written(members.groupBy("key", slot).agg(
+            F.max(F.struct("weight", (-F.col("id")).alias("minus"), "comp")).alias("l")).select(
+            "key", (-F.col("l.minus")).alias("leader"), F.col("l.comp").alias("of")), "leaders")
+        pairs = (members.join(leaders, "key").where("id <> leader and comp <> of")
+                 .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+        pairs = C.written(pairs.join(met, ["a", "b"], "left_anti") if met is not None else pairs, "met")
+        met = pairs if met is None else met.union(pairs)
         sized = (pairs.join(nodes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa")), "a")
                  .join(nodes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")), "b"))
         pairs = C.written(_alike(sized, percent, values), "pairs")
@@ -251,20 +259,14 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
                 comps = _merged(comps, new)
         # Leaders are done with: all their pairs in the bucket are compared.  Buckets whose other
         # members are connected are done with too.
-        rest = members.select("key", "id") if turn == 0 else members.join(
-            leaders.select("key", F.col("leader").alias("id")), ["key", "id"], "left_anti").select("key", "id")
+        rest = members.join(leaders.select("key", F.col("leader").alias("id")), ["key", "id"], "left_anti")
         if comps is not None:
-            rest = rest.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-        else:
-            rest = rest.withColumn("comp", F.col("id"))
+            rest = (rest.drop("comp").join(comps, "id", "left")
+                    .select("key", "id", "weight", F.coalesce("component", "id").alias("comp")))
         rest = C.written(rest, "rest")
         open_ = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
         members = C.written(rest.join(open_, "key", "left_semi"), "members")
         turn, slots = turn + 1, min(slots * 16, MOST_SLOTS)
-        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots)).alias("slot")
-        leaders = members.groupBy("key", slot).agg(F.min(F.struct("id", "comp")).alias("l")).select(
-            "key", F.col("l.id").alias("leader"), F.col("l.comp").alias("of"))
-        met = members.join(leaders, "key").where("id <> leader and comp <> of").select("id", "leader")
 
     result = feats.select("id", "n_shingles", "rep")
     if comps is not None:
