@@ -153,7 +153,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 continue
             lo, hi, frac = plan[(i, p)]
             a, b = stats[(i, lo)], stats[(i, hi)]
-            out[c][p] = a + (b - a) * frac if frac else a
+            if not frac or a == b:
+                out[c][p] = a
+            elif math.isinf(a) or math.isinf(b):
+                out[c][p] = a * (1 - frac) + b * frac  # the infinite end wins
+            else:
+                out[c][p] = a + (b - a) * frac
     return out
 
 

@@ -9,16 +9,24 @@ from pyspark.sql import functions as F
 
 def merge_claims_policies(claims: DataFrame, policies: DataFrame,
                           on: Sequence[str] = ("Policy_ID", "Customer_ID"),
-                          null_safe: bool = True, suffixes=("_x", "_y")) -> DataFrame:
+                          null_safe: bool = True, suffixes=("_x", "_y"),
+                          most_null_pairs: int | None = None) -> DataFrame:
     """Inner equi-join of claims and policies.
 
     Duplicate policies multiply claims; with ``null_safe`` NULL keys match NULL
     keys (the pandas ``merge`` behaviour).  Non-key columns present on both
     sides get ``suffixes``.  The join strategy is left to Catalyst/AQE: a
     sort-merge join with skew splitting for a hot key, or a broadcast when AQE
-    measures the policy side as small.
+    measures the policy side as small.  n claims and m policies without any key
+    make n x m rows; with ``most_null_pairs`` both are counted first and more
+    pairs raise.
     """
     on = list(on)
+    if null_safe and most_null_pairs is not None:
+        blank = " AND ".join(f"`{k}` IS NULL" for k in on)
+        n, m = claims.where(blank).count(), policies.where(blank).count()
+        if n * m > most_null_pairs:
+            raise ValueError(f"{n} claims and {m} policies without {', '.join(on)} would make {n * m} rows")
     clash = (set(claims.columns) & set(policies.columns)) - set(on)
     left = claims.select(*[F.col(c).alias(c + suffixes[0]) if c in clash else F.col(c)
                            for c in claims.columns])

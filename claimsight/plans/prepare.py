@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimsight import config as K
 from claimsight.operators import ml as ML
 from claimsight.operators.features import derive_features, estimate_features, flags, upload_features
 from claimsight.operators.joins import merge_claims_policies
@@ -40,10 +41,18 @@ def prepare_data(spark: SparkSession, claims_path: str, policies_path: str, out_
                                                     "validation_passed": report["passed"]})
 
 
-def persist_split(df: DataFrame, path: str) -> DataFrame:
-    """Split deterministically and write both parts in one partitioned table (M1 + S5)."""
-    A.write_split(with_split(df), path)
-    return df.sparkSession.read.parquet(path)
+def persist_split(df: DataFrame, path: str, fraction: float = K.TEST_SIZE, seed: int = K.RANDOM_STATE) -> DataFrame:
+    """Split deterministically and write both parts in one partitioned table (M1 + S5), with a metadata row.
+
+    The row (``<path>/_meta``) tells rows and schema of both parts, and how they were made.
+    """
+    spark = df.sparkSession
+    A.write_split(with_split(df, fraction=fraction, seed=seed), path)
+    train, test = (A.read_split(spark, path, part) for part in ("train", "test"))
+    made = {"split_method": "md5 of the claim id below a threshold", "test_fraction": fraction, "seed": seed, "target": K.TARGET,
+            "preprocessing": "parse dates, impute, derive features"}
+    A.dataset_metadata(train, "split", lineage=made, test=test).write.mode("append").parquet(f"{path}/_meta")
+    return spark.read.parquet(path)
 
 
 def train_and_promote(spark: SparkSession, processed: DataFrame, models_base: str,

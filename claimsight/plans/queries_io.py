@@ -61,6 +61,18 @@ def q_split_roundtrip(spark, sf):
     return train.unionByName(test)
 
 
+@register("split_metadata", """
+SELECT CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_rows, CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_rows,
+  true AS schema_consistent, '0.2' AS test_fraction, 'Ultimate_Claim_Amount' AS target FROM split""")
+def q_split_metadata(spark, sf):
+    """Metadata of a persisted split: rows of both parts, equal schemas, how it was made."""
+    path = _run_dir(spark, "split")
+    persist_split(prepared(spark, sf), path)
+    meta = spark.read.parquet(f"{path}/_meta")
+    return meta.select("train_rows", "test_rows", "schema_consistent", F.col("info")["test_fraction"].alias("test_fraction"),
+                       F.col("info")["target"].alias("target"))
+
+
 @register("upload_roundtrip", """
 SELECT Claim_Type, CAST(count(*) AS BIGINT) AS claims,
   CAST(sum(CAST(round(Estimated_Claim_Amount * 1000) AS BIGINT)) AS BIGINT) AS estimate_milli,

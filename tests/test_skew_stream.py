@@ -91,3 +91,52 @@ def test_scale_settings():
     assert int(s["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
     small = scale_settings(10 * 1024 ** 2, executor_cores=4, executors=2)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least three waves
+
+
+def _arrivals(spark, folder, name, lines):
+    import os
+    os.makedirs(f"{folder}/in", exist_ok=True)
+    with open(f"{folder}/in/{name}.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def _score_folder(spark, folder):
+    from pyspark.sql import types as T
+    from claimsight.streaming.arrivals import score_arrivals
+    schema = T.StructType([T.StructField("Claim_ID", T.StringType()), T.StructField("Accident_Date", T.StringType()),
+                           T.StructField("Driver_Age", T.DoubleType())])
+    q = score_arrivals(spark, f"{folder}/in", f"{folder}/out", f"{folder}/ckpt", schema,
+                       lambda d: d.withColumn("prediction", F.lit(3.0)), "2026-01-01 00:00:00")
+    q.awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+def test_stream_sets_bad_rows_aside(spark, tmp_dir):
+    _arrivals(spark, tmp_dir, "a", ["Claim_ID,Accident_Date,Driver_Age", "c1,2024-01-05,30", "c2,2023-02-29,40", "c3,2024-01-05,old", "c4,,"])
+    got = {r["Claim_ID"]: (r["Rejected"], r["Predictions"] is None) for r in _score_folder(spark, tmp_dir).collect()}
+    assert got == {"c1": (None, False), "c2": ("Accident_Date", True), "c3": ("Driver_Age", True), "c4": (None, False)}
+
+
+def test_stream_stops_at_another_header(spark, tmp_dir):
+    from pyspark.errors import StreamingQueryException
+    _arrivals(spark, tmp_dir, "a", ["Accident_Date,Claim_ID,Driver_Age", "2024-01-05,c1,30"])
+    with pytest.raises(StreamingQueryException):
+        _score_folder(spark, tmp_dir)
+
+
+def test_snapshot_versions(spark, tmp_dir):
+    from claimsight.streaming.arrivals import EXPOSURE_SCHEMA, monthly_exposure_stream, read_snapshot
+    snap = f"{tmp_dir}/snap"
+    assert read_snapshot(spark, snap).count() == 0
+    for i, amount in enumerate((10, 30)):
+        _arrivals(spark, tmp_dir, f"f{i}", ["Claim_ID,Accident_Date,Ultimate_Claim_Amount", f"c{i},2024-01-05,{amount}"])
+        monthly_exposure_stream(spark, f"{tmp_dir}/in", snap, f"{tmp_dir}/ck", EXPOSURE_SCHEMA).awaitTermination()
+        assert [r["value"] for r in read_snapshot(spark, snap).collect()] == [10.0 if i == 0 else 40.0]
+
+
+def test_null_keys_are_counted_when_asked(spark):
+    claims = spark.createDataFrame([(None, None)] * 3 + [(1, 1)], "Policy_ID long, Customer_ID long")
+    policies = spark.createDataFrame([(None, None)] * 2 + [(1, 1)], "Policy_ID long, Customer_ID long").withColumn("x", F.lit(1))
+    assert merge_claims_policies(claims, policies, most_null_pairs=6).count() == 7
+    with pytest.raises(ValueError):
+        merge_claims_policies(claims, policies, most_null_pairs=5)
