@@ -53,24 +53,25 @@ def _value(c: str) -> Column:
 
 
 def _pass(df: DataFrame, cols: Sequence[str], wanted: list[tuple[int, tuple, bool]], buckets: int) -> list[dict]:
-    """Counts of the five parts of each range, and the sorted inside (True) or its sketch."""
+    """Counts of the parts of each range (the rest lies above), and the sorted inside (True) or its sketch."""
     grid = [i / _GRID for i in range(_GRID + 1)]
     out = []
     for j, (k, (a, lo, hi, b), collect) in enumerate(wanted):
         v = _value(cols[k])
         inside = (v > F.lit(lo)) & (v < F.lit(hi))
         left = v < F.lit(lo) if a is None else (v > F.lit(a)) & (v < F.lit(lo))
-        right = v > F.lit(hi) if b is None else (v > F.lit(hi)) & (v < F.lit(b))
         lowest = F.lit(False) if lo == a else v == F.lit(lo)
         highest = F.lit(False) if hi in (b, lo) else v == F.lit(hi)
-        out += [F.count_if(x).alias(f"{name}{j}") for name, x in
-                (("below", left), ("low", lowest), ("mid", inside), ("high", highest), ("above", right))]
         held = F.when(inside, v)
-        out.append((F.sort_array(F.collect_list(held)) if collect
-                    else F.percentile_approx(held, grid, buckets)).alias(f"seen{j}"))
-    row = df.agg(*out).first()
-    return [{n: row[f"{n}{j}"] for n in ("below", "low", "mid", "high", "above", "seen")} | {"whole": w[2]}
-            for j, w in enumerate(wanted)]
+        parts = {"below": F.count_if(left), "low": F.count_if(lowest), "high": F.count_if(highest)}
+        if collect:
+            parts["seen"] = F.sort_array(F.collect_list(held))
+        else:
+            parts |= {"mid": F.count(held), "seen": F.percentile_approx(held, grid, buckets)}
+        out += [e.alias(f"{name}{j}") for name, e in parts.items()]
+    row = df.agg(*out).first().asDict()
+    return [{"below": row[f"below{j}"], "low": row[f"low{j}"], "high": row[f"high{j}"], "seen": row[f"seen{j}"], "whole": w[2],
+             "mid": len(row[f"seen{j}"]) if w[2] else row[f"mid{j}"], "above": math.inf} for j, w in enumerate(wanted)]
 
 
 def order_statistics(df: DataFrame, cols: Sequence[str], ranks, buckets: int = 10_000,
@@ -83,7 +84,7 @@ def order_statistics(df: DataFrame, cols: Sequence[str], ranks, buckets: int = 1
     """
     result: dict[tuple[int, int], float] = {}
     first = _pass(df, cols, [(k, _Search(None).split(), False) for k in range(len(cols))], buckets)
-    counts = {k: sum(p[n] for n in ("below", "low", "mid", "high", "above")) for k, p in enumerate(first)}
+    counts = {k: sum(p[n] for n in ("below", "low", "mid", "high")) for k, p in enumerate(first)}
     if callable(ranks):
         ranks = ranks(counts)
     open_ = {(k, r): _Search(r) for k, rs in ranks.items() if counts[k] for r in rs}
@@ -117,8 +118,8 @@ def _narrow(s: _Search, p: dict, buckets: int) -> float | None:
         if name != "mid":  # the sketch misjudged the rank and there is none of this part: sketch it next
             s.lo, s.hi, s.expect = a, b, n
         else:
-            place = at / max(n - 1, 1) * _GRID
-            lo, hi = max(0, math.floor(place) - 1), min(_GRID, math.ceil(place) + 1)
+            place = round(at / max(n - 1, 1) * _GRID)  # neighbouring ranks get the same bracket
+            lo, hi = max(0, place - 2), min(_GRID, place + 2)
             s.lo, s.hi = p["seen"][lo], p["seen"][hi]
             s.expect = int(n * ((hi - lo) / _GRID + 2 / buckets)) + 2
         return None
