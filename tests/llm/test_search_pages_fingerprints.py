@@ -47,7 +47,7 @@ PAGES = [
     ("<ul><li>a<li>b<ol start=3><li>c<li value=9>d</ol><li>e</ul>", "- a\n- b\n  3. c\n  9. d\n- e"),
     ("<table><tr><th>Name<th>Qty<tr><td>Apples<td>3<tr><td colspan=2>both</table>", "Name   | Qty\nApples | 3\nboth"),
     ("<table><td>x<td>y</table>", "x | y"),
-    ("a<div hidden>no</div><div style='Display : NONE'>no</div><span style=visibility:hidden>no</span>b", "a\nb"),
+    ("a<div hidden>no</div><div style='Display : NONE'>no</div><span style=visibility:hidden>no</span>b", "ab"),  # an element that is not displayed breaks no line
     ("<pre>\n a  b\n   c</pre>d", " a  b\n   c\n\nd"),
     ("x<br>y<br><br>z", "x\ny\n\nz"),
     ("<h1>H</h1>t<!-- <p>c</p> --><hr>u", "H\n\nt\n\n---\n\nu"),
