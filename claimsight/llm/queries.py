@@ -183,7 +183,8 @@ FROM y JOIN f ON y.source IS NOT DISTINCT FROM f.source AND y.block = f.block WH
 @register
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text of ``documents`` and of its edited text, and how alike they are."""
-    out = winnowing.edited_and_next(table(spark, sf_dir, "documents"))
+    out = winnowing.edited_and_next(table(spark, sf_dir, "documents"), k=winnowing.CHARACTER_K, w=winnowing.CHARACTER_W,
+                                    units=winnowing.CHARACTERS)
     digest = lambda c: F.sha2(F.array_join(c, " "), 256).alias(c)
     return out.select("doc_id", "n_chars", "edited_sha256", digest("fingerprint"), digest("edited_fingerprint"),
                       "near_edited", "near_next")

@@ -1,10 +1,12 @@
 """Document fingerprints by winnowing (operator 4), with DataFrame functions only.
 
-A text is cut into words ``[^\\x20\\x09-\\x0D]+``; every ``K`` consecutive words get a rolling
-polynomial hash of the word hashes (fewer words: all of them as one gram).  Of every ``W``
-consecutive grams the smallest hash is kept, the rightmost of equal ones, with its position; near
-the end the windows hold the grams that are left.  So any run of ``K + W - 1`` words that two texts
-share yields a common fingerprint, and grams whose run is shorter than ``K`` words never match.
+The units of a text are its code points, every run of ASCII white space counting as one space and
+none at the ends (``CHARACTERS``), or its words ``[^\\x20\\x09-\\x0D]+`` (``WORDS``, only for texts whose
+script puts spaces between words).  Every ``k`` consecutive units get a rolling polynomial hash of
+the unit hashes (fewer units: all of them as one gram).  Of every ``w`` consecutive grams the smallest
+hash is kept, the rightmost of equal ones, with its position; near the end the windows hold the grams
+that are left.  So any run of ``k + w - 1`` units that two texts share yields a common fingerprint,
+and grams whose run is shorter than ``k`` units never match.
 
 A fingerprint is an array of longs, ``hash * 2**31 + (2**31 - 1 - position)``, in text order: the
 smallest such number is the smallest hash at its rightmost position, which is what a sliding
@@ -22,33 +24,46 @@ from pyspark.sql import functions as F
 
 from claimsight.llm.common import shuffle_partitions
 
-#: Words per gram and grams per window.
+WORDS, CHARACTERS = "words", "characters"
+#: Units per gram and grams per window, for words and for characters.
 K, W = 3, 4
+CHARACTER_K, CHARACTER_W = 8, 8
 #: Modulus (a Mersenne prime) and base of the polynomial hash; positions use the same bound.
 PRIME, BASE, PLACES = (1 << 31) - 1, 1_000_003, 1 << 31
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def _words(text: str) -> Column:
+def _units(text: str, units: str) -> Column:
     solid = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANKS))
-    return F.when(solid == "", F.array().cast("array<string>")).otherwise(F.split(solid, r"[\x20\x09-\x0D]+"))
+    if units == WORDS:
+        parts = F.split(solid, r"[\x20\x09-\x0D]+")
+    elif units == CHARACTERS:  # single spaces, which are most of the blanks, stay without a replacement
+        parts = F.split(F.regexp_replace(solid, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " "), "")
+    else:
+        raise ValueError(f"unknown units: {units}")
+    return F.when(solid == "", F.array().cast("array<string>")).otherwise(parts)
 
 
-def _step(a: Column, b: Column) -> Column:
-    return (a * F.lit(BASE) + b) % F.lit(PRIME)
+def _step(a: Column, b: Column, base: int = BASE) -> Column:
+    return (a * F.lit(base) + b) % F.lit(PRIME)
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
+def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, units: str = WORDS) -> DataFrame:
     """``df`` with a column ``out``: the fingerprint of ``text``. Row-wise; uses columns named ``__w*``."""
-    df = df.withColumn("__wh", F.transform(_words(text), lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))))
+    df = df.withColumn("__wh", F.transform(_units(text, units), lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))))
+    df, have = df.withColumn("__wg", F.col("__wh")), 1
+    while have < k:  # grams of 2, 4, ... units from two halves, then one unit more at a time
+        step = have if 2 * have <= k else 1
+        m = F.greatest(F.size("__wg") - step, F.lit(0))
+        more = F.slice("__wg" if step == have else "__wh", F.lit(have + 1), m)
+        shift = pow(BASE, step, PRIME)
+        df = df.withColumn("__wg", F.zip_with(F.slice("__wg", F.lit(1), m), more, lambda a, b: _step(a, b, shift)))
+        have += step
     n = F.size("__wh")
-    grams = F.slice("__wh", F.lit(1), F.greatest(n - (k - 1), F.lit(0)))
-    for j in range(1, k):
-        grams = F.zip_with(grams, F.slice("__wh", F.lit(j + 1), F.greatest(n - (k - 1), F.lit(0))), _step)
-    whole = F.array(F.aggregate("__wh", F.lit(0).cast("long"), _step))
-    # An empty array has no gram; one to k - 1 words are one gram.
-    grams = F.when(n >= k, grams).when(n > 0, whole).otherwise(F.array().cast("array<long>"))
-    df = df.withColumn("__wv", F.transform(grams, lambda g, i: g * F.lit(PLACES) + (F.lit(PLACES - 1) - i))).drop("__wh")
+    whole = F.array(F.aggregate("__wh", F.lit(0).cast("long"), lambda a, b: _step(a, b)))
+    # An empty array has no gram; one to k - 1 units are one gram.
+    grams = F.when(n >= k, F.col("__wg")).when(n > 0, whole).otherwise(F.array().cast("array<long>"))
+    df = df.withColumn("__wv", F.transform(grams, lambda g, i: g * F.lit(PLACES) + (F.lit(PLACES - 1) - i))).drop("__wh", "__wg")
     have = 1
     while have < w:  # minimum of 2, 4, ... grams; the last step may overlap
         step = min(have, w - have)
@@ -101,7 +116,8 @@ def in_order(docs: DataFrame, id: str, text: str, groups: int | None = None) ->
     return rows, Window.partitionBy("__g").orderBy("__copy", id, text)
 
 
-def edited_and_next(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = K, w: int = W) -> DataFrame:
+def edited_and_next(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = K, w: int = W,
+                    units: str = WORDS) -> DataFrame:
     """Per row of ``docs``: ``id``, ``n_chars``, ``edited_sha256``, ``fingerprint`` and ``edited_fingerprint``
     (arrays of longs), ``near_edited`` and ``near_next``.
 
@@ -114,12 +130,13 @@ def edited_and_next(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     tail = F.floor(n / 4).cast("int")
     rows = rows.withColumn("__edited", F.concat(F.substr("__text", F.lit(1), n - tail), F.substr("__next", F.lit(1), tail)))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited_sha256", F.sha2("__edited", 256)).drop("__next")
-    rows = with_fingerprint(rows, "__text", "fingerprint", k, w).drop("__text")
-    rows = with_fingerprint(rows, "__edited", "edited_fingerprint", k, w).drop("__edited")
+    rows = with_fingerprint(rows, "__text", "fingerprint", k, w, units).drop("__text")
+    rows = with_fingerprint(rows, "__edited", "edited_fingerprint", k, w, units).drop("__edited")
     rows = rows.withColumn("__h", hashes("fingerprint")).withColumn("__e", hashes("edited_fingerprint"))
+    rows = rows.withColumn("near_edited", likeness("__h", "__e")).drop("__h", "__e")
     # The rows are still in order (equal ids too), so the successor's hashes cost no further exchange or sort.
     still = Window.partitionBy("__g").orderBy("__copy", id)
-    rows = rows.withColumn("__n", F.lead("__h").over(still)).where("__copy = 0")
-    return rows.select(id, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                       likeness("__h", "__e").alias("near_edited"), likeness("__h", "__n").alias("near_next"))
-
+    rows = rows.withColumn("__next", F.lead("fingerprint").over(still)).where("__copy = 0")
+    rows = rows.withColumn("__h", hashes("fingerprint")).withColumn("__n", hashes("__next"))
+    return rows.select(id, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+                       likeness("__h", "__n").alias("near_next"))

@@ -122,3 +122,43 @@ def test_any_shared_run_is_found():
         x = " ".join([f"x{i}" for i in range(a)] + run + ["p"] * 9)
         y = " ".join(["q"] * 5 + run + [f"y{i}" for i in range(a)])
         assert {h for h, _ in brute.fingerprint(x)} & {h for h, _ in brute.fingerprint(y)}
+
+
+def by_characters(text, k, w):
+    """Brute force: [(hash, position)] of winnowed grams of ``k`` code points, blank runs as one space."""
+    chars = " ".join(brute.words(text))
+    h = [((brute.xxhash.xxh64_intdigest(c.encode(), 42) + 2 ** 63) % 2 ** 64 - 2 ** 63) % winnowing.PRIME for c in chars]
+    grams = []
+    for part in [h[i:i + k] for i in range(len(h) - k + 1)] or [h] * bool(h):
+        a = 0
+        for x in part:
+            a = (a * winnowing.BASE + x) % winnowing.PRIME
+        grams.append(a)
+    return list(dict.fromkeys(min((g, -j) for j, g in enumerate(grams[i:i + w], i)) for i in range(len(grams))))
+
+
+def test_character_fingerprints_of_unspaced_texts(spark):
+    k, w = winnowing.CHARACTER_K, winnowing.CHARACTER_W
+    unspaced = "吾輩は猫である名前はまだ無いどこで生れたかとんと見当がつかぬ何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している"
+    rows = [(1, unspaced), (2, "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVphYmNkZWZnaGlqa2xtbm9wcXJzdHV2d3h5eg"), (3, "a\t\n b  c \r\n" * 9),
+            (4, "𝒳𝒴 😀 z é" * 5), (5, "short"), (6, None), (7, " \t"), (8, "eight ch"), (9, "seven c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = winnowing.edited_and_next(docs, k=k, w=w, units=winnowing.CHARACTERS).orderBy("doc_id").collect()
+    texts = [t or "" for _, t in rows]
+    for i, (r, text) in enumerate(zip(got, texts)):
+        following = texts[(i + 1) % len(texts)]
+        q = len(text) // 4
+        fp, fe, fn = (by_characters(t, k, w) for t in (text, text[:len(text) - q] + following[:q], following))
+        assert r.fingerprint == [h * 2 ** 31 + 2 ** 31 - 1 + j for h, j in fp] and len(r.edited_fingerprint) == len(fe)
+        assert (r.near_edited, r.near_next) == (brute.likeness(fp, fe), brute.likeness(fp, fn))
+    for n in (3, 5, 6):  # other gram sizes than powers of two
+        some = winnowing.with_fingerprint(docs.where("doc_id < 5"), "text", "f", n, w, winnowing.CHARACTERS).orderBy("doc_id").collect()
+        assert [r.f for r in some] == [[h * 2 ** 31 + 2 ** 31 - 1 + j for h, j in by_characters(t, n, w)] for t in texts[:4]]
+
+
+def test_query_sees_what_unspaced_texts_share(spark, tmp_path):
+    """With words as units a text without white space is one gram, and any edit of it leaves nothing in common."""
+    unspaced = "吾輩は猫である名前はまだ無いどこで生れたかとんと見当がつかぬ何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している"
+    spark.createDataFrame([(1, unspaced), (2, "0123456789" * 20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.near_edited for r in queries.op4_winnowing(spark, str(tmp_path)).collect()}
+    assert 0 < got[1] < 1 and got[2] > 0
