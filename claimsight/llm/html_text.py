@@ -2,7 +2,9 @@
 
 ``parse`` builds a tree from any markup: implied end tags (paragraphs, list items, table parts,
 options, headings), implied rows, void elements, raw text of scripts and styles, comments, end tags
-without a start.  ``render`` walks the tree and emits all visible text: elements that browsers never
+without a start.  Inside ``svg`` and ``math`` the rules of foreign content hold: ``/>`` closes, CDATA is
+text, and a start tag of HTML ends them; ``svg`` shows the text of ``text`` and ``foreignObject``
+only (not what ``use`` repeats from ``defs``), ``math`` all but its annotations.  ``render`` walks the tree and emits all visible text: elements that browsers never
 show, ``hidden`` attributes, ``display:none`` and ``visibility:hidden`` styles are left out; white
 space collapses except in ``pre`` and ``textarea``; blocks stand on their own lines, paragraphs and
 headings between blank lines; list items get ``- `` or their number, indented by depth; table cells
@@ -29,7 +31,7 @@ from claimsight.llm.common import column, slices
 # Element names of HTML by how a browser lays them out.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head title meta link base script style template noscript noembed noframes iframe object audio video "
-                   "canvas svg math datalist area param source track".split())
+                   "canvas datalist area param source track".split())
 RAW = frozenset("script style xmp noembed noframes iframe".split())
 PLAIN = frozenset(("textarea", "title"))  # text with entities, no tags
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr menu".split())
@@ -53,6 +55,13 @@ CLOSES = {
 #: An end tag looks no further up than these, unless it names one of them.
 BARRIERS = frozenset(("table", "td", "th", "caption"))
 TABLE_PARTS = frozenset(("tr", "tbody", "thead", "tfoot"))
+#: What svg and math hold but don't show, where HTML goes on inside them, and the start tags of HTML that end them.
+FOREIGN = frozenset(("svg", "math"))
+UNSEEN_FOREIGN = frozenset("annotation annotation-xml defs desc metadata symbol clippath mask pattern marker".split())
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mn mo ms mtext".split())
+APART = frozenset("mfrac mroot mtable mtr".split())  # a space between their children
+BREAKOUT = HEADINGS | frozenset("b big blockquote body br center code dd div dl dt em embed head hr i img li listing menu meta nobr ol p "
+                                "pre ruby s small span strong strike sub sup table tt u ul var".split())
 NO_BARRIER, TABLE_ONLY = frozenset(), frozenset(("table",))
 
 #: Cells are padded up to this width; longer ones push their row's next cells to the right.
@@ -61,6 +70,10 @@ CELL_WIDTH = 40
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)(>?)""")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 _UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_UNSHOWN_FOREIGN = re.compile(r"""\b(?:display\s*=\s*["']?\s*none|visibility\s*=\s*["']?\s*(?:hidden|collapse))""", re.I)
+_QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
+_BARE_LAST = re.compile(r"""=\s*[^\s"'][^\s]*\Z""")
+_COMMENT_END = re.compile(r"--!?>")
 _BLANK = re.compile(r"[ \t\n\r\f\v]+")
 _HINT = re.compile(r"hidden|style|start|value|colspan|type|alt", re.I)
 
@@ -85,10 +98,21 @@ def parse(source: str) -> Element:
     # Open elements by tag, in all and below the nearest barrier: a search up the stack starts only if it can succeed.
     everywhere: Counter[str] = Counter()
     scopes: list[Counter[str]] = [Counter()]
+    # Of each open element, what its texts are: of HTML (""), of "math", of svg outside ("svg", not shown) or inside a "text".
+    kinds = [""]
 
     def push(element: Element) -> None:
+        kind = kinds[-1]
+        if element.tag in FOREIGN:
+            kind = element.tag
+        elif kind and element.tag in INTEGRATION:
+            kind = ""
+        elif kind == "svg" and element.tag == "text":
+            kind = "text"
+            stack[-1].children.append(" ")
         stack[-1].children.append(element)
         stack.append(element)
+        kinds.append(kind)
         everywhere[element.tag] += 1
         scopes[-1][element.tag] += 1
         if element.tag in BARRIERS:
@@ -96,6 +120,8 @@ def parse(source: str) -> Element:
 
     def pop() -> None:
         tag = stack.pop().tag
+        if kinds.pop() == "text" and kinds[-1] == "svg":
+            stack[-1].children.append(" ")
         if tag in BARRIERS:
             scopes.pop()
         scopes[-1][tag] -= 1
@@ -118,12 +144,23 @@ def parse(source: str) -> Element:
         if lt < 0:
             lt = n
         if lt > at:
-            stack[-1].children.append(html.unescape(source[at:lt]))
+            if kinds[-1] != "svg":
+                stack[-1].children.append(html.unescape(source[at:lt]))
             at = lt
             continue
         if source.startswith("<!--", at):
-            end = source.find("-->", at + 4)
-            at = n if end < 0 else end + 3
+            if source.startswith((">", "->"), at + 4):  # closed at once
+                at = source.index(">", at) + 1
+                continue
+            end = _COMMENT_END.search(source, at + 4)
+            at = end.end() if end else n
+            continue
+        if kinds[-1] and source.startswith("<![CDATA[", at):
+            end = source.find("]]>", at + 9)
+            end = n if end < 0 else end
+            if kinds[-1] != "svg":
+                stack[-1].children.append(source[at + 9:end])
+            at = end + 3
             continue
         if source.startswith(("<!", "<?"), at):
             end = source.find(">", at)
@@ -131,7 +168,8 @@ def parse(source: str) -> Element:
             continue
         m = _TAG.match(source, at)
         if m is None:
-            stack[-1].children.append("<")
+            if kinds[-1] != "svg":
+                stack[-1].children.append("<")
             at += 1
             continue
         tag, at = m[1].lower(), m.end()
@@ -149,6 +187,15 @@ def parse(source: str) -> Element:
         if m[2] and _HINT.search(m[2]):
             for a in _ATTRIBUTE.finditer(m[2]):
                 attributes.setdefault(a[1].lower(), html.unescape(a[2] or a[3] or a[4] or ""))
+        if kinds[-1] or tag in FOREIGN:
+            while kinds[-1] and tag in BREAKOUT:
+                pop()
+            if kinds[-1] and (tag in UNSEEN_FOREIGN or _UNSHOWN_FOREIGN.search(m[2])):
+                attributes["hidden"] = ""
+            if kinds[-1] == "math" and stack[-1].tag in APART and stack[-1].children:
+                stack[-1].children.append(" ")
+            if m[2].endswith("/") and (kinds[-1] or tag in FOREIGN) and not _BARE_LAST.search(_QUOTED.sub('""', m[2])):
+                continue  # an empty element
         if tag in ENDS_P:
             close(("p",), BARRIERS)
         if tag in CLOSES:

@@ -65,6 +65,30 @@ def test_page(source, text):
     assert html_text.page_text(source) == text
 
 
+FOREIGN_PAGES = [
+    ("a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b", "a x=1 2 b"),
+    ("<math><semantics><mi>x</mi><annotation encoding='t'>tex</annotation></semantics></math>y", "xy"),
+    ("a<svg width=9><title>t</title><desc>d</desc><g>no<text x=1>Sales</text><text>2 <tspan>units</tspan></text></g></svg>b", "a Sales 2 units b"),
+    ("<svg><defs/><style/><path d='M0'/><text>in</text></svg>out", "in out"),
+    ("<svg><defs><text>no</text></defs><text display='none'>no</text><text><![CDATA[a<b]]></text></svg>", "a<b"),
+    ("<svg><foreignObject><p>html</p></foreignObject></svg>x", "html\n\nx"),
+    ("<svg><g><p>out of it", "out of it"),
+    ("<svg><a href=x/><text>t</text></a></svg>u", "t u"),
+    ("<symbol>s</symbol><desc>d</desc><text>t</text>", "sdt"),  # unknown elements of HTML are shown
+    ("a<!-->b", "ab"), ("a<!--->b", "ab"), ("a<!-- c --!>b", "ab"), ("a<!---->b<!-- -->c", "abc"), ("a<!--!>b-->c", "ac"),
+]
+
+
+@pytest.mark.parametrize("source, text", FOREIGN_PAGES)
+def test_page_with_formulas_drawings_and_empty_comments(source, text):
+    assert html_text.page_text(source) == text
+
+
+def test_deep_drawings():
+    assert html_text.page_text("<svg>" + "<g>" * 30_000 + "<text>x") == "x"
+    assert html_text.page_text("<math>" * 10_000 + "<mi>x") == "x"
+
+
 def test_deep_and_broken_pages():
     for bad in ("<div>" * 30_000 + "x", "<table><tr><td>" * 2000 + "x", "<ul><li>" * 1000 + "x", "<i>" * 20_000 + "</b>" * 20_000 + "x"):
         assert html_text.page_text(bad).strip().endswith("x")
