@@ -236,9 +236,8 @@ def q_model_report(spark, sf):
 
 @register("compare_models")
 def q_compare_models(spark, sf):
-    """Retrain the enabled models on the prepared claims and rank them by R2."""
-    _, table = ML.retrain(prepared(spark, sf), ["elastic_net", "gradient_boosting"],
-                          {k: _SMALL[k] for k in ("elastic_net", "gradient_boosting")})
+    """Retrain all models on the prepared claims and rank them by R2."""
+    _, table = ML.retrain(prepared(spark, sf), list(ML.BUILDERS), _SMALL)
     return table.drop("params")
 
 
@@ -299,16 +298,15 @@ def _fitted_gbt(spark, sf):
 
 @register("shapley_model")
 def q_shapley_model(spark, sf):
-    """Sampled Shapley values (log scale) of a boosted-tree model for 500 sampled test claims."""
+    """Sampled Shapley values (log scale) of a boosted-tree model for 3,000 sampled test claims."""
     df, train, test, tm = _fitted_gbt(spark, sf)
     feats = [c for c in list(K.NUMERIC_FEATURES) + list(K.CATEGORICAL_FEATURES) if c in df.columns]
-    rows = sample_n(test, 500).select("Claim_ID", *feats)
+    rows = sample_n(test, 3000).select("Claim_ID", *feats)
 
     def scorer(d):
         return tm.model.transform(d).drop("features")
 
-    contrib = X.shapley_sampling(rows, train.select("Claim_ID", *feats), scorer, feats, samples=8,
-                                 background_rows=50)
+    contrib = X.shapley_sampling(rows, train.select("Claim_ID", *feats), scorer, feats)
     return X.global_importance(contrib, k=20)
 
 

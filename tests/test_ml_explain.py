@@ -156,3 +156,15 @@ def test_tune_scores_every_point_on_both_measures(spark, prepared):
     rows = table.collect()
     assert len(rows) == 2 and all(r[c] > 0 for r in rows for c in ("cv_rmsle", "cv_smape", "train_rmsle", "train_smape"))
     assert all(r["cv_smape"] <= 2 for r in rows)
+
+
+def test_model_queries_do_the_whole_job(spark, monkeypatch):
+    """All four models are compared; 3,000 test claims are explained with the operator's own samples and background."""
+    from claimsight.plans import queries_models as Q
+
+    asked = {}
+    monkeypatch.setattr(Q, "sample_n", lambda df, n, *a, **b: asked.update(n=n) or df.limit(5))
+    monkeypatch.setattr(Q.X, "shapley_sampling", lambda *a, **b: asked.update(b) or spark.createDataFrame(
+        [(1, "x", 1.0)], "Claim_ID long, feature string, contribution double"))
+    assert Q.q_shapley_model(spark, SF0001).count() == 1 and asked == {"n": 3000}
+    assert sorted(r[0] for r in Q.q_compare_models(spark, SF0001).select("model").collect()) == sorted(Q.ML.BUILDERS)
