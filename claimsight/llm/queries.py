@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with DuckDB SQL where SQL can express them."""
+"""The operators as queries over the given tables, with DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import ann, bpe, html_text, langid, lengths, minmax, mixing, quality, substring, winnowing
+from claimsight.llm import (ann, bpe, html_text, langid, lengths, minmax, mixing, quality, sharding, substring,
+                            vector_codes, winnowing)
 from claimsight.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +189,82 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = lambda c: F.sha2(F.array_join(c, " "), 256).alias(c)
     return out.select("doc_id", "n_chars", "edited_sha256", digest("fingerprint"), digest("edited_fingerprint"),
                       "near_edited", "near_next")
+
+
+@register
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight-part codes of every usable vector of ``embeddings`` and their errors, by vector and by label."""
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", ["label"])
+    coded = written(coded, "vector-codes")
+    totals = written(coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "label-errors")
+    digest = F.lit(None).cast("string")
+    for size, book in books.items():
+        digest = F.when(F.col("size") == size, book.digest()).otherwise(digest)
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return coded.join(totals, F.col("label").eqNullSafe(F.col("of")), "left").select(
+        "vec_id", code.alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def _code_rounds() -> str:
+    """The rounds of operator 11 as common table expressions ``a0`` .. ``a6`` (nearest entries) and ``b0`` .. ``b6`` (codebooks)."""
+    out = []
+    for k in range(7):
+        if k:
+            out.append(f"""b{k} AS MATERIALIZED (
+  SELECT o.part, o.entry, coalesce(n.c, o.c) AS c FROM b{k - 1} o LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS c FROM (
+      SELECT part, entry, pos, sum(v) AS s, count(*) AS n
+      FROM (SELECT p.part, a.entry, unnest(p.c) AS v, unnest(range(len(p.c))) AS pos FROM p JOIN a{k - 1} a USING (vec_id, part))
+      GROUP BY part, entry, pos) GROUP BY part, entry) n ON n.part = o.part AND n.entry = o.entry)""")
+        out.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, part, near[2] AS entry, near[1] AS error FROM (
+    SELECT p.vec_id, p.part, min([CAST(list_sum(list_transform(list_zip(p.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), b.entry]) AS near
+    FROM p JOIN b{k} b USING (part) GROUP BY p.vec_id, p.part))""")
+    return ",\n".join(out)
+
+
+ORACLE["op11_vector_codes"] = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+p AS MATERIALIZED (SELECT vec_id, m AS part, c[m * len(c) // 8 + 1 : (m + 1) * len(c) // 8] AS c FROM v, range(8) t(m)),
+b0 AS MATERIALIZED (SELECT part, k - 1 AS entry, c FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS k FROM p) WHERE k <= 16),
+{_code_rounds()},
+e AS (SELECT vec_id, lower(string_agg(lpad(hex(CAST(entry AS BIGINT)), 2, '0'), '' ORDER BY part)) AS code, CAST(sum(error) AS BIGINT) AS error
+      FROM a6 GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b6),
+l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM e JOIN v USING (vec_id) GROUP BY label)
+SELECT e.vec_id, e.code, e.error, l.label_error, h.codebooks_sha256
+FROM e JOIN v USING (vec_id) JOIN l ON l.label IS NOT DISTINCT FROM v.label CROSS JOIN h
+"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 (reflected polynomial 0xEDB88320) of the UTF-8 bytes of a SQL expression, four bits at a time."""
+    steps = []
+    for v in range(16):
+        for _ in range(4):
+            v = v >> 1 ^ (0xEDB88320 if v & 1 else 0)
+        steps.append(v)
+    nibble = (f"CAST(instr('0123456789ABCDEF', substr(hex(encode({text})), CAST(i + 2 - 2 * (i % 2) AS BIGINT), 1)) - 1 AS BIGINT)")
+    return (f"xor(4294967295, list_reduce(list_transform(range(2 * strlen({text})), lambda i: {nibble}), "
+            f"lambda c, v: xor(({steps})[(xor(c, v) & 15) + 1], c >> 4), 4294967295))")
+
+
+@register
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contiguous shards 0 to 39 of ``documents`` in the order of their ids, near equal in bytes."""
+    out = sharding.shards(table(spark, sf_dir, "documents"), 40)
+    return out.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+ORACLE["op12_shards"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT doc_id, CAST(strlen(t) + 16 AS BIGINT) AS size, CAST({_crc32_sql("t")} AS BIGINT) AS text_crc32 FROM d),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id, size, text_crc32) - size AS before, sum(size) OVER () AS total,
+             row_number() OVER (ORDER BY doc_id, size, text_crc32) AS place FROM s),
+x AS (SELECT *, CAST(40 * (2 * before + size) // (2 * total) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM x
+"""
