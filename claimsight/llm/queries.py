@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsight.llm import (ann, bpe, html_text, langid, lengths, minmax, mixing, quality, sharding, substring,
+from claimsight.llm import (ann, bpe, html_text, langid, lengths, minmax, mixing, quality, repair, sharding, substring,
                             vector_codes, winnowing)
 from claimsight.llm.common import table, written
 
@@ -245,9 +245,9 @@ def _crc32_sql(text: str) -> str:
         for _ in range(4):
             v = v >> 1 ^ (0xEDB88320 if v & 1 else 0)
         steps.append(v)
-    nibble = (f"CAST(instr('0123456789ABCDEF', substr(hex(encode({text})), CAST(i + 2 - 2 * (i % 2) AS BIGINT), 1)) - 1 AS BIGINT)")
-    return (f"xor(4294967295, list_reduce(list_transform(range(2 * strlen({text})), lambda i: {nibble}), "
-            f"lambda c, v: xor(({steps})[(xor(c, v) & 15) + 1], c >> 4), 4294967295))")
+    digit = "CAST(instr('0123456789ABCDEF', substr(h, {}, 1)) - 1 AS BIGINT)"
+    halves = f"flatten(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: [{digit.format(2)}, {digit.format(1)}]))"
+    return f"xor(4294967295, list_reduce({halves}, lambda c, v: xor(({steps})[(xor(c, v) & 15) + 1], c >> 4), 4294967295))"
 
 
 @register
@@ -268,3 +268,10 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
        CAST(NULL AS INTEGER) AS grown_shard
 FROM x
 """
+
+
+@register
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least cost, edits and digest of the repaired rows of every damaged conversation."""
+    rows = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.repair(rows, present=F.col("present")).drop("repaired")
