@@ -275,3 +275,65 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, least cost, edits and digest of the repaired rows of every damaged conversation."""
     rows = repair.damage(table(spark, sf_dir, "conversations"))
     return repair.repair(rows, present=F.col("present")).drop("repaired")
+
+
+def _longer(way: str, cost: str, edit: str) -> str:
+    """A way (nine digits of cost, then its edits) with an edit before it."""
+    return f"lpad(CAST(CAST(left({way}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{edit}' || substr({way}, 10)"
+
+
+def _row_ways() -> str:
+    """Least way from each state before a row, without inserts: ``n0`` .. ``n3`` from ``v0`` .. ``v3`` after it."""
+    kept = [f"CASE first WHEN 's' THEN {_longer('v1', 'more', 'K')} WHEN 'u' THEN {_longer('v2', 'more', 'K')} END",
+            f"CASE first WHEN 'u' THEN {_longer('v2', 'more', 'K')} END", f"CASE first WHEN 'a' THEN {_longer('v3', 'more', 'K')} END",
+            f"CASE first WHEN 'u' THEN {_longer('v2', 'more', 'K')} END"]
+    return ", ".join(f"least({_longer(f'v{s}', '4', 'D')}, CASE WHEN fault NOT IN ('b', 'd') THEN least({_longer(f'v{(2, 2, 3, 2)[s]}', '3 + more', 'R')}, "
+                     f"coalesce({kept[s]}, 'x')) ELSE 'x' END) AS n{s}" for s in range(4))
+
+
+def _insert_ways() -> str:
+    to = (2, 2, 3, 2)
+    one = lambda s: _longer(f"n{to[s]}", "3", "I")
+    two = lambda s: _longer(f"n{to[to[s]]}", "6", "II")
+    return ", ".join(f"least(n{s}, {one(s)}, {two(s)}) AS v{s}" for s in range(4))
+
+
+ORACLE["op13_conversation_repair"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+c AS (SELECT *, {_crc32_sql("k")} % 20 AS kind FROM d),
+x AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, left(role, 1) AS first,
+             regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail FROM x),
+a AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             lag(first) OVER (PARTITION BY conv_id ORDER BY i) || first AS pair FROM o),
+f AS (SELECT *, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS more FROM (
+        SELECT *, CASE WHEN tail = '' THEN 'b' WHEN again THEN 'd' WHEN tail NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault FROM a)),
+g AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+             count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+             count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+w(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n + 1, '000000000', '000000006II', '000000003I', '000000000' FROM g
+  UNION ALL
+  SELECT conv_id, i, {_insert_ways()} FROM (
+    SELECT f.conv_id, f.i, {_row_ways()} FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i - 1)),
+r AS (SELECT conv_id, CAST(left(v0, 9) AS BIGINT) AS cost, substr(v0, 10) AS audit FROM w WHERE i = 1),
+e AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit, unnest(range(1, length(audit) + 1)) AS p FROM r WHERE audit <> ''),
+q AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i,
+             count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS out FROM e),
+s AS (SELECT q.*, f.role, f.text,
+             max(CASE WHEN out = 1 AND edit = 'K' AND first = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY q.conv_id) AS system
+      FROM q LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM q.conv_id AND f.i = q.i AND q.edit <> 'I'),
+l AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE CASE (out - system) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+                                 || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS kept
+      FROM s WHERE edit <> 'D' GROUP BY conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT every.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(kept, '')) AS repaired_sha256
+FROM every LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM every.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
