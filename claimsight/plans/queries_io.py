@@ -17,7 +17,7 @@ from claimsight.plans.prepare import persist_split
 from claimsight.plans.scoring import enrich_predictions, materialize
 from claimsight.session import shared_path
 from claimsight.sources import artifacts as A
-from claimsight.sources.files import append_prediction_log, export_csv, read_upload
+from claimsight.sources.files import CLAIMS_SCHEMA, append_prediction_log, export_csv, lost_numbers, read_claims, read_upload
 from claimsight.streaming.arrivals import UPLOAD_COLUMNS, UPLOAD_SCHEMA, score_arrivals
 
 
@@ -92,6 +92,30 @@ def q_upload_roundtrip(spark, sf):
                                         F.count("FNOL_Date").alias("dated"))
 
 
+@register("quoted_export", """
+SELECT CAST(Claim_ID AS VARCHAR) AS Claim_ID, Claim_Type || ', "' || Weather_Condition || '"' || chr(10) || ' second line,' AS Claim_Type,
+  CAST(round(Estimated_Claim_Amount * 1000) AS BIGINT) AS estimate_milli, CAST(1 AS BIGINT) AS lost FROM features""")
+def q_quoted_export(spark, sf):
+    """Claims whose texts hold quotes, commas and line breaks, exported and read back as claims and as an upload.
+
+    ``lost`` counts amounts that the reader could not cast: the one of an added row, which comes back as NULL and is left out.
+    """
+    path = _run_dir(spark, "quoted")
+    text = F.concat("Claim_Type", F.lit(', "'), "Weather_Condition", F.lit('"\n second line,'))
+    claims = prepared(spark, sf).select(F.col("Claim_ID").cast("string").alias("Claim_ID"), text.alias("Claim_Type"),
+                                        F.col("Estimated_Claim_Amount").cast("string").alias("Estimated_Claim_Amount"), "FNOL_Date")
+    export_csv(claims, f"{path}/good")
+    export_csv(claims, f"{path}/all")
+    odd = spark.createDataFrame([("12,5 \"or so\"", "odd\nrow")], "Estimated_Claim_Amount string, Claim_ID string")
+    export_csv(odd, f"{path}/all", mode="append")
+    lost = lost_numbers(spark, f"{path}/all", CLAIMS_SCHEMA).first()["Estimated_Claim_Amount"]
+    read = read_claims(spark, f"{path}/all").where("Claim_ID <> 'odd\\nrow'").select("Claim_ID", "Claim_Type", "Estimated_Claim_Amount")
+    upload = read_upload(spark, f"{path}/good").select("Claim_ID", F.col("Claim_Type").alias("same"), F.col("Estimated_Claim_Amount").alias("e"))
+    both = read.join(upload, "Claim_ID").where(F.col("Claim_Type").eqNullSafe(F.col("same")) & F.col("Estimated_Claim_Amount").eqNullSafe(F.col("e")))
+    milli = F.round(F.col("Estimated_Claim_Amount") * 1000).cast("bigint").alias("estimate_milli")
+    return both.select("Claim_ID", "Claim_Type", milli, F.lit(lost).cast("bigint").alias("lost"))
+
+
 @register("demo_views", """
 SELECT Claim_ID, Policy_ID, round(Predictions, 4) AS Predictions, Severity,
   round(Recommended_Reserve, 4) AS Recommended_Reserve FROM scored""")
@@ -146,3 +170,22 @@ def q_monthly_exposure_stream(spark, sf):
     q.awaitTermination()
     snap = read_snapshot(spark, f"{base}/snapshot").select("Month", "value")
     return iso(rnd(with_moving_average(snap), {"value": 2, "moving_avg": 2}), "Month")
+
+
+@register("exposure_stream_by_name", """
+c AS (SELECT Claim_ID % 50 = 0 AS bad, CAST(date_trunc('month', Accident_Date) AS DATE) AS Month, Ultimate_Claim_Amount AS amount FROM scored)
+SELECT strftime(CASE WHEN NOT bad THEN Month END, '%Y-%m-%d') AS Month, round(sum(CASE WHEN NOT bad THEN amount END), 2) AS value,
+  CAST(count(*) FILTER (NOT bad) AS BIGINT) AS claims, CAST(count(*) FILTER (bad) AS BIGINT) AS rejected
+FROM c GROUP BY CASE WHEN NOT bad THEN Month END""")
+def q_exposure_stream_by_name(spark, sf):
+    """Arriving files with their columns in different orders, an extra quoted column, and malformed amounts in every fiftieth claim."""
+    from claimsight.plans.catalog import iso
+    from claimsight.streaming.arrivals import EXPOSURE_SCHEMA, monthly_exposure_stream, read_snapshot
+    base = _run_dir(spark, "exposure_by_name")
+    amount = F.when(F.col("Claim_ID") % 50 == 0, F.lit("a \"lot\",\nor so")).otherwise(F.col("Ultimate_Claim_Amount").cast("string"))
+    claims = prepared(spark, sf).select("Claim_ID", "Accident_Date", amount.alias("Ultimate_Claim_Amount"), F.concat(F.lit('"'), "Claim_Type", F.lit('",')).alias("Note"))
+    half = F.col("Claim_ID") % 2 == 0
+    export_csv(claims.where(half), f"{base}/in", mode="append")
+    export_csv(claims.where(~half).select(*reversed(claims.columns)), f"{base}/in", mode="append")
+    monthly_exposure_stream(spark, f"{base}/in", f"{base}/snapshot", f"{base}/_checkpoint", EXPOSURE_SCHEMA).awaitTermination()
+    return iso(rnd(read_snapshot(spark, f"{base}/snapshot"), {"value": 2}), "Month")

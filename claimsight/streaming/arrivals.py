@@ -2,8 +2,8 @@
 
 A stateless Structured Streaming query: CSV files dropped into a folder are
 parsed, featurised (upload variant, ages at a fixed ``as_of``), compared
-with the portfolio's per-type averages (a stream-static join against a small,
-size-checked table), scored and appended to a Parquet sink.  The checkpoint
+with the portfolio's per-type averages (a stream-static equi-join, broadcast only if Spark
+measures the averages as small), scored and appended to a Parquet sink.  The checkpoint
 makes it exactly-once across restarts; ``availableNow`` processes what is there
 and stops, so it can also run as a scheduled batch.
 """
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimsight import config as K
 from claimsight.operators.features import estimate_features, flags, upload_features
+from claimsight.sources.files import csv_stream, typed_or_rejected
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -36,16 +37,7 @@ def arrivals_stream(spark: SparkSession, in_dir: str, schema: T.StructType, as_o
     reader = spark.readStream.schema(text).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw, typed, bad = reader.csv(in_dir), {}, []
-    for f in schema.fields:
-        kind = T.TimestampNTZType() if f.name in K.DATE_COLUMNS else f.dataType
-        if not isinstance(kind, T.StringType):
-            value = F.trim(F.col(f.name))
-            typed[f.name] = value.try_cast(kind)
-            bad.append(F.when((value != "") & typed[f.name].isNull(), F.lit(f.name)))
-    rejected = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
-    raw = raw.withColumns(typed | {"Rejected": F.when(F.size(rejected) > 0, F.array_join(rejected, ","))})
-    df = upload_features(raw, as_of)
+    df = upload_features(typed_or_rejected(reader.csv(in_dir), schema), as_of)
     df = flags(df)
     if type_means is not None and "Estimated_Claim_Amount" in df.columns:
         df = estimate_features(df, type_means=type_means)
@@ -81,13 +73,15 @@ def monthly_exposure_stream(spark: SparkSession, in_dir: str, snapshot_path: str
     writes a version of its own (the same one if an epoch is replayed), so a
     failed write never touches the version before it; :func:`read_snapshot`
     gives the newest complete one.  The 3-month mean is applied to it in batch.
+
+    Columns are found by header name.  Claims with a malformed date or amount are in no sum and no claim
+    count: the row without a month has their number (``rejected``).
     """
     from claimsight.functions.dates import month_start
-    from claimsight.operators.features import parse_dates
-    raw = spark.readStream.schema(schema).option("header", True).csv(in_dir)
-    df = parse_dates(raw, ["Accident_Date"])
-    agg = df.groupBy(month_start("Accident_Date").alias("Month")).agg(
-        F.sum(amount).alias("value"), F.count(F.lit(1)).alias("claims"))
+    raw = typed_or_rejected(csv_stream(spark, in_dir, schema.names), schema)
+    good = F.col("Rejected").isNull()
+    agg = raw.groupBy(F.when(good, month_start("Accident_Date")).alias("Month")).agg(
+        F.sum(F.when(good, F.col(amount))).alias("value"), F.count_if(good).alias("claims"), F.count_if(~good).alias("rejected"))
 
     def write_snapshot(batch: DataFrame, epoch_id: int) -> None:
         batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{snapshot_path}/version={epoch_id}")
@@ -104,7 +98,7 @@ def read_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame:
     A version whose write failed holds no data files, so its rows can't be the newest.
     """
     fields = T.StructType([T.StructField("Month", T.DateType()), T.StructField("value", T.DoubleType()),
-                           T.StructField("claims", T.LongType()), T.StructField("epoch", T.LongType()),
+                           T.StructField("claims", T.LongType()), T.StructField("rejected", T.LongType()), T.StructField("epoch", T.LongType()),
                            T.StructField("version", T.LongType())])
     try:
         every = spark.read.schema(fields).parquet(snapshot_path)

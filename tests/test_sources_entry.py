@@ -140,3 +140,63 @@ def test_shared_folder_is_needed_off_local():
         conf = Context()
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+ODD_TEXTS = ['He said "hi", ok', "two\nlines", "cr\rx", "crlf\r\nx", "  lead", "trail  ", '"', '""', None, "a,b", "#c", "\\", 'x\\"y', '"q" start',
+             "é z", "null", ",", "\n", " ", "\t", 'a\\"']
+
+
+def test_export_reads_back_equal(spark, tmp_dir):
+    import csv
+    rows = [(f"c{i}", v, float(i)) for i, v in enumerate(ODD_TEXTS)]
+    df = spark.createDataFrame(rows, "Claim_ID string, Claim_Type string, Estimated_Claim_Amount double")
+    S.export_csv(df.repartition(3), f"{tmp_dir}/x")
+    for read in (S.read_claims, S.read_upload):
+        assert sorted((tuple(r) for r in read(spark, f"{tmp_dir}/x").collect()), key=str) == sorted(rows, key=str)
+    py = {}
+    for f in os.listdir(f"{tmp_dir}/x"):
+        if f.endswith(".csv"):
+            with open(f"{tmp_dir}/x/{f}", newline="", encoding="utf8") as file:
+                py |= {r["Claim_ID"]: r["Claim_Type"] for r in csv.DictReader(file)}
+    assert py == {k: v or "" for k, v, _ in rows}
+
+
+@pytest.mark.parametrize("name", ["Note", "Note\nin two lines", 'Note, "quoted"'])
+def test_files_of_spreadsheets_are_read(spark, tmp_dir, name):
+    import csv
+    with open(f"{tmp_dir}/p.csv", "w", newline="", encoding="utf-8-sig") as f:  # byte order mark, \r\n
+        w = csv.writer(f)
+        w.writerow(["Claim_ID", "Claim_Type", "Estimated_Claim_Amount", name])
+        w.writerows([f"c{i}", v, i, "n"] for i, v in enumerate(ODD_TEXTS))
+    up = S.read_upload(spark, f"{tmp_dir}/p.csv")
+    assert up.columns == ["Claim_ID", "Claim_Type", "Estimated_Claim_Amount", name]
+    assert {r[0]: (r[1], r[2], r[3]) for r in up.collect()} == {f"c{i}": (v, float(i), "n") for i, v in enumerate(ODD_TEXTS)}
+
+
+def test_lost_numbers_are_counted(spark, tmp_dir):
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write('Claim_ID,Estimated_Claim_Amount\nc1,"1,200"\nc2, 7 \nc3,\n')
+    assert S.lost_numbers(spark, f"{tmp_dir}/a.csv", S.CLAIMS_SCHEMA).first().asDict() == {"Estimated_Claim_Amount": 1}
+    assert {r["Claim_ID"]: r["Estimated_Claim_Amount"] for r in S.read_claims(spark, f"{tmp_dir}/a.csv").collect()} == {"c1": None, "c2": 7.0, "c3": None}
+    with pytest.raises(S.UploadError):
+        S.read_upload(spark, f"{tmp_dir}/a.csv")
+
+
+def test_exposure_stream_finds_columns_by_name(spark, tmp_dir):
+    from pyspark.errors import StreamingQueryException
+    from claimsight.streaming.arrivals import EXPOSURE_SCHEMA, monthly_exposure_stream, read_snapshot
+    files = {"a": 'Claim_ID,Accident_Date,Ultimate_Claim_Amount\nc1,2024-01-05,10\nc2,2024-01-06,abc\n', "empty": "",
+             "b": 'Ultimate_Claim_Amount,"Note, x",Claim_ID,Accident_Date\n5,"two\nlines",c3,2024-02-01\n7,,c4,\n1,,c5,2024-02-30\n',
+             "crlf": "Claim_ID,Ultimate_Claim_Amount,Accident_Date\r\nc6,3,2024-02-07\r\n"}
+    os.makedirs(f"{tmp_dir}/in")
+    for name, text in files.items():
+        with open(f"{tmp_dir}/in/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    run = lambda: monthly_exposure_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/snap", f"{tmp_dir}/ck", EXPOSURE_SCHEMA).awaitTermination()
+    run()
+    got = {str(r["Month"]): (r["value"], r["claims"], r["rejected"]) for r in read_snapshot(spark, f"{tmp_dir}/snap").collect()}
+    assert got == {"2024-01-01": (10.0, 1, 0), "2024-02-01": (8.0, 2, 0), "None": (7.0, 1, 2)}
+    with open(f"{tmp_dir}/in/c.csv", "w") as f:
+        f.write("Claim_ID,Ultimate_Claim_Amount\nc9,4\n")
+    with pytest.raises(StreamingQueryException):
+        run()
