@@ -33,6 +33,8 @@ STATISTICS = (
     "distinct_pairs", "distinct_triples", "repeated_neighbours", "top_word_share", "stop_share", "line_length",
 )
 DIM = len(STATISTICS)
+#: Bytes of text whose statistics are computed at a time; the working arrays take some sixty times as much.
+SLICE = 1 << 20
 
 #: Byte classes: UTF-8 lead and continuation bytes count as letters.
 _UPPER = np.zeros(256, bool)
@@ -125,7 +127,7 @@ def with_statistics(docs: DataFrame, keep: list[str], text: str = "text") -> Dat
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("stats", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, "__text", 4 << 20):
+        for batch in C.slices(batches, "__text", SLICE):
             x = statistics(C.column(batch, "__text"))
             stats = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), DIM).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([C.column(batch, c) for c in keep] + [stats], names=schema.names)
@@ -296,7 +298,7 @@ def score_texts(docs: DataFrame, model: Discriminant | None, text: str = "text",
     @F.arrow_udf("double")
     def probability(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        parts = [model.probability(statistics(C.column(b, "text"))) for b in C.slices([batch], "text", 4 << 20)]
+        parts = [model.probability(statistics(C.column(b, "text"))) for b in C.slices([batch], "text", SLICE)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.withColumn(score, probability(F.col(text)))
