@@ -7,7 +7,7 @@ return the columns of ``docs``; extra columns, whatever their names, stay as the
 accept null and empty texts, null ids and sources, repeated rows and empty tables:
 
 * quality: null and blank texts are scored like any other; without labels nothing is rejected;
-* near-duplicates: texts without words and rows without an id always stay; of rows with the same id one stays;
+* near-duplicates: texts without words and rows without an id always stay, and different texts under one id are compared like any others;
 * substring: only the text and ``n_chars`` of documents with repeated windows change;
 * mixing: a null source is a source; a source without words is left out; a source below its target repeats whole documents;
 * tokens: null text has no tokens.
@@ -42,16 +42,28 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
-    found = written(minmax.near_duplicates(docs, SHINGLE, SIMILAR), "groups")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = found.groupBy("doc_id").count().where("doc_id is not null and count > 1").select("doc_id")
-    again = written(again, "repeated-ids")
+    """The document with the smallest id of every group of near duplicates.
+
+    Different texts under one id are documents of their own, after those whose id is unique; of rows with the same id and
+    text the one with the least hash of all its columns stays.
+    """
+    again = written(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(
-        kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+        found = written(minmax.near_duplicates(docs, SHINGLE, SIMILAR), "groups")
+        gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    own = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])
+    of = {c: F.col(f"__c{i}") for i, c in enumerate(docs.columns)}
+    own = own.join(again.select(F.col("doc_id").alias("__again")), of["doc_id"] == F.col("__again"), "left")
+    # Ids from 2**62 on stand for the texts under repeated ids.
+    key = F.xxhash64(of["doc_id"], F.md5(F.coalesce(of["text"], F.lit("")).cast("binary"))).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    own = written(own.withColumn("__node", F.when(F.col("__again").isNotNull(), key).otherwise(of["doc_id"])), "nodes")
+    found = written(minmax.near_duplicates(own.select("__node", of["text"].alias("text")), SHINGLE, SIMILAR, id="__node"), "groups")
+    gone = found.where("__node <> component_id").select("__node").distinct()
+    kept = own.join(gone, "__node", "left_anti")
+    every = F.struct(*[of[c].alias(c) for c in docs.columns])
+    once = kept.where("__again is not null").groupBy("__node").agg(F.min_by(every, F.xxhash64(*of.values())).alias("row"))
+    return kept.where("__again is null").select(every.alias("row")).union(once.select("row")).select("row.*")
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
