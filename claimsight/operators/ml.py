@@ -11,15 +11,15 @@ the executors.  The label is ``log1p(Ultimate_Claim_Amount)`` -- applied once.
 from __future__ import annotations
 
 import itertools
+import warnings
 from dataclasses import dataclass, field
 from typing import Any, Sequence
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,7 +154,8 @@ def fit_model(train: DataFrame, name: str, params: dict[str, Any] | None = None,
               categorical: Sequence[str] = K.CATEGORICAL_FEATURES) -> TrainedModel:
     """Preprocessing + one estimator, fitted on the labelled training rows."""
     params = dict(params or {})
-    labelled = with_label(train).persist(StorageLevel.MEMORY_AND_DISK)
+    used = [c for c in (*numeric, *categorical) if c in train.columns]
+    labelled = with_label(train).select(*dict.fromkeys([*used, LABEL])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prep = fit_feature_pipeline(labelled, numeric, categorical)
         est = BUILDERS[name](**params)
@@ -197,13 +198,6 @@ def model_report(test: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M11
-def param_grid(estimator, grid: dict[str, list]) -> list:
-    b = ParamGridBuilder()
-    for k, values in grid.items():
-        b = b.addGrid(estimator.getParam(k), list(values))
-    return b.build()
-
-
 def tune(train: DataFrame, name: str, grid: dict[str, list] | None = None, folds: int = K.CV_FOLDS,
          parallelism: int = 4, numeric: Sequence[str] = K.NUMERIC_FEATURES,
          categorical: Sequence[str] = K.CATEGORICAL_FEATURES,
@@ -211,45 +205,29 @@ def tune(train: DataFrame, name: str, grid: dict[str, list] | None = None, folds
     """Exhaustive grid search with k-fold CV, refit on the best RMSLE.
 
     Folds come from an MD5 of the claim id (deterministic, no shuffle, the same
-    in any SQL engine).  The assembled training vectors are persisted once and
-    shared by every fold and grid point.  Returns the refit model and, per grid
+    in any SQL engine).  The assembled training vectors are written once and
+    shared by every fold and grid point; :mod:`claimsight.operators.tuning` says how few fits the grid takes.
+    Returns the refit model and, per grid
     point, the mean over folds of RMSLE and SMAPE on the held-out fold
     (``cv_rmsle``, ``cv_smape``) and, with ``train_scores``, on the other folds
     (``train_rmsle``, ``train_smape``).  RMSE of the log1p label *is* the RMSLE
-    of the amounts.  One aggregate per fold scores all its grid points.
+    of the amounts.
     """
+    from claimsight.operators import tuning
     grid = grid if grid is not None else GRIDS[name]
     labelled = with_label(train)
     prep = fit_feature_pipeline(labelled, numeric, categorical)
-    vec = prep.transform(labelled).select("features", LABEL, cv_fold(folds).alias("fold")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        est = BUILDERS[name]()
-        maps = param_grid(est, grid)
-        cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
-                            evaluator=RegressionEvaluator(labelCol=LABEL, metricName="rmse"),
-                            foldCol="fold", numFolds=folds, parallelism=parallelism,
-                            seed=K.RANDOM_STATE, collectSubModels=True)
-        cvm = cv.fit(vec)
-        best = cvm.bestModel
-        best_params = {p.name: best.getOrDefault(p) for p in maps[0].keys()} if maps and maps[0] else {}
-        total = [[0.0] * 4 for _ in maps]
-        for k in range(folds):
-            scored = vec
-            for j in range(len(maps)):
-                scored = cvm.subModels[k][j].setPredictionCol(f"p{j}").transform(scored)
-            held = F.col("fold") == k
-            sides = (held, ~held) if train_scores else (held,)
-            row = scored.agg(*[e.alias(f"m{i}") for i, e in enumerate(
-                x for j in range(len(maps)) for side in sides for x in _cv_scores(f"p{j}", side))]).first()
-            for j in range(len(maps)):
-                for i in range(2 * len(sides)):
-                    total[j][i] += row[2 * len(sides) * j + i] / folds
-        rows = [({p.name: str(v) for p, v in m.items()}, *t[:2], *(t[2:] if train_scores else (None, None)))
-                for m, t in zip(maps, total)]
-        table = train.sparkSession.createDataFrame(
-            rows, "params map<string,string>, cv_rmsle double, cv_smape double, train_rmsle double, train_smape double")
-    finally:
-        vec.unpersist()
+    vec, points, sums = tuning.search(labelled, prep, name, BUILDERS[name], grid, folds, cv_fold(folds), parallelism)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)  # a fold without rows gives no score
+        held, used = (np.nanmean([s.measures(side) for s in sums], axis=0) for side in ("held", "used"))
+    best_params = points[int(np.nanargmin(held[:, 0]))] if points else {}
+    best = BUILDERS[name](**best_params).fit(vec)
+    clean = lambda v: None if np.isnan(v) else float(v)
+    rows = [({k: str(v) for k, v in p.items()}, *map(clean, h), *(map(clean, u) if train_scores else (None, None)))
+            for p, h, u in zip(points, held, used)]
+    table = train.sparkSession.createDataFrame(
+        rows, "params map<string,string>, cv_rmsle double, cv_smape double, train_rmsle double, train_smape double")
     return TrainedModel(name, PipelineModel(stages=[prep, best]), best_params), table
 
 
@@ -259,13 +237,6 @@ def cv_fold(folds: int, id_col: str = "Claim_ID"):
     return (F.conv(digits, 16, 10).cast("long") % folds).cast("int")
 
 
-def _cv_scores(prediction: str, side) -> list:
-    """RMSLE and SMAPE of the rows on one side, from log-scale predictions."""
-    error = F.col(prediction) - F.col(LABEL)
-    return [F.sqrt(F.avg(F.when(side, error * error))),
-            M.smape(F.when(side, F.expm1(LABEL)), F.when(side, F.expm1(prediction)))]
-
-
 def grid_size(name: str) -> int:
     return len(list(itertools.product(*GRIDS[name].values())))
 

@@ -210,11 +210,60 @@ for _n in ML.BUILDERS:
 
 @register("tune_elastic_net")
 def q_tune_elastic_net(spark, sf):
-    """Grid search with 5 hash folds on a reduced elastic-net grid."""
+    """Grid search with 5 hash folds over all 56 points of the elastic net."""
     train, _ = train_test_split(prepared(spark, sf))
-    _, table = ML.tune(train, "elastic_net", {"regParam": [0.01, 0.1], "elasticNetParam": [0.5, 1.0],
-                                             "maxIter": [100]}, folds=5, train_scores=True)
-    return table.select(F.to_json("params").alias("params"), "cv_rmsle", "train_rmsle")
+    _, table = ML.tune(train, "elastic_net", folds=5, train_scores=True)
+    return table.withColumn("params", F.to_json("params"))
+
+
+#: Trees and depths of the registered tree searches; the configured grids (50 to 1,000 trees) take hours on one machine.
+_STAGED = {"random_forest": {"numTrees": [5, 10, 20], "maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 2]},
+           "gradient_boosting": {"maxIter": [5, 10, 20], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3]}}
+
+
+@register("tune_random_forest")
+def q_tune_random_forest(spark, sf):
+    """18 forest points in 2 fits per fold: trees and depths are stages of one model."""
+    train, _ = train_test_split(prepared(spark, sf))
+    _, table = ML.tune(train, "random_forest", _STAGED["random_forest"], folds=3, train_scores=True)
+    return table.withColumn("params", F.to_json("params"))
+
+
+@register("tune_gradient_boosting")
+def q_tune_gradient_boosting(spark, sf):
+    """Nine boosting points in 3 fits per fold: numbers of trees are stages of one model."""
+    train, _ = train_test_split(prepared(spark, sf))
+    _, table = ML.tune(train, "gradient_boosting", _STAGED["gradient_boosting"], folds=3, train_scores=True)
+    return table.withColumn("params", F.to_json("params"))
+
+
+def _values(name: str, values) -> str:
+    return f"(SELECT unnest([{', '.join(f'{v!r}' for v in values)}]) AS {name})"
+
+
+@register("tune_penalty_path", f"""
+q AS (SELECT avg(Estimated_Claim_Amount) AS mu, stddev_pop(Estimated_Claim_Amount) AS sd FROM split WHERE split = 'train'),
+f AS (SELECT ln(1 + Ultimate_Claim_Amount) AS ly, (Estimated_Claim_Amount - mu) / sd AS x,
+        CAST('0x' || substr(md5(CAST(Claim_ID AS VARCHAR) || '#fold'), 1, 15) AS BIGINT) % 5 AS fold FROM split CROSS JOIN q WHERE split = 'train'),
+s AS (SELECT k, avg(x) AS mx, avg(ly) AS my, var_pop(x) AS vx, covar_pop(x, ly) AS cxy, stddev_pop(ly) AS sy
+      FROM f CROSS JOIN range(5) t(k) WHERE fold <> k GROUP BY k),
+b AS (SELECT k, penalty, share, mx, my, sign(cxy) * greatest(abs(cxy) - penalty * share, 0) / (vx + penalty * (1 - share) / sy) AS slope
+      FROM s CROSS JOIN {_values('penalty', K.ELASTIC_NET_GRID['regParam'])} CROSS JOIN {_values('share', K.ELASTIC_NET_GRID['elasticNetParam'])}),
+e AS (SELECT k, penalty, share, fold = k AS held, ly, my + slope * (x - mx) AS p FROM f CROSS JOIN b),
+c AS (SELECT k, penalty, share, held, sqrt(avg(power(p - ly, 2))) AS rmsle,
+        avg(2 * abs(exp(p) - exp(ly)) / (abs(exp(ly) - 1) + abs(exp(p) - 1))) AS smape FROM e GROUP BY ALL)
+SELECT CAST(penalty AS DOUBLE) AS penalty, CAST(share AS DOUBLE) AS share, CAST(sweeps AS INT) AS sweeps,
+  round(avg(rmsle) FILTER (held), 6) AS cv_rmsle, round(avg(smape) FILTER (held), 6) AS cv_smape,
+  round(avg(rmsle) FILTER (NOT held), 6) AS train_rmsle, round(avg(smape) FILTER (NOT held), 6) AS train_smape
+FROM c CROSS JOIN {_values('sweeps', K.ELASTIC_NET_GRID['maxIter'])} GROUP BY penalty, share, sweeps""")
+def q_tune_penalty_path(spark, sf):
+    """All 56 points of the elastic-net grid on one standardised feature, where SQL has the answer in closed form."""
+    train, _ = train_test_split(prepared(spark, sf))
+    _, table = ML.tune(train, "elastic_net", folds=5, train_scores=True, numeric=["Estimated_Claim_Amount"], categorical=[])
+    out = table.select(*[F.col("params")[c].cast(t).alias(n) for c, t, n in (("regParam", "double", "penalty"), ("elasticNetParam", "double", "share"),
+                                                                            ("maxIter", "int", "sweeps"))],
+                       "cv_rmsle", "cv_smape", "train_rmsle", "train_smape")
+    return rnd(out, {c: 6 for c in ("cv_rmsle", "cv_smape", "train_rmsle", "train_smape")})
 
 
 @register("score_claims")

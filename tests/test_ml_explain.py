@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,52 @@ def test_model_queries_do_the_whole_job(spark, monkeypatch):
         [(1, "x", 1.0)], "Claim_ID long, feature string, contribution double"))
     assert Q.q_shapley_model(spark, SF0001).count() == 1 and asked == {"n": 3000}
     assert sorted(r[0] for r in Q.q_compare_models(spark, SF0001).select("model").collect()) == sorted(Q.ML.BUILDERS)
+
+
+def _vectors(spark, prepared):
+    from claimsight.operators import tuning as T
+    train, _ = train_test_split(prepared)
+    labelled = ML.with_label(train)
+    return T, labelled, ML.fit_feature_pipeline(labelled)
+
+
+def _rmsle(model, vec, where):
+    return model.transform(vec).where(where).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))).first()[0]
+
+
+def test_penalty_path_equals_separate_fits(spark, prepared):
+    T, labelled, prep = _vectors(spark, prepared)
+    grid = {"regParam": [0.01, 0.3], "elasticNetParam": [0.1, 1.0], "maxIter": [1000, 5000], "tol": [1e-6]}
+    vec, points, sums = T.search(labelled, prep, "elastic_net", ML.elastic_net, grid, 3, ML.cv_fold(3))
+    assert len(points) == 8 and T.fits("elastic_net", grid, 3) == 0
+    for i in (0, 3, 6):
+        model = ML.elastic_net(**points[i]).fit(vec.where("fold <> 1"))
+        assert sums[1].measures("held")[i][0] == pytest.approx(_rmsle(model, vec, "fold = 1"), rel=1e-4)
+        assert sums[1].measures("used")[i][0] == pytest.approx(_rmsle(model, vec, "fold <> 1"), rel=1e-4)
+    assert (sums[1].held[0::2] == sums[1].held[1::2]).all()  # more sweeps than needed change nothing
+
+
+@pytest.mark.parametrize("name, grid, fits, exact", [
+    ("gradient_boosting", {"maxIter": [2, 5], "stepSize": [0.1, 0.3], "maxDepth": [2]}, 4, {"maxIter": (2, 5)}),
+    ("random_forest", {"numTrees": [2, 4], "maxDepth": [2, 5], "minInstancesPerNode": [2]}, 2, {"numTrees": (4,)})])
+def test_stages_equal_separate_fits(spark, prepared, name, grid, fits, exact):
+    """Boosted stages of every size, and depths of the largest forest, score like models of their own."""
+    T, labelled, prep = _vectors(spark, prepared)
+    assert T.fits(name, grid, 2) == fits
+    vec, points, sums = T.search(labelled, prep, name, ML.BUILDERS[name], grid, 2, ML.cv_fold(2), parallelism=2)
+    (stage, sizes), = exact.items()
+    for i, p in enumerate(points):
+        model = ML.BUILDERS[name](**p).fit(vec.where("fold <> 0"))
+        got, want = sums[0].measures("held")[i][0], _rmsle(model, vec, "fold = 0")
+        assert got == pytest.approx(want, rel=1e-9 if p[stage] in sizes else 0.25)
+    assert all(s.held[:, 1].sum() + s.used[:, 1].sum() == len(points) * vec.count() for s in sums)
+
+
+def test_path_without_spread_or_label_deviation():
+    from claimsight.operators.tuning import Problem
+    z = np.column_stack([np.ones(6), [1, 1, 1, 1, 1, 1], [0, 1, 0, 1, 0, 1], [3.0] * 6])
+    point = {"regParam": 0.1, "elasticNetParam": 0.5, "maxIter": 10, "tol": 1e-4}
+    assert Problem.of(z.T @ z).path([point, point | {"regParam": 0.0}])[0].tolist() == [3.0, 0.0, 0.0]
+    z[:, 3] = [1, 2, 1, 2, 1, 2]
+    free, = Problem.of(z.T @ z).path([point | {"regParam": 0.0}])
+    assert np.allclose(z[:, :3] @ free, z[:, 3])
