@@ -8,19 +8,27 @@ work is spread over the executors and grows linearly with the rows explained:
   background row chosen by hash (an equi-join to a size-bounded, broadcast
   background -- never a cross product), and one random feature order; the
   "with" and "without" rows for every feature are scored together.
-* X2 exact contributions of a linear model, ``coef * (x - mean)``.
+  ``shapley_adaptive`` walks along each order and its reverse, keeps running
+  variances, and goes on only with the rows whose standard error is too large.
+* X2 exact contributions of a linear model, ``coef * (x - mean)``, also through
+  the slots of a fitted pipeline.
 * X5 accumulated local effects: every row scored at both edges of its bin.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable, Sequence
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimsight import config as K
 from claimsight.operators.filters import sample_n
+from claimsight.plans.scoring import materialize
 
 Scorer = Callable[[DataFrame], DataFrame]  # adds a double column "prediction"
 
@@ -44,6 +52,46 @@ def shapley_linear(rows: DataFrame, coefficients: dict[str, float], means: dict[
     return rows.select(id_col, F.inline(F.array(*parts)))
 
 
+def slot_groups(features_field) -> list[tuple[str, int, int]]:
+    """Source columns of an assembled vector from its attribute metadata: name, first slot, number of slots, in slot order."""
+    attrs = features_field.metadata.get("ml_attr", {}).get("attrs", {})
+    out: list[list] = []
+    for index, name in sorted((a["idx"], a["name"]) for kind in attrs.values() for a in kind):
+        if name.startswith("__ohe_"):
+            column = next((c for c in K.CATEGORICAL_FEATURES if name.startswith(f"__ohe___cat_{c}_") or name.startswith(f"__ohe_{c}_")), None)
+            column = column or name.removeprefix("__ohe_").removeprefix("__cat_").rsplit("_", 1)[0]
+        else:
+            column = name.removeprefix("__num_")
+        if out and out[-1][0] == column:
+            out[-1][2] += 1
+        else:
+            out.append([column, index, 1])
+    return [tuple(g) for g in out]
+
+
+def shapley_linear_model(rows: DataFrame, model: PipelineModel, background: DataFrame, id_col: str = "Claim_ID") -> DataFrame:
+    """Exact log-scale contributions of every source column of a fitted linear pipeline.
+
+    A column's contribution is the sum over its slots (one scaled number, or the levels of a category) of
+    ``coefficient * (slot - background mean of the slot)``; the slots come from the attribute metadata of the
+    assembled vector.  Contributions of a row add up to its prediction minus the mean prediction of the background.  One
+    aggregate over the background, then row-wise.  Long output: ``id, feature, contribution``.
+    """
+    prep, linear = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
+    assembled = prep.transform(background).select("features")
+    groups = slot_groups(assembled.schema["features"])
+    if sum(n for _, _, n in groups) != len(linear.coefficients):
+        raise ValueError("the model's slots are not all described by the attributes of its features")
+    means = assembled.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
+    c = linear.coefficients.toArray()
+    parts = []
+    for name, first, n in groups:
+        mine = F.lit([float(x) for x in c[first:first + n]])
+        dot = F.aggregate(F.zip_with(F.slice("__v", first + 1, n), mine, lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
+        parts.append(F.struct(F.lit(name).alias("feature"), (dot - F.lit(float(c[first:first + n] @ means[first:first + n]))).alias("contribution")))
+    return prep.transform(rows).select(id_col, vector_to_array("features").alias("__v")).select(id_col, F.inline(F.array(*parts)))
+
+
 # --------------------------------------------------------------------------- X1
 def hash60(*cols: Column) -> Column:
     """A 60-bit integer from the MD5 of the values joined by ``-``.
@@ -109,6 +157,117 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
     return contrib.select(id_col, names.alias("feature"), "contribution")
 
 
+def numbered(df: DataFrame, key: Column, id_col: str, name: str) -> DataFrame:
+    """``df`` written once, with ``__number`` 0, 1, ... in the order of ``key``, then ``id_col``.
+
+    Range partitions are sorted on their own; a row's number is its place in its partition plus the rows of the partitions
+    before it, of which there is one count per partition.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("__key", key).repartitionByRange(n, "__key", id_col).sortWithinPartitions("__key", id_col)
+    # The id of a row is its partition, shifted by 33 bits, plus its place.
+    w = materialize(spark, ranged.withColumn("__place", F.monotonically_increasing_id()).drop("__key"), f"{name}/{uuid.uuid4().hex}")
+    w = w.withColumn("__pid", F.shiftright("__place", 33)).withColumn("__place", F.col("__place").bitwiseAND((1 << 33) - 1))
+    counts = w.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__pid", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return w.join(before, "__pid").withColumn("__number", F.col("__place") + F.col("__before")).drop("__pid", "__place", "__before")
+
+
+def shapley_adaptive(rows: DataFrame, background: DataFrame, scorer: Scorer, features: Sequence[str], tolerance: float,
+                     id_col: str = "Claim_ID", first_pairs: int = 8, most_pairs: int = 64, background_rows: int | None = None,
+                     seed: int = K.RANDOM_STATE) -> DataFrame:
+    """Sampled Shapley contributions with known errors.
+
+    A sample is a background row and an order of the features, taken forwards and backwards (antithetic: the two
+    errors partly cancel).  Along an order the features change one by one from the background's to the row's values,
+    so ``2 * features`` scored rows give two marginal effects of every feature.  ``std_error`` is that of the mean over these pairs.  Rounds double
+    the pairs of the rows that still have a ``std_error`` above ``tolerance`` in some feature, up to ``most_pairs``.
+
+    The background is all of ``background`` (or ``background_rows`` of it by hash), written and numbered once and met by an equi-join.
+    Output long: ``id, feature, contribution, std_error, pairs, base, prediction``; a row's contributions add up to ``prediction - base``.
+    Rows that share an id are explained together.
+    """
+    spark, feats = rows.sparkSession, list(features)
+    nf = len(feats)
+    key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"#{seed}")))
+    bg = numbered(background.select(id_col, *feats), key, id_col, "shapley_background")
+    if background_rows is not None:
+        bg = bg.where(F.col("__number") < background_rows)
+    bg = materialize(spark, bg.select(F.col("__number").alias("__bidx"), *[F.col(f).alias(f"__b_{f}") for f in feats]), f"shapley_background/{uuid.uuid4().hex}")
+    n_bg = bg.count()
+    if n_bg == 0:
+        raise ValueError("empty background")
+    own = materialize(spark, rows.select(id_col, *feats).withColumn("__row", F.monotonically_increasing_id()), f"shapley_rows/{uuid.uuid4().hex}")
+    state, active, done = None, own, 0
+    while done < most_pairs:
+        count = min(done or first_pairs, most_pairs - done)
+        part = _pair_moments(active, bg, n_bg, scorer, feats, id_col, done, count, seed)
+        state = materialize(spark, part if state is None else _merged_moments(state, part, id_col), f"shapley_state/{uuid.uuid4().hex}")
+        done += count
+        open_ = state.where((F.col("pairs") >= done) & (_std_error() > tolerance)).select(id_col).distinct()
+        active = materialize(spark, own.join(open_.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi"),
+                             f"shapley_rows/{uuid.uuid4().hex}")
+        if done < most_pairs and active.isEmpty():
+            break
+    names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("__j") + 1)
+    return state.select(id_col, names.alias("feature"), F.col("mean").alias("contribution"), _std_error().alias("std_error"), "pairs", "base", "prediction")
+
+
+def _std_error() -> Column:
+    """Of the mean over the pairs; unknown (NULL) for a single pair."""
+    return F.when(F.col("pairs") > 1, F.sqrt(F.col("m2") / (F.col("pairs") - 1) / F.col("pairs")))
+
+
+def _pair_moments(rows: DataFrame, bg: DataFrame, n_bg: int, scorer: Scorer, feats: list[str], id_col: str, first: int, count: int,
+                  seed: int) -> DataFrame:
+    """Per id and feature ``__j``: pairs, mean and sum of squared deviations of the pairs ``first`` .. ``first + count - 1``."""
+    nf = len(feats)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def place(i: int) -> Column:  # of feature i in the order of this row and sample
+        tickets = F.array(*[F.struct(hash60(F.col(id_col), F.col("__s"), F.lit(j), F.lit(seed + 1)).alias("t"), F.lit(j).alias("j")) for j in range(nf)])
+        return F.array_position(F.transform(F.array_sort(tickets), lambda x: x["j"]), i) - 1
+
+    pairs = (rows.withColumn("__s", F.explode(F.sequence(F.lit(first), F.lit(first + count - 1))))
+             .withColumn("__bidx", F.pmod(hash60(F.col(id_col), F.col("__s"), F.lit(seed)), F.lit(n_bg))))
+    pairs = pairs.join(bg, "__bidx").repartition(parts, "__row")
+    pairs = pairs.withColumn("__places", F.array(*[place(i) for i in range(nf)]))
+    # States 0 .. nf go forwards from the background to the row; nf + 1 .. 2 nf - 1 are those in between on the way backwards.
+    states = pairs.withColumn("__e", F.explode(F.sequence(F.lit(0), F.lit(2 * nf - 1))))
+    own = {f: F.when(F.when(F.col("__e") <= nf, F.element_at("__places", i + 1) < F.col("__e"))
+                     .otherwise(F.element_at("__places", i + 1) >= 2 * nf - F.col("__e")), F.col(f)).otherwise(F.col(f"__b_{f}"))
+           for i, f in enumerate(feats)}
+    states = states.select(id_col, "__row", "__s", "__places", "__e", *[v.alias(f) for f, v in own.items()])
+    scored = scorer(states).groupBy("__row", "__s").agg(
+        F.first(id_col).alias(id_col), F.first("__places").alias("__places"),
+        F.transform(F.array_sort(F.collect_list(F.struct("__e", "prediction"))), lambda x: x["prediction"]).alias("__p"))
+    at = lambda k: F.element_at("__p", (k + 1).cast("int"))  # noqa: E731  state k of the way forwards
+
+    def back(k: Column) -> Column:  # state k of the way backwards
+        return F.when(k == 0, at(F.lit(0))).when(k == nf, at(F.lit(nf))).otherwise(at(k + nf))
+
+    def effect(i: int) -> Column:
+        r = F.element_at("__places", i + 1)
+        return (at(r + 1) - at(r) + back(nf - r) - back(nf - 1 - r)) / 2
+
+    each = scored.select(id_col, at(F.lit(0)).alias("b"), at(F.lit(nf)).alias("p"),
+                         F.posexplode(F.array(*[effect(i) for i in range(nf)])).alias("__j", "v"))
+    return each.groupBy(id_col, "__j").agg(F.count("v").alias("pairs"), F.avg("v").alias("mean"), (F.var_pop("v") * F.count("v")).alias("m2"),
+                                           F.avg("b").alias("base"), F.avg("p").alias("prediction"))
+
+
+def _merged_moments(state: DataFrame, part: DataFrame, id_col: str) -> DataFrame:
+    """Moments of two disjoint sets of pairs together; ``part`` has some of the ids of ``state``."""
+    new = part.select(F.col(id_col).alias("__id"), F.col("__j").alias("__k"), *[F.col(c).alias(f"__{c}") for c in ("pairs", "mean", "m2", "base", "prediction")])
+    both = state.join(new, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__j") == F.col("__k")), "left")
+    n, m = F.col("pairs"), F.coalesce("__pairs", F.lit(0))
+    mix = lambda c: F.when(m > 0, F.col(c) + (F.col(f"__{c}") - F.col(c)) * m / (n + m)).otherwise(F.col(c)).alias(c)
+    gap = F.col("__mean") - F.col("mean")
+    return both.select(id_col, "__j", (n + m).alias("pairs"), mix("mean"),
+                       F.when(m > 0, F.col("m2") + F.col("__m2") + gap * gap * n * m / (n + m)).otherwise(F.col("m2")).alias("m2"), mix("base"), mix("prediction"))
+
+
 # --------------------------------------------------------------------------- X3, X4, K2, K3
 def global_importance(contributions: DataFrame, k: int | None = 20) -> DataFrame:
     """Mean absolute contribution per feature, largest first; top ``k``."""

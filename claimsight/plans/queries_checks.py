@@ -260,7 +260,8 @@ def q_ale_all_features(spark, sf):
 
 # --------------------------------------------------------------------------- explanations of three interacting features
 THREE = ("Driver_Age", "Vehicle_Age", "FNOL_Delay")
-_SAMPLES, _EXPLAINED, _BACKGROUND = 8, 1000, 100
+# Contributions are multiples of 0.01 / 32, which eight decimals show exactly.
+_SAMPLES, _EXPLAINED, _BACKGROUND = 32, 3000, 100
 
 
 def _product(d):
@@ -309,10 +310,10 @@ def _three(spark, sf):
 
 
 @register("shapley_three_features", _THREE_SQL + """
-SELECT Claim_ID, feature, round(contribution, 6) AS contribution FROM c""")
+SELECT Claim_ID, feature, round(contribution, 8) AS contribution FROM c""")
 def q_shapley_three_features(spark, sf):
     """Sampled Shapley values of three interacting features: the order of the features matters."""
-    return rnd(_three(spark, sf)[1], {"contribution": 6})
+    return rnd(_three(spark, sf)[1], {"contribution": 8})
 
 
 @register("importance_top_two", _THREE_SQL + """
@@ -325,24 +326,96 @@ def q_importance_top_two(spark, sf):
 
 
 @register("points_top_two", _THREE_SQL + f"""
-SELECT c.Claim_ID, c.feature, round(contribution, 6) AS contribution,
+SELECT c.Claim_ID, c.feature, round(contribution, 8) AS contribution,
   round(CASE c.feature {' '.join(f"WHEN '{f}' THEN x{j}" for j, f in enumerate(THREE))} END, 6) AS value
 FROM c JOIN i ON i.feature = c.feature JOIN r ON r.Claim_ID = c.Claim_ID""")
 def q_points_top_two(spark, sf):
     """Contribution and value of the two most important of three features."""
     rows, contributions = _three(spark, sf)
     out = X.contribution_points(contributions, rows, k=2).withColumn("value", F.col("value").cast("double"))
-    return rnd(out, {"contribution": 6, "value": 6})
+    return rnd(out, {"contribution": 8, "value": 6})
 
 
 @register("waterfall_three_features", _THREE_SQL + """
 , z AS (SELECT Claim_ID, feature, contribution, row_number() OVER (PARTITION BY Claim_ID ORDER BY round(abs(contribution), 9) DESC, feature) AS step
       FROM c WHERE abs(contribution) > 1e-9)
-SELECT Claim_ID, CAST(step AS INT) AS step, feature, round(contribution, 6) AS contribution FROM z
+SELECT Claim_ID, CAST(step AS INT) AS step, feature, round(contribution, 8) AS contribution FROM z
 UNION ALL
-SELECT Claim_ID, CAST(count(*) + 1 AS INT), 'Prediction', round(sum(contribution), 6) FROM z GROUP BY Claim_ID""")
+SELECT Claim_ID, CAST(count(*) + 1 AS INT), 'Prediction', round(sum(contribution), 8) FROM z GROUP BY Claim_ID""")
 def q_waterfall_three_features(spark, sf):
     """Bars of three contributions per claim in order of size, then the total (K3)."""
     exact = _three(spark, sf)[1].where("abs(contribution) > 1e-9").withColumn("contribution", F.round("contribution", 9))
     out = X.contribution_waterfall(exact).withColumn("step", F.col("step").cast("int"))
-    return rnd(out, {"contribution": 6})
+    return rnd(out, {"contribution": 8})
+
+
+# --------------------------------------------------------------------------- explanations with known errors, linear pipelines
+_TOLERANCE, _FIRST, _MOST = 3.0, 8, 32
+
+
+def _adaptive_sql() -> str:
+    """Antithetic pairs of orders over three features; a claim stops at 8, 16 or 32 pairs."""
+    def number(*parts):
+        text = " || '-' || ".join(f"CAST({x} AS VARCHAR)" for x in parts)
+        return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+    def model(a, v, d):
+        return f"(({a}) * ({v}) / 10.0E0 + ({d}) * ({a}) / 100.0E0 + ({v}))"
+
+    def effect(j, back):
+        """Model with feature j minus without: features before j (after j, backwards) have the claim's values."""
+        def row(own):
+            sign = "NOT " if back else ""
+            return [own if i == j else f"CASE WHEN {sign}(t{i} < t{j} OR (t{i} = t{j} AND {i} < {j})) THEN x{i} ELSE b{i} END" for i in range(3)]
+        return f"({model(*row(f'x{j}'))} - {model(*row(f'b{j}'))})"
+
+    xs = ", ".join(f"CAST({f} AS DOUBLE) AS x{i}" for i, f in enumerate(THREE))
+    bs = ", ".join(f"CAST({f} AS DOUBLE) AS b{i}" for i, f in enumerate(THREE))
+    tickets = ", ".join(f"{number('rs.Claim_ID', 's', i, 43)} AS t{i}" for i in range(3))
+    effects = " UNION ALL ".join(f"SELECT Claim_ID, s, '{f}' AS feature, ({effect(j, False)} + {effect(j, True)}) / 2 AS v, {model('b0', 'b1', 'b2')} AS b "
+                                 f"FROM p" for j, f in enumerate(THREE))
+    return f"""
+bgi AS (SELECT {bs}, row_number() OVER (ORDER BY md5(CAST(Claim_ID AS VARCHAR) || '#42'), Claim_ID) - 1 AS bidx FROM split WHERE split = 'train'),
+nb AS (SELECT count(*) AS n FROM bgi),
+r AS (SELECT Claim_ID, {xs} FROM split WHERE split = 'test' ORDER BY md5(CAST(Claim_ID AS VARCHAR) || '#42'), Claim_ID LIMIT 3000),
+rs AS (SELECT r.*, t.s FROM r CROSS JOIN range({_MOST}) t(s)),
+p AS (SELECT rs.*, b0, b1, b2, {tickets} FROM rs CROSS JOIN nb JOIN bgi ON bgi.bidx = {number('rs.Claim_ID', 's', 42)} % nb.n),
+v AS ({effects}),
+g AS (SELECT Claim_ID, feature, k, avg(v) AS c, sqrt(var_samp(v) / k) AS se, avg(b) AS base
+      FROM v JOIN (SELECT unnest([8, 16, 32]) AS k) ON s < k GROUP BY Claim_ID, feature, k),
+stop AS (SELECT Claim_ID, coalesce(min(k) FILTER (worst <= {_TOLERANCE}), {_MOST}) AS k FROM (
+           SELECT Claim_ID, k, max(se) AS worst FROM g GROUP BY Claim_ID, k) GROUP BY Claim_ID)"""
+
+
+@register("shapley_with_errors", _adaptive_sql() + """
+SELECT g.Claim_ID, g.feature, CAST(g.k AS BIGINT) AS pairs, round(c, 8) AS contribution, round(se, 6) AS std_error, round(base, 8) AS base
+FROM g JOIN stop USING (Claim_ID, k)""")
+def q_shapley_with_errors(spark, sf):
+    """Shapley values of 3,000 test claims against the whole training set, until the standard error is small or 32 pairs are used."""
+    train, test = train_test_split(prepared(spark, sf))
+    columns = [F.col("Claim_ID"), *[F.col(f).cast("double").alias(f) for f in THREE]]
+    out = X.shapley_adaptive(sample_n(test, 3000).select(*columns), train.select(*columns), _product, THREE, _TOLERANCE,
+                             first_pairs=_FIRST, most_pairs=_MOST)
+    return rnd(out.drop("prediction"), {"contribution": 8, "std_error": 6, "base": 8})
+
+
+_LINEAR = {"numeric": ["Estimated_Claim_Amount", "Driver_Age"], "categorical": ["Claim_Type"]}
+
+
+@register("shapley_linear_pipeline", """
+t AS (SELECT Claim_ID, split, ln(1 + Ultimate_Claim_Amount) AS y, Estimated_Claim_Amount AS x, CAST(Driver_Age AS DOUBLE) AS z, Claim_Type AS g FROM split),
+gm AS (SELECT g, avg(x) AS mx, avg(z) AS mz, avg(y) AS my FROM t WHERE split = 'train' GROUP BY g),
+n AS (SELECT sum((x - mx) * (x - mx)) AS xx, sum((x - mx) * (z - mz)) AS xz, sum((z - mz) * (z - mz)) AS zz,
+             sum((x - mx) * (y - my)) AS xy, sum((z - mz) * (y - my)) AS zy FROM t JOIN gm USING (g) WHERE split = 'train'),
+b AS (SELECT (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM n),
+a AS (SELECT g, my - bx * mx - bz * mz AS level FROM gm CROSS JOIN b),
+m AS (SELECT avg(x) AS ax, avg(z) AS az, avg(level) AS al FROM t JOIN a USING (g) WHERE split = 'train'),
+c AS (SELECT Claim_ID, 'Estimated_Claim_Amount' AS feature, bx * (x - ax) AS contribution FROM t CROSS JOIN b CROSS JOIN m WHERE split = 'test'
+      UNION ALL SELECT Claim_ID, 'Driver_Age', bz * (z - az) FROM t CROSS JOIN b CROSS JOIN m WHERE split = 'test'
+      UNION ALL SELECT Claim_ID, 'Claim_Type', level - al FROM t JOIN a USING (g) CROSS JOIN m WHERE split = 'test')
+SELECT Claim_ID, feature, round(contribution, 5) AS contribution FROM c""")
+def q_shapley_linear_pipeline(spark, sf):
+    """Exact contributions of two scaled numbers and a one-hot category through a fitted least-squares pipeline."""
+    train, test = train_test_split(prepared(spark, sf))
+    tm = ML.fit_model(train, "elastic_net", {"regParam": 0.0, "elasticNetParam": 0.0, "tol": 1e-13}, **_LINEAR)
+    return rnd(X.shapley_linear_model(test, tm.model, train), {"contribution": 5})

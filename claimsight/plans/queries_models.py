@@ -359,6 +359,18 @@ def q_shapley_model(spark, sf):
     return X.global_importance(contrib, k=20)
 
 
+@register("shapley_model_errors")
+def q_shapley_model_errors(spark, sf):
+    """Contributions of a boosted-tree model for 3,000 test claims against all training claims, with their standard errors."""
+    df, train, test, tm = _fitted_gbt(spark, sf)
+    feats = [c for c in list(K.NUMERIC_FEATURES) + list(K.CATEGORICAL_FEATURES) if c in df.columns]
+
+    def scorer(d):
+        return tm.model.transform(d).drop("features")
+
+    return X.shapley_adaptive(sample_n(test, 3000).select("Claim_ID", *feats), train, scorer, feats, tolerance=0.02, first_pairs=4, most_pairs=16)
+
+
 @register("ale_model")
 def q_ale_model(spark, sf):
     """ALE of the driver's age on a boosted-tree model's currency-scale prediction."""

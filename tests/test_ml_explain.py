@@ -218,3 +218,80 @@ def test_path_without_spread_or_label_deviation():
     z[:, 3] = [1, 2, 1, 2, 1, 2]
     free, = Problem.of(z.T @ z).path([point | {"regParam": 0.0}])
     assert np.allclose(z[:, :3] @ free, z[:, 3])
+
+
+def _bent(d):
+    return d.withColumn("prediction", F.col("x1") * F.col("x2") + F.abs(F.col("x1") - F.col("x3")) + 5 * F.col("x3"))
+
+
+def _points(spark, n, first=0):
+    return spark.createDataFrame([(first + i, float(i * 7 % 11), float(i % 4), float(i * 3 % 5)) for i in range(n)],
+                                 "Claim_ID long, x1 double, x2 double, x3 double")
+
+
+def test_adaptive_contributions_add_up_and_stop(spark):
+    rows, bg = _points(spark, 30), _points(spark, 70, 1000)
+    out = X.shapley_adaptive(rows, bg, _bent, ["x1", "x2", "x3"], tolerance=2.5, first_pairs=4, most_pairs=32).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r["Claim_ID"], []).append(r)
+    want = {r["Claim_ID"]: r["prediction"] for r in _bent(rows).collect()}
+    assert set(by) == set(want) and all(len(v) == 3 for v in by.values())
+    for i, parts in by.items():
+        assert sum(r["contribution"] for r in parts) == pytest.approx(parts[0]["prediction"] - parts[0]["base"])
+        assert parts[0]["prediction"] == pytest.approx(want[i]) and len({r["pairs"] for r in parts}) == 1
+        worst = max(r["std_error"] for r in parts)
+        assert parts[0]["pairs"] == 32 or worst <= 2.5
+    assert {v[0]["pairs"] for v in by.values()} > {32}  # some rows went on, some stopped before
+
+
+def test_adaptive_contributions_converge_to_exact_ones(spark):
+    """Every order and background row, by hand, is within a few standard errors."""
+    import itertools
+    rows, bg = _points(spark, 4), _points(spark, 40, 500)
+    f = lambda x: x[0] * x[1] + abs(x[0] - x[2]) + 5 * x[2]
+    back = [tuple(r)[1:] for r in bg.collect()]
+    out = X.shapley_adaptive(rows, bg, _bent, ["x1", "x2", "x3"], tolerance=0.0, first_pairs=16, most_pairs=256).collect()
+    got = {(r["Claim_ID"], r["feature"]): r for r in out}
+    for row in rows.collect():
+        x = tuple(row)[1:]
+        exact = [0.0] * 3
+        for b in back:
+            for order in itertools.permutations(range(3)):
+                now = list(b)
+                for j in order:
+                    old = f(now)
+                    now[j] = x[j]
+                    exact[j] += (f(now) - old) / 6 / len(back)
+        for j in range(3):
+            r = got[row["Claim_ID"], f"x{j + 1}"]
+            assert r["pairs"] == 256 and abs(r["contribution"] - exact[j]) <= 4.5 * r["std_error"] + 1e-9
+
+
+def test_adaptive_with_one_feature_copies_and_a_small_background(spark):
+    rows = _points(spark, 3).select("Claim_ID", "x1")
+    line = lambda d: d.withColumn("prediction", 2 * F.col("x1"))
+    out = X.shapley_adaptive(rows.union(rows), _points(spark, 9, 50).select("Claim_ID", "x1"), line, ["x1"], tolerance=0.1, first_pairs=3,
+                             most_pairs=5, background_rows=1).collect()
+    assert len(out) == 3 and all(r["pairs"] == 6 and r["std_error"] == 0 and r["contribution"] == pytest.approx(r["prediction"] - r["base"]) for r in out)
+    with pytest.raises(ValueError):
+        X.shapley_adaptive(rows, rows.limit(0), line, ["x1"], tolerance=0.1)
+    assert X.shapley_adaptive(rows.limit(0), rows, line, ["x1"], tolerance=0.1).count() == 0
+
+
+def test_numbers_follow_the_order(spark):
+    df = spark.createDataFrame([(i, (i * 37) % 101) for i in range(101)], "Claim_ID long, v long").repartition(7)
+    got = X.numbered(df, F.col("v"), "Claim_ID", "test_numbers").collect()
+    assert sorted((r["__number"], r["v"]) for r in got) == [(i, i) for i in range(101)]
+
+
+def test_linear_pipeline_contributions_add_up(spark, prepared):
+    train, test = train_test_split(prepared)
+    tm = ML.fit_model(train, "elastic_net", {"regParam": 0.01, "elasticNetParam": 0.5, "maxIter": 200})
+    out = X.shapley_linear_model(test, tm.model, train)
+    feats = {r[0] for r in out.select("feature").distinct().collect()}
+    assert feats == {c for c in (*ML.K.NUMERIC_FEATURES, *ML.K.CATEGORICAL_FEATURES) if c in prepared.columns}
+    mean = tm.model.transform(train).agg(F.avg("prediction")).first()[0]
+    sums = out.groupBy("Claim_ID").agg(F.sum("contribution").alias("s"))
+    off = tm.model.transform(test).select("Claim_ID", "prediction").join(sums, "Claim_ID").agg(F.max(F.abs(F.col("prediction") - F.col("s") - mean))).first()[0]
+    assert off < 1e-9
