@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from claimsight import config as K
 from claimsight.operators.filters import sample_n
+from claimsight.operators.ordering import numbered
 from claimsight.plans.scoring import materialize
 
 Scorer = Callable[[DataFrame], DataFrame]  # adds a double column "prediction"
@@ -157,23 +158,6 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
     return contrib.select(id_col, names.alias("feature"), "contribution")
 
 
-def numbered(df: DataFrame, key: Column, id_col: str, name: str) -> DataFrame:
-    """``df`` written once, with ``__number`` 0, 1, ... in the order of ``key``, then ``id_col``.
-
-    Range partitions are sorted on their own; a row's number is its place in its partition plus the rows of the partitions
-    before it, of which there is one count per partition.
-    """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.withColumn("__key", key).repartitionByRange(n, "__key", id_col).sortWithinPartitions("__key", id_col)
-    # The id of a row is its partition, shifted by 33 bits, plus its place.
-    w = materialize(spark, ranged.withColumn("__place", F.monotonically_increasing_id()).drop("__key"), f"{name}/{uuid.uuid4().hex}")
-    w = w.withColumn("__pid", F.shiftright("__place", 33)).withColumn("__place", F.col("__place").bitwiseAND((1 << 33) - 1))
-    counts = w.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = counts.select("__pid", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    return w.join(before, "__pid").withColumn("__number", F.col("__place") + F.col("__before")).drop("__pid", "__place", "__before")
-
-
 def shapley_adaptive(rows: DataFrame, background: DataFrame, scorer: Scorer, features: Sequence[str], tolerance: float,
                      id_col: str = "Claim_ID", first_pairs: int = 8, most_pairs: int = 64, background_rows: int | None = None,
                      seed: int = K.RANDOM_STATE) -> DataFrame:

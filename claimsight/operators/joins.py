@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def merge_claims_policies(claims: DataFrame, policies: DataFrame,
                           on: Sequence[str] = ("Policy_ID", "Customer_ID"),
                           null_safe: bool = True, suffixes=("_x", "_y"),
@@ -41,6 +44,48 @@ def merge_claims_policies(claims: DataFrame, policies: DataFrame,
     return joined.drop(*[f"__r_{k}" for k in on])
 
 
+def null_key_rows(claims: DataFrame, policies: DataFrame, on: Sequence[str] = ("Policy_ID", "Customer_ID")) -> tuple[int, int]:
+    """Rows of both sides with a NULL in some key, and so the pairs that pandas-like matching may make of them."""
+    blank = F.expr(" OR ".join(f"`{k}` IS NULL" for k in on))
+    return claims.where(blank).count(), policies.where(blank).count()
+
+
+def merge_skewed(claims: DataFrame, policies: DataFrame, on: Sequence[str] = ("Policy_ID", "Customer_ID"),
+                 nulls: str = "match", heavy_rows: int = 1_000_000, suffixes=("_x", "_y")) -> DataFrame:
+    """J1 for keys that hold a large share of the claims.
+
+    One aggregate finds the keys with more than ``heavy_rows`` claims (there are fewer than claims / ``heavy_rows`` of them).  Their claims
+    are dealt by a hash of the whole row over as many slices as give each ``heavy_rows``, and only the policies with such
+    a key are copied to every slice, so no task gets a whole heavy key and the other policies move once.
+
+    ``nulls`` is the policy for NULL keys: ``match`` (NULL equals NULL, as in pandas; n x m rows, dealt over slices like any heavy key),
+    ``refuse`` (raises if both sides have such rows, naming their numbers before anything is joined) or ``apart`` (such claims are left
+    out of the result; :func:`null_key_rows` counts them).
+    """
+    if nulls not in ("match", "refuse", "apart"):
+        raise ValueError(f"no policy {nulls!r} for NULL keys")
+    from claimsight.plans.scoring import materialize
+    on, spark = list(on), claims.sparkSession
+    if nulls == "refuse":
+        n, m = null_key_rows(claims, policies, on)
+        if n and m:
+            raise ValueError(f"{n} claims and {m} policies have a NULL in {', '.join(on)}")
+    heavy = (claims.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > heavy_rows)
+             .select(*on, F.ceil(F.col("__n") / F.lit(heavy_rows)).cast("int").alias("__slices")))
+    heavy = materialize(spark, heavy, f"heavy_keys/{uuid.uuid4().hex}")
+
+    def sliced(df: DataFrame) -> DataFrame:
+        keys = heavy.select(*[F.col(k).alias(f"__h_{k}") for k in on], "__slices")
+        same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in on])
+        return df.join(keys, same, "left").drop(*[f"__h_{k}" for k in on])
+
+    slice_ = F.when(F.col("__slices").isNull(), 0).otherwise(F.pmod(F.xxhash64(*claims.columns), F.col("__slices")).cast("int"))
+    left = sliced(claims).withColumn("__slice", slice_).drop("__slices")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__slices"), F.lit(1)) - 1))
+    right = sliced(policies).withColumn("__slice", copies).drop("__slices")
+    return merge_claims_policies(left, right, [*on, "__slice"], null_safe=nulls != "apart", suffixes=suffixes).drop("__slice")
+
+
 def attach_group_mean(df: DataFrame, key: str, value: str, out: str,
                       keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Group-transform mean (J2/W1): each row gets the mean of ``value`` over its ``key``.

@@ -11,12 +11,12 @@ the executors.  The label is ``log1p(Ultimate_Claim_Amount)`` -- applied once.
 from __future__ import annotations
 
 import itertools
+import uuid
 import warnings
 from dataclasses import dataclass, field
 from typing import Any, Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from claimsight import config as K
 from claimsight.functions.quantiles import exact_quantiles, mode_values
 from claimsight.operators import metrics as M
-from claimsight.plans.scoring import enrich_predictions
+from claimsight.plans.scoring import enrich_predictions, materialize
 
 LABEL = "label"
 
@@ -149,20 +149,45 @@ def with_label(df: DataFrame, target: str = K.TARGET) -> DataFrame:
     return df.where(F.col(target).isNotNull()).withColumn(LABEL, F.log1p(F.col(target)))
 
 
+def training_vectors(train: DataFrame, numeric: Sequence[str] = K.NUMERIC_FEATURES,
+                     categorical: Sequence[str] = K.CATEGORICAL_FEATURES) -> tuple[PipelineModel, DataFrame]:
+    """Fitted preprocessing, and ``features`` and ``label`` of the labelled rows, written once for any number of estimators."""
+    used = [c for c in (*numeric, *categorical) if c in train.columns]
+    labelled = with_label(train).select(*dict.fromkeys([*used, LABEL]))
+    prep = fit_feature_pipeline(labelled, numeric, categorical)
+    vec = materialize(train.sparkSession, prep.transform(labelled).select("features", LABEL), f"training/{uuid.uuid4().hex}")
+    return prep, vec
+
+
 def fit_model(train: DataFrame, name: str, params: dict[str, Any] | None = None,
               numeric: Sequence[str] = K.NUMERIC_FEATURES,
-              categorical: Sequence[str] = K.CATEGORICAL_FEATURES) -> TrainedModel:
-    """Preprocessing + one estimator, fitted on the labelled training rows."""
+              categorical: Sequence[str] = K.CATEGORICAL_FEATURES,
+              vectors: tuple[PipelineModel, DataFrame] | None = None) -> TrainedModel:
+    """Preprocessing + one estimator, fitted on the labelled training rows; ``vectors`` of :func:`training_vectors` are used if given."""
     params = dict(params or {})
-    used = [c for c in (*numeric, *categorical) if c in train.columns]
-    labelled = with_label(train).select(*dict.fromkeys([*used, LABEL])).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        prep = fit_feature_pipeline(labelled, numeric, categorical)
-        est = BUILDERS[name](**params)
-        model = Pipeline(stages=[prep, est]).fit(labelled)
-    finally:
-        labelled.unpersist()
-    return TrainedModel(name, model, params)
+    prep, vec = vectors or training_vectors(train, numeric, categorical)
+    return TrainedModel(name, PipelineModel(stages=[prep, BUILDERS[name](**params).fit(vec)]), params)
+
+
+def score_models(df: DataFrame, models: dict[str, PipelineModel], id_col: str = "Claim_ID") -> DataFrame:
+    """``id``, ``predictions``: the amounts that several fitted models predict for each claim, in the order of ``models``.
+
+    One scan without a shuffle: every different preprocessing (:func:`train_all` fits a single one) is applied once and dropped
+    again when the models behind it have scored.
+    """
+    shared: dict[str, tuple[PipelineModel, list[str]]] = {}
+    for name, model in models.items():
+        shared.setdefault(model.stages[0].uid, (model.stages[0], []))[1].append(name)
+    place = {name: f"__p{i}" for i, name in enumerate(models)}
+    out, held = df, list(df.columns)
+    for prep, names in shared.values():
+        out = prep.transform(out)
+        for name in names:
+            for stage in models[name].stages[1:]:
+                out = stage.copy({stage.predictionCol: place[name]}).transform(out)
+            held.append(place[name])
+        out = out.select(*[F.col(f"`{c}`") for c in held])
+    return out.select(id_col, F.array(*[F.expm1(place[n]) for n in models]).alias("predictions"))
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -274,11 +299,12 @@ def best_model(metrics: DataFrame) -> str | None:
 
 def train_all(train: DataFrame, test: DataFrame, enabled: Sequence[str] = tuple(BUILDERS),
               params: dict[str, dict] | None = None, **features) -> list[TrainedModel]:
-    """Fit every enabled model and evaluate it on the test split (M18); ``features`` as in :func:`fit_model`."""
+    """Fit every enabled model on shared preprocessing and evaluate it on the test split (M18); ``features`` as in :func:`fit_model`."""
     params = params or {}
     out = []
+    vectors = training_vectors(train, **features)
     for name in enabled:
-        tm = fit_model(train, name, params.get(name), **features)
+        tm = fit_model(train, name, params.get(name), vectors=vectors)
         tm.metrics = run_metrics(evaluate_model(test, tm.model))
         out.append(tm)
     return out

@@ -24,7 +24,8 @@ from claimsight.sources.tables import fixture_claims, fixture_policies
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_CACHE: dict[tuple, DataFrame] = {}
+#: Prepared and scored tables, and the folder of the processed one, per session and input.
+_CACHE: dict[tuple, DataFrame | str] = {}
 
 
 def register(name: str, sql: str | None = None):
@@ -88,3 +89,4 @@ from claimsight.plans import queries_analytics  # noqa: E402,F401
 from claimsight.plans import queries_models  # noqa: E402,F401
 from claimsight.plans import queries_io  # noqa: E402,F401
 from claimsight.plans import queries_checks  # noqa: E402,F401
+from claimsight.plans import queries_scale  # noqa: E402,F401

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from claimsight.operators.metrics import fit_loglinear, loglinear_predict
 from claimsight.operators.split import is_test
-from claimsight.plans.catalog import prepared, register, rnd
+from claimsight.plans.catalog import _CACHE, _key, merged, prepared, register, rnd, scored
 from claimsight.plans.prepare import persist_split
-from claimsight.plans.scoring import enrich_predictions, materialize
+from claimsight.plans.scoring import enrich_predictions
 from claimsight.session import shared_path
 from claimsight.sources import artifacts as A
-from claimsight.sources.files import CLAIMS_SCHEMA, append_prediction_log, export_csv, lost_numbers, read_claims, read_upload
+from claimsight.sources.files import CLAIMS_SCHEMA, export_csv, lost_numbers, read_claims, read_upload
+from claimsight.sources.history import append_batch, read_history
 from claimsight.streaming.arrivals import UPLOAD_COLUMNS, UPLOAD_SCHEMA, score_arrivals
 
 
@@ -120,15 +121,72 @@ def q_quoted_export(spark, sf):
 SELECT Claim_ID, Policy_ID, round(Predictions, 4) AS Predictions, Severity,
   round(Recommended_Reserve, 4) AS Recommended_Reserve FROM scored""")
 def q_demo_views(spark, sf):
-    """Start-up view (S8): read the written processed table, score it, enrich, log predictions."""
-    df = materialize(spark, prepared(spark, sf), f"demo/{uuid.uuid4().hex}")
+    """Start-up view (S8): read the newest committed version, score it, enrich, log the predictions once per version."""
+    base = processed_base(spark, sf)
+    df = A.read_processed(spark, base)
     a, b = fit_loglinear(df.where(~is_test()))
     out = enrich_predictions(df.withColumn("Predictions", F.expm1(loglinear_predict(a, b))))
     out = out.select("Claim_ID", "Policy_ID", "Predictions", "Severity", "Recommended_Reserve")
-    append_prediction_log(out, _run_dir(spark, "prediction_log"))
+    append_batch(out, f"{base}/predictions", A.latest_version(spark, base))
     return rnd(out, {"Predictions": 4, "Recommended_Reserve": 4})
 
 
+def processed_base(spark, sf) -> str:
+    """Folder of the processed table of ``sf``, written at the first call of a session and only read afterwards."""
+    key = _key(spark, sf, "processed")
+    if key not in _CACHE:
+        base = _run_dir(spark, "processed_of")
+        A.write_processed(prepared(spark, sf), base, lineage={"source": sf})
+        _CACHE[key] = base
+    return _CACHE[key]
+
+
+@register("prediction_history", """
+SELECT CAST(Claim_ID % 3 AS INT) AS part, CAST(count(*) AS BIGINT) AS claims, round(sum(Recommended_Reserve), 1) AS reserve
+FROM scored WHERE Claim_ID % 3 < 2 GROUP BY 1""")
+def q_prediction_history(spark, sf):
+    """Two batches, each written twice, and an attempt that died before its commit: every claim counts once."""
+    path = _run_dir(spark, "history")
+    claims = scored(spark, sf).select("Claim_ID", "Predictions", "Severity", "Recommended_Reserve")
+    parts = [claims.where(F.col("Claim_ID") % 3 == k) for k in range(3)]
+    parts[2].withColumns({"batch_id": F.lit("2024-03"), "scored_at": F.localtimestamp()}).write.parquet(f"{path}/data/batch=b-2024-03/attempt=a-dead")
+    for name, part in (("2024-01", parts[0]), ("2024-02", parts[1]), ("2024-01", parts[0]), ("2024-02", parts[1])):
+        append_batch(part, path, name)
+    out = read_history(spark, path).groupBy((F.col("Claim_ID") % 3).cast("int").alias("part")).agg(
+        F.count(F.lit(1)).alias("claims"), F.sum("Recommended_Reserve").alias("reserve"))
+    return rnd(out, {"reserve": 1})
+
+
+_OBSERVED = ("Estimated_Claim_Amount", "Claim_Type", "Traffic_Condition", "Weather_Condition", "Vehicle_Type")
+
+
+@register("written_metrics", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(*) FILTER ({c} IS NULL) AS BIGINT) AS nulls, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"strftime(min(Accident_Date), '%Y-%m-%d %H:%M:%S') AS first_time, strftime(max(Accident_Date), '%Y-%m-%d %H:%M:%S') AS last_time FROM merged"
+    for c in _OBSERVED) + ")")
+def q_written_metrics(spark, sf):
+    """Rows, NULLs per column and time range of the joined claims, observed while they are written (S3, A1, Q1)."""
+    base = _run_dir(spark, "observed")
+    A.write_processed(merged(spark, sf), base)
+    meta = A.read_metadata(spark, base)
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.element_at("nulls", c).alias("nulls")) for c in _OBSERVED]))
+    return meta.select(each, "n_rows", "first_time", "last_time")
+
+
+_HASHED = ("Accident_Date", "Claim_ID", "Claim_Type", "Driver_Age", "Estimated_Claim_Amount", "Vehicle_Year", "Weather_Condition")
+
+
+@register("schema_hash", f"""
+k AS (SELECT typeof(COLUMNS(*)) FROM (SELECT {', '.join(_HASHED)} FROM features) LIMIT 1),
+t AS (SELECT * FROM k UNPIVOT INCLUDE NULLS (kind FOR col IN (*)))
+SELECT md5(string_agg('`' || col || '` ' || CASE kind WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+         WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(kind) END, ',' ORDER BY col)) AS schema_hash, CAST(count(*) AS INT) AS n_columns FROM t""")
+def q_schema_hash(spark, sf):
+    """Hash of the names and types of seven columns, in the order of their names (A3)."""
+    own = A.schema_fingerprint(prepared(spark, sf).select(*sorted(_HASHED)))
+    return spark.createDataFrame([(own["schema_hash"], own["n_columns"])], "schema_hash string, n_columns int")
+
+
 @register("score_arrivals", """
 SELECT CAST(Claim_ID AS VARCHAR) AS Claim_ID, round(Estimate_Relative_to_Type, 8) AS Estimate_Relative_to_Type,
   round(Predictions, 4) AS Predictions, Severity, round(Recommended_Reserve, 4) AS Recommended_Reserve

@@ -20,7 +20,7 @@ import json
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,13 +45,15 @@ def schema_fingerprint(df: DataFrame) -> dict[str, Any]:
 META_SCHEMA = ("stage string, version string, created_at string, n_rows bigint, n_columns int, "
                "schema_hash string, numeric_columns int, text_columns int, time_columns int, "
                "train_rows bigint, test_rows bigint, train_hash string, test_hash string, "
-               "schema_consistent boolean, columns array<string>, info map<string,string>")
+               "schema_consistent boolean, columns array<string>, info map<string,string>, "
+               "nulls map<string,bigint>, first_time string, last_time string")
 
 _TIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def dataset_metadata(df: DataFrame, stage: str = "processed", version: str | None = None,
-                     lineage: dict[str, str] | None = None, test: DataFrame | None = None) -> DataFrame:
+                     lineage: dict[str, str] | None = None, test: DataFrame | None = None,
+                     observed: dict[str, Any] | None = None) -> DataFrame:
     """One-row metadata table (A1).
 
     Columns, their kinds (numeric, text, date or time) and the schema hash
@@ -59,7 +61,8 @@ def dataset_metadata(df: DataFrame, stage: str = "processed", version: str | Non
     ``df`` as the training part and ``test`` as the other, and adds the rows and
     schema hash of both and whether the schemas agree.  ``lineage`` (for a split
     also its method, parameters and target) is kept as text in ``info``.  Row
-    counts are the only jobs.
+    counts are the only jobs, and none at all with the ``observed`` metrics of a write (:func:`written_metrics`), which
+    also give the NULLs of every column and the time range.
     """
     if stage not in ("processed", "split"):
         raise ValueError(f"no metadata is defined for stage {stage!r}")
@@ -75,7 +78,10 @@ def dataset_metadata(df: DataFrame, stage: str = "processed", version: str | Non
            "time_columns": sum(isinstance(k, _TIME) for k in kinds),
            "columns": list(df.columns), "info": {k: str(v) for k, v in (lineage or {}).items()}}
     if stage == "processed":
-        row["n_rows"] = df.count()
+        row["n_rows"] = df.count() if observed is None else observed["n_rows"]
+        if observed is not None:
+            row |= {"nulls": {c: observed[f"null_{i}"] for i, c in enumerate(df.columns)},
+                    "first_time": observed.get("first"), "last_time": observed.get("last")}
     else:
         other = schema_fingerprint(test)["schema_hash"]
         row |= {"train_rows": df.count(), "test_rows": test.count(), "train_hash": own["schema_hash"],
@@ -85,12 +91,25 @@ def dataset_metadata(df: DataFrame, stage: str = "processed", version: str | Non
 
 
 # --------------------------------------------------------------------------- S3, S4, A2
+def written_metrics(df: DataFrame, time: str = "Accident_Date") -> list[Column]:
+    """Rows, NULLs per column and the range of ``time`` (if there is such a column), to be observed while a table is written."""
+    out = [F.count(F.lit(1)).alias("n_rows")]
+    out += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)]
+    if time in df.columns:
+        out += [F.min(time).cast("string").alias("first"), F.max(time).cast("string").alias("last")]
+    return out
+
+
 def write_processed(df: DataFrame, base: str, version: str | None = None,
                     lineage: dict[str, str] | None = None) -> str:
-    """Write one dataset version plus its metadata row (S3); returns the version."""
+    """Write one dataset version plus its metadata row (S3); returns the version.
+
+    The metrics of the metadata row are gathered by the tasks that write the data; nothing is scanned or computed again.
+    """
     version = version or _version()
-    df.write.mode("overwrite").parquet(f"{base}/data/version={version}")
-    meta = dataset_metadata(df, "processed", version, lineage)
+    seen = Observation()
+    df.observe(seen, *written_metrics(df)).write.mode("overwrite").parquet(f"{base}/data/version={version}")
+    meta = dataset_metadata(df, "processed", version, lineage, observed=seen.get)
     meta.write.mode("append").parquet(f"{base}/_meta")
     return version
 

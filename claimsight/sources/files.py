@@ -237,5 +237,8 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_prediction_log(df: DataFrame, path: str) -> None:
-    """Append scored claims with a ``scored_at`` timestamp to the history table."""
+    """Append scored claims with a ``scored_at`` timestamp to the history table.
+
+    A job run again appends again; :func:`claimsight.sources.history.append_batch` writes a batch once.
+    """
     df.withColumn("scored_at", F.localtimestamp()).write.mode("append").parquet(path)
