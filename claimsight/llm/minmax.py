@@ -7,14 +7,16 @@ evaluations fill the same bands.  Documents link when the Jaccard similarity of
 reaches the threshold; components follow the links.
 
 * Documents with equal sets form a class; only the smallest id of a class goes on.
-* Bands of the signature make buckets.  In each bucket one leader is compared with all members,
-  then (in rounds) further leaders with the members still in other components, until the members
-  that were not leaders are all connected.  So every pair of a bucket is either compared or known
-  to be connected, without listing all pairs of a group of copies.  Leaders are the members that share most
-  buckets with others: the text that a group's copies were made from keeps the commonest key of every
-  band, and links with copies that do not link with each other.
-* A pair is compared by size, by agreement of the signatures (pairs far below the threshold drop
-  out), then on the full sets.
+* Bands of the signature make buckets.  In each bucket one leader is compared with all members.  Leaders are the
+  members that share most buckets with others: the text that a group's copies were made from keeps the commonest key of every
+  band, and links with copies that do not link with each other.  A pair is compared by size, by agreement of the signatures
+  (pairs far below the threshold drop out), then on the full sets.
+* Buckets whose other members are not all connected by that go on without listing their pairs.  Each member is
+  described by its difference from the leader, corrected to what most members of that leader have.  Sizes and differences alone say which
+  pairs surely link (the member nearest to the majority links with both ends of every such pair), and how many
+  elements the differences of any other linked pair must share.  An inverted index over the rarest elements of each difference
+  (a prefix filter) then finds every pair that can share so many; these are compared.  The rarest elements of a copy are its own edits,
+  so copies of one text that do not link with each other hardly ever meet.
 * Components come from alternating large-star and small-star steps over the links.
 
 Null or blank text has an empty set and links with nothing.  Repeated rows share their id's
@@ -29,9 +31,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from claimsight.llm import common as C
 
@@ -43,8 +45,6 @@ MISS = 1.5e-6
 #: Agreement of signatures may fall this many standard deviations below the threshold. A pair at the threshold falls lower
 #: with a probability of 2.7e-6 at 0.85 and 1.1e-6 at 0.8, which adds to what the bands miss.
 SLACK = 5.0
-#: Leaders per bucket and round: 1, then 16 times as many each round, up to this.
-MOST_SLOTS = 4096
 
 
 def plan(percent: int) -> tuple[int, int]:
@@ -212,6 +212,105 @@ def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
     return C.written(kept.union(fresh.select("id", "component")), "components")
 
 
+def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``leader, id, comp, bound, n, d`` per member and leader: size of the member's set, and its sorted deviation from the majority.
+
+    ``members`` has each pair of ``leader`` and ``id`` once, with ``comp`` and ``bound`` (whether the member is connected with the leader).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = C.column(batch, "x"), C.column(batch, "y")
+            d, n = [], []
+            for i in range(len(batch)):
+                p, q = x[i].values.to_numpy(), y[i].values.to_numpy()
+                d.append(np.setxor1d(p, q, assume_unique=True))
+                n.append(len(p))
+            yield pa.RecordBatch.from_arrays([*(C.column(batch, c) for c in ("leader", "id", "comp", "bound")), pa.array(n, pa.int64()), pa.array(d, pa.list_(pa.int64()))],
+                                             names=["leader", "id", "comp", "bound", "n", "d"])
+
+    def flip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d, f = C.column(batch, "d"), C.column(batch, "flips")
+            new = [np.setxor1d(d[i].values.to_numpy(), f[i].values.to_numpy()) if f[i].is_valid else d[i].values.to_numpy() for i in range(len(batch))]
+            yield pa.RecordBatch.from_arrays([*(C.column(batch, c) for c in ("leader", "id", "comp", "bound", "n")), pa.array(new, pa.list_(pa.int64()))],
+                                             names=["leader", "id", "comp", "bound", "n", "d"])
+
+    schema = "leader long, id long, comp long, bound boolean, n long, d array<long>"
+    both = (members.join(sets.select("id", F.col("shingles").alias("x")), "id")
+            .join(sets.select(F.col("id").alias("leader"), F.col("shingles").alias("y")), "leader"))
+    raw = C.written(both.select("leader", "id", "comp", "bound", "x", "y").mapInArrow(run, schema), "differences")
+    many = raw.groupBy("leader").agg(F.count(F.lit(1)).alias("m"))
+    often = raw.select("leader", F.explode("d").alias("e")).groupBy("leader", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # Elements in most differences: fewer than twice the mean size of a difference.
+    flips = often.join(many, "leader").where("2 * f > m").groupBy("leader").agg(F.collect_list("e").alias("flips"))
+    return C.written(raw.join(flips, "leader", "left").select("leader", "id", "comp", "bound", "n", "d", "flips").mapInArrow(flip, schema), "deviations")
+
+
+def _measured(deviations: DataFrame, percent: int) -> DataFrame:
+    """Adds ``size`` of the deviation and ``a``: two members surely link when the sum of their ``a`` is not above 0."""
+    q, r = 100 + percent, 100 - percent
+    return deviations.withColumn("size", F.size("d").cast("long")).withColumn("a", q * F.col("size") - r * F.col("n"))
+
+
+def _sure_links(measured: DataFrame) -> DataFrame:
+    """Links of members with the one nearest to the majority of their leader: it links with both ends of every sure link."""
+    near = measured.groupBy("leader").agg(F.min(F.struct("a", "id", "comp")).alias("z"))
+    sure = measured.join(near, "leader").where("a + z.a <= 0 and id <> z.id and comp <> z.comp")
+    return sure.select(F.least("id", "z.id").alias("a"), F.greatest("id", "z.id").alias("b"))
+
+
+def _candidates(measured: DataFrame, percent: int) -> DataFrame:
+    """``leader, a, b``: every pair of members in different components that must share elements of their deviations, and can share enough.
+
+    With q = 100 + percent and r = 100 - percent a pair links if and only if its deviations share c elements with
+    2q c >= a(x) + a(y).  Elements that a single member has are never shared: with u(y) of these, c <= size(y) - u(y), so also
+    q c >= a(x) + q u(y) - r |y|, and |y| is at most 100 |x| / percent.  The least a and u of the possible partners thus
+    give a number that x must share; it meets them by all but that many (less one) of its elements, the rarest ones.
+    Pairs within the leader's component are not asked for; partners inside and outside of it have limits of their own.
+    """
+    q, r = 100 + percent, 100 - percent
+    often = measured.select("leader", F.explode("d").alias("e")).groupBy("leader", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    of = Window.partitionBy("leader", "id")
+    shared = (measured.select("leader", "id", "comp", "bound", "n", "size", "a", F.explode("d").alias("e")).join(often, ["leader", "e"])
+              .withColumn("can", F.count(F.lit(1)).over(of)).withColumn("place", F.row_number().over(of.orderBy("f", "e"))))
+    shared = C.written(shared, "shared")
+    first = shared.where("place = 1").withColumn("u", F.col("size") - F.col("can"))
+    least = first.groupBy("leader").agg(*[F.min(F.when(F.col("bound") == side, F.col(c))).alias(f"{name}_{c}")
+                                          for name, side in (("free", False), ("bound", True)) for c in ("a", "u")])
+    longest = r * F.floor(100 * F.col("n") / F.lit(percent) + 1e-9)
+
+    def places(partner: str) -> Column:  # none (null) without such partners
+        must = F.greatest(F.lit(1), F.ceil((F.col("a") + F.col(f"{partner}_a")) / (2.0 * q) - 1e-9),
+                          F.ceil((F.col("a") + q * F.col(f"{partner}_u") - longest) / F.lit(float(q)) - 1e-9))
+        return F.when(F.col(f"{partner}_a").isNotNull(), F.col("can") - must + 1)
+
+    index = (shared.join(least, "leader").withColumn("to_free", F.coalesce(F.col("place") <= places("free"), F.lit(False)))
+             .withColumn("to_bound", F.coalesce(~F.col("bound") & (F.col("place") <= places("bound")), F.lit(False))).where("to_free or to_bound"))
+    held = ["leader", "e", "id", "comp", "bound", "n", "can", "a", "to_free", "to_bound"]
+    index = C.written(index.select(held), "index")
+    left = index.where("not bound").select("leader", "e", *[F.col(c).alias(f"{c}_") for c in held[2:]])
+    may = (f"to_free and comp <> comp_ and (bound and to_bound_ or not bound and to_free_ and id_ < id) "
+           f"and 100 * least(n, n_) >= {percent} * greatest(n, n_) and {2 * q} * least(can, can_) >= a + a_")
+    met = index.join(left, ["leader", "e"]).where(may)
+    return met.select("leader", F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
+
+
+def _links_by_deviations(candidates: DataFrame, deviations: DataFrame, percent: int) -> DataFrame:
+    """Candidates that link: the deviations tell the symmetric difference of the full sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = C.column(batch, "x"), C.column(batch, "y")
+            n = C.column(batch, "n").to_numpy()
+            apart = np.array([len(x[i]) + len(y[i]) - 2 * len(np.intersect1d(x[i].values.to_numpy(), y[i].values.to_numpy(), assume_unique=True))
+                              for i in range(len(batch))], np.int64)
+            ok = pa.array((100 + percent) * apart <= (100 - percent) * n)
+            yield pa.RecordBatch.from_arrays([C.column(batch, c).filter(ok) for c in ("a", "b")], names=["a", "b"])
+
+    both = (candidates.join(deviations.select("leader", F.col("id").alias("a"), F.col("d").alias("x"), F.col("n").alias("nx")), ["leader", "a"])
+            .join(deviations.select("leader", F.col("id").alias("b"), F.col("d").alias("y"), F.col("n").alias("ny")), ["leader", "b"]))
+    return both.select("a", "b", (F.col("nx") + F.col("ny")).alias("n"), "x", "y").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id`` (under its own name), ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
@@ -235,40 +334,31 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
     members = C.written(banded.join(shared, "key"), "crowds")
     weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
     members = C.written(members.join(weights, "id").select("key", "id", "weight", F.col("id").alias("comp")), "members")
-    comps = sets = known = met = None
-    turn, slots = 0, 1
-    while not members.isEmpty():
-        slot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(slots)).alias("slot")
-        leaders = C.written(members.groupBy("key", slot).agg(
-            F.max(F.struct("weight", (-F.col("id")).alias("minus"), "comp")).alias("l")).select(
-            "key", (-F.col("l.minus")).alias("leader"), F.col("l.comp").alias("of")), "leaders")
-        pairs = (members.join(leaders, "key").where("id <> leader and comp <> of")
-                 .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
-        pairs = C.written(pairs.join(met, ["a", "b"], "left_anti") if met is not None else pairs, "met")
-        met = pairs if met is None else met.union(pairs)
+    comps = None
+    if not members.isEmpty():
+        leaders = C.written(members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("l"))
+                            .select("key", (-F.col("l.minus")).alias("leader")), "leaders")
+        crowd = members.join(leaders, "key").where("id <> leader").select("key", "id", "leader")
+        pairs = C.written(crowd.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "met")
         sized = (pairs.join(nodes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa")), "a")
                  .join(nodes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")), "b"))
         pairs = C.written(_alike(sized, percent, values), "pairs")
         if not pairs.isEmpty():
             ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-            ids = C.written(ids.join(known, "id", "left_anti") if known is not None else ids, "ids")
-            if not ids.isEmpty():
-                more = C.written(_sets_of(own, ids, k), "sets")
-                sets = more if sets is None else sets.union(more)
-                known = ids if known is None else known.union(ids)
-            new = C.written(_confirmed(pairs, sets, percent), "links")
-            if not new.isEmpty():
-                comps = _merged(comps, new)
-        # Leaders are done with: all their pairs in the bucket are compared.  Buckets whose other
-        # members are connected are done with too.
-        rest = members.join(leaders.select("key", F.col("leader").alias("id")), ["key", "id"], "left_anti")
-        if comps is not None:
-            rest = (rest.drop("comp").join(comps, "id", "left")
-                    .select("key", "id", "weight", F.coalesce("component", "id").alias("comp")))
-        rest = C.written(rest, "rest")
+            sets = C.written(_sets_of(own, ids, k), "sets")
+            comps = _merged(comps, C.written(_confirmed(pairs, sets, percent), "links"))
+        # Buckets whose other members are connected are done with.
+        of = comps if comps is not None else nodes.select("id", F.col("id").alias("component")).limit(0)
+        rest = C.written(crowd.join(of, "id", "left").select("key", "id", "leader", F.coalesce("component", "id").alias("comp"))
+                         .join(of.select(F.col("id").alias("leader"), F.col("component").alias("top")), "leader", "left")
+                         .withColumn("bound", F.col("comp") == F.coalesce("top", "leader")), "rest")
         open_ = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        members = C.written(rest.join(open_, "key", "left_semi"), "members")
-        turn, slots = turn + 1, min(slots * 16, MOST_SLOTS)
+        open_ = C.written(rest.join(open_, "key", "left_semi").select("leader", "id", "comp", "bound").distinct(), "open")
+        if not open_.isEmpty():
+            ids = open_.select("id").union(open_.select("leader")).distinct()
+            deviations = _measured(_differences(open_, C.written(_sets_of(own, ids, k), "sets")), percent)
+            new = _sure_links(deviations).union(_links_by_deviations(C.written(_candidates(deviations, percent), "met"), deviations, percent))
+            comps = _merged(comps, C.written(new.distinct(), "links"))
 
     result = feats.select("id", "n_shingles", "rep")
     if comps is not None:

@@ -123,3 +123,68 @@ def test_components_of_a_long_path(spark):
     links = spark.range(60).select((F.col("id") + 1).alias("a"), F.col("id").alias("b")).union(spark.createDataFrame([(200, 100)], "a long, b long"))
     got = {r.id: r.component for r in minmax.components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100}
+
+
+def template_copies(n, seed, edits, length=150):
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(length)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n):
+        w = list(base)
+        for at in rng.sample(range(length), rng.choice(edits)):
+            w[at] = f"e{rng.randrange(10 ** 9)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def deviations_of(spark, rows, k, percent):
+    """All rows as members of the first one's bucket, none connected but with links to it."""
+    sets = minmax._sets_of(spark.createDataFrame(rows, "id long, __text string"), spark.createDataFrame([(i,) for i, _ in rows], "id long"), k).cache()
+    links = minmax._confirmed(spark.createDataFrame([(rows[0][0], i) for i, _ in rows[1:]], "a long, b long"), sets, percent)
+    bound = {r.b for r in links.collect()}
+    members = spark.createDataFrame([(rows[0][0], i, rows[0][0] if i in bound else i, i in bound) for i, _ in rows[1:]],
+                                    "leader long, id long, comp long, bound boolean")
+    return minmax._measured(minmax._differences(members, sets), percent), bound
+
+
+@pytest.mark.parametrize("k, percent", [(3, 85), (5, 80), (1, 60)])
+def test_differences_lose_no_link(spark, k, percent):
+    """Sure links and candidates cover every linked pair of one bucket, whatever the leader."""
+    rows = template_copies(120, k, [1, 2, 3, 4, 6, 9, 30])
+    rng = random.Random(k)
+    for i in range(120, 150):  # edits of edited copies, and strangers
+        w = rows[rng.randrange(1, 60)][1].split() if i < 145 else [f"s{rng.randrange(40)}" for _ in range(100)]
+        w[rng.randrange(len(w))] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    if k == 5:
+        rows[0] = (0, " ".join(f"other{i}" for i in range(100)))  # a leader that links with nobody
+    measured, bound = deviations_of(spark, rows, k, percent)
+    sets = {i: brute.shingles(t, k) for i, t in rows}
+    want = {(i, j) for i in sets for j in sets if 0 < i < j and not (i in bound and j in bound)
+            and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+    candidates = minmax._candidates(measured, percent)
+    found = {(r.a, r.b) for r in minmax._links_by_deviations(candidates, measured, percent).collect()}
+    sure = {(r.a, r.b) for r in minmax._sure_links(measured).collect()}
+    assert found <= want and all(100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]) for i, j in sure)
+    root = {i: 0 if i in bound else i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in found | sure:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    assert all(find(i) == find(j) for i, j in want) and want
+
+
+def test_copies_that_do_not_link_hardly_meet(spark):
+    """2,000 copies of a template, most of them below the threshold with each other: far fewer pairs than 2,000 squared."""
+    measured, bound = deviations_of(spark, template_copies(2000, 1, range(2, 12)), 3, 85)
+    assert len(bound) < 1500 and minmax._candidates(measured, 85).count() < 10 * 2000
+
+
+def test_group_of_copies_without_their_template(spark):
+    rows = template_copies(150, 4, range(1, 9))[1:]
+    got = {r.doc_id: r.component_id for r in minmax.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == brute.components(rows, 3, 85)
