@@ -1,7 +1,10 @@
-"""Registered queries for exact splits, large vocabularies, skewed joins and several models at once."""
+"""Registered queries for exact splits, large vocabularies, skewed joins, several models at once and the day-level rollup."""
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -9,9 +12,11 @@ from claimsight.operators import levels as L
 from claimsight.operators import ml as ML
 from claimsight.operators import portfolio as P
 from claimsight.operators.joins import merge_skewed, null_key_rows
+from claimsight.operators.rollup import Rollup, build
 from claimsight.operators.split import train_test_split, with_exact_split
-from claimsight.plans.catalog import prepared, register, rnd
+from claimsight.plans.catalog import _CACHE, _key, iso, prepared, register, rnd, scored
 from claimsight.plans.queries_checks import _RIVALS_SQL, FLAG, RIVALS
+from claimsight.session import shared_path
 from claimsight.sources.tables import fixture_claims, fixture_policies, read_table
 
 
@@ -113,3 +118,67 @@ def q_model_variance(spark, sf):
     wide = ML.score_models(df, models)
     columns = [F.col("predictions")[i].alias(n) for i, n in enumerate(models)]
     return rnd(P.prediction_variance_wide(wide.select("Claim_ID", *columns), list(models)), {"mean": 3, "std": 3, "cv": 5})
+
+
+# --------------------------------------------------------------------------- rollup
+#: Three ranges of the dashboard's date filter: all claims, whole months, and months cut on both sides.
+_RANGES = {"all": (None, None), "months": ("1995-02-01", "1996-11-30"), "days": ("1994-03-17", "1997-08-05")}
+
+
+def _rollup(spark, sf) -> Rollup:
+    """Built at the first call of a session, then only read."""
+    key = _key(spark, sf, "rollup")
+    if key not in _CACHE:
+        base = shared_path(spark, f"rollup/{uuid.uuid4().hex}")
+        build(scored(spark, sf), base)
+        _CACHE[key] = base
+    return Rollup(spark, _CACHE[key])
+
+
+def _in_range(name: str) -> str:
+    start, end = _RANGES[name]
+    return "true" if start is None else f"CAST(Accident_Date AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"
+
+
+@register("rollup_kpis", " UNION ALL ".join(f"""
+SELECT '{name}' AS range, CAST(count(*) AS BIGINT) AS total_claims, round(coalesce(sum(Ultimate_Claim_Amount), 0), 2) AS total_exposure,
+  round(avg(Ultimate_Claim_Amount), 4) AS average_claim, round(median(Ultimate_Claim_Amount), 4) AS median_claim,
+  round(max(Ultimate_Claim_Amount), 4) AS max_claim, CAST(count(*) FILTER (Ultimate_Claim_Amount >= 30000) AS BIGINT) AS high_severity_count
+FROM scored WHERE {_in_range(name)}""" for name in _RANGES))
+def q_rollup_kpis(spark, sf):
+    """G1 and G3 for three date ranges from the day-level rollup, the exact median included."""
+    rollup, parts = _rollup(spark, sf), []
+    for name, (start, end) in _RANGES.items():
+        tiles = rollup.tiles(start, end).select("high_severity_count")
+        parts.append(rollup.kpis(start, end).crossJoin(tiles).withColumn("range", F.lit(name)))  # one row each
+    out = functools.reduce(lambda a, b: a.unionByName(b), parts)
+    return rnd(out, {"total_exposure": 2, "average_claim": 4, "median_claim": 4, "max_claim": 4})
+
+
+_METRICS = {"exposure": "sum(Ultimate_Claim_Amount)", "volume": "count(Policy_ID)",
+            "severity": "100.0E0 * count(*) FILTER (Ultimate_Claim_Amount > 15000) / count(*)",
+            "efficiency": "avg(abs(Ultimate_Claim_Amount - Predictions))"}
+
+
+@register("rollup_monthly", "s AS (" + " UNION ALL ".join(f"""
+SELECT '{name}' AS range, '{metric}' AS metric, CAST(date_trunc('month', Accident_Date) AS DATE) AS m, CAST({sql} AS DOUBLE) AS value
+FROM scored WHERE {_in_range(name)} GROUP BY 3""" for name in _RANGES for metric, sql in _METRICS.items()) + """)
+SELECT range, metric, strftime(m, '%Y-%m-%d') AS Month, round(value, 2) AS value,
+  round(avg(value) OVER (PARTITION BY range, metric ORDER BY m ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving_avg FROM s""")
+def q_rollup_monthly(spark, sf):
+    """G4-G7 with their 3-month means for three date ranges from the day-level rollup."""
+    rollup = _rollup(spark, sf)
+    parts = [rollup.monthly(metric, start, end).withColumn("value", F.col("value").cast("double"))
+             .withColumns({"range": F.lit(name), "metric": F.lit(metric)}) for name, (start, end) in _RANGES.items() for metric in _METRICS]
+    return iso(rnd(functools.reduce(lambda a, b: a.unionByName(b), parts), {"value": 2, "moving_avg": 2}), "Month")
+
+
+@register("rollup_trend", " UNION ALL ".join(f"""
+SELECT '{name}' AS range, strftime(CAST(date_trunc('month', Accident_Date) AS DATE), '%Y-%m-%d') AS Month,
+  CAST(count(DISTINCT Policy_ID) AS BIGINT) AS Volume, round(sum(Ultimate_Claim_Amount), 2) AS Total_Amount
+FROM scored WHERE {_in_range(name)} GROUP BY 2""" for name in _RANGES))
+def q_rollup_trend(spark, sf):
+    """G11 for three date ranges from the rollup: exact distinct policies, also of months cut by the range."""
+    rollup = _rollup(spark, sf)
+    parts = [rollup.trend(start, end).withColumn("range", F.lit(name)) for name, (start, end) in _RANGES.items()]
+    return iso(rnd(functools.reduce(lambda a, b: a.unionByName(b), parts), {"Total_Amount": 2}), "Month")

@@ -184,3 +184,57 @@ def test_metadata_comes_from_the_write_itself(spark, tmp_dir):
     assert (m["n_rows"], m["nulls"], m["first_time"], m["last_time"]) == (
         3, {"n": 0, "odd name": 2, "Accident_Date": 1}, "2023-01-01 10:00:00", "2024-01-05 00:00:00")
     assert A.dataset_metadata(df).first()["nulls"] is None
+
+
+# --------------------------------------------------------------------------- rollup
+def _portfolio(spark, n=400):
+    import random
+    rng = random.Random(7)
+    rows = []
+    for i in range(n):
+        day = None if i % 41 == 0 else f"2023-{1 + i % 7:02d}-{1 + i % 28:02d} {i % 24:02d}:00:00"
+        amount = None if i % 17 == 0 else rng.choice([12000.0, 12000.0, -50.0, 0.0, rng.uniform(0, 50000)])
+        rows.append((i, None if i % 19 == 0 else i % 60, day, amount, 11000.0))
+    return spark.createDataFrame(rows, "Claim_ID long, Policy_ID long, t string, Ultimate_Claim_Amount double, Predictions double").withColumn(
+        "Accident_Date", F.col("t").cast("timestamp_ntz")).drop("t")
+
+
+@pytest.mark.parametrize("start, end", [(None, None), ("2023-02-01", "2023-04-30"), ("2023-01-15", "2023-05-03"), ("2023-03-05", "2023-03-20"),
+                                        ("2023-04-10", None), (None, "2023-02-02"), ("2030-01-01", "2031-01-01")])
+def test_rollup_equals_the_claims(spark, tmp_path_factory, start, end):
+    from claimsight.operators import portfolio as P
+    from claimsight.operators.rollup import Rollup, build
+    claims = _portfolio(spark)
+    base = str(tmp_path_factory.getbasetemp() / "rollup")
+    if not os.path.exists(base):
+        build(claims, base)
+    rollup, some = Rollup(spark, base), claims
+    if start:
+        some = some.where(F.col("Accident_Date").cast("date") >= F.lit(start).cast("date"))
+    if end:
+        some = some.where(F.col("Accident_Date").cast("date") <= F.lit(end).cast("date"))
+
+    def same(a, b):
+        rows = lambda d: sorted((tuple(round(v, 6) if isinstance(v, float) else str(v) for v in r) for r in d.select(sorted(d.columns)).collect()), key=str)
+        assert sorted(a.columns) == sorted(b.columns) and rows(a) == rows(b)
+
+    same(rollup.kpis(start, end), P.portfolio_kpis(some))
+    same(rollup.tiles(start, end), P.dashboard_tiles(some))
+    for metric in ("exposure", "volume", "severity", "efficiency"):
+        same(rollup.monthly(metric, start, end), P.monthly_metric(some, metric).withColumn("Month", F.col("Month")))
+    same(rollup.trend(start, end), P.trend_volume(some))
+    exact = some.agg(F.count_distinct("Policy_ID")).first()[0]
+    assert abs(rollup.policies(start, end) - exact) <= 0.1 * exact
+
+
+def test_rollup_limits(spark, tmp_dir):
+    from claimsight.operators.rollup import Rollup, _weighted_rank, build
+    build(_portfolio(spark).limit(0), tmp_dir)
+    empty = Rollup(spark, tmp_dir)
+    assert empty.median() is None and empty.kpis().first()["total_claims"] == 0 and empty.policies() == 0
+    with pytest.raises(ValueError):
+        empty.monthly("other")
+    values = spark.createDataFrame([(float(i * i), 1 + i % 3) for i in range(300)], "amount double, n long")
+    flat = sorted(a for a, n in ((r["amount"], r["n"]) for r in values.collect()) for _ in range(n))
+    for rank in (0, 1, 299, len(flat) - 1):
+        assert _weighted_rank(values, rank, final_rows=5) == _weighted_rank(values, rank) == flat[rank]
