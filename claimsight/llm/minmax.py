@@ -334,7 +334,7 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
     members = C.written(banded.join(shared, "key"), "crowds")
     weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
     members = C.written(members.join(weights, "id").select("key", "id", "weight", F.col("id").alias("comp")), "members")
-    comps = None
+    comps = sets = None
     if not members.isEmpty():
         leaders = C.written(members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("l"))
                             .select("key", (-F.col("l.minus")).alias("leader")), "leaders")
@@ -344,7 +344,8 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
                  .join(nodes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")), "b"))
         pairs = C.written(_alike(sized, percent, values), "pairs")
         if not pairs.isEmpty():
-            ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+            # Written first: Spark then knows the size of the ids, and moves no texts to them if they are few.
+            ids = C.written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
             sets = C.written(_sets_of(own, ids, k), "sets")
             comps = _merged(comps, C.written(_confirmed(pairs, sets, percent), "links"))
         # Buckets whose other members are connected are done with.
@@ -356,7 +357,11 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, id: str = "doc_id", t
         open_ = C.written(rest.join(open_, "key", "left_semi").select("leader", "id", "comp", "bound").distinct(), "open")
         if not open_.isEmpty():
             ids = open_.select("id").union(open_.select("leader")).distinct()
-            deviations = _measured(_differences(open_, C.written(_sets_of(own, ids, k), "sets")), percent)
+            ids = C.written(ids if sets is None else ids.join(sets.select("id"), "id", "left_anti"), "ids")
+            if sets is None or not ids.isEmpty():
+                more = C.written(_sets_of(own, ids, k), "sets")
+                sets = more if sets is None else sets.union(more)
+            deviations = _measured(_differences(open_, sets), percent)
             new = _sure_links(deviations).union(_links_by_deviations(C.written(_candidates(deviations, percent), "met"), deviations, percent))
             comps = _merged(comps, C.written(new.distinct(), "links"))
 
