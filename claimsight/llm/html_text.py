@@ -4,11 +4,14 @@
 options, headings), implied rows, void elements, raw text of scripts and styles, comments, end tags
 without a start.  Inside ``svg`` and ``math`` the rules of foreign content hold: ``/>`` closes, CDATA is
 text, and a start tag of HTML ends them; ``svg`` shows the text of ``text`` and ``foreignObject``
-only (not what ``use`` repeats from ``defs``), ``math`` all but its annotations.  ``render`` walks the tree and emits all visible text: elements that browsers never
-show, ``hidden`` attributes, ``display:none`` and ``visibility:hidden`` styles are left out; white
+only (not what ``use`` repeats from ``defs``), ``math`` all but its annotations.  What stands in a table but in none of its cells
+moves before the table, as in browsers.  ``render`` walks the tree and emits all visible text: elements that browsers never
+show, ``hidden`` attributes, ``display:none`` styles, closed dialogs and the bodies of closed details are left out; so is what is
+``visibility:hidden``, but not what is ``visible`` again inside of it.  White
 space collapses except in ``pre`` and ``textarea``; blocks stand on their own lines, paragraphs and
-headings between blank lines; list items get ``- `` or their number, indented by depth; table cells
-are padded so that columns line up.  Both are loops with a stack of their own, so deep nesting is
+headings between blank lines; list items get ``- `` or their number (``reversed`` lists count down), indented by depth; table cells
+are padded so that columns line up, rows and columns that a cell spans included.  A long cell that others follow is broken into lines
+between words; a single word longer than that still pushes the cells behind it.  Both are loops with a stack of their own, so deep nesting is
 no problem, and both are linear in the page.
 
 Null html gives null text, empty html empty text.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -55,6 +59,10 @@ CLOSES = {
 #: An end tag looks no further up than these, unless it names one of them.
 BARRIERS = frozenset(("table", "td", "th", "caption"))
 TABLE_PARTS = frozenset(("tr", "tbody", "thead", "tfoot"))
+#: Where only parts of a table may stand, these parts, and what may stand there besides without moving before the table.
+TABLE_CONTEXT = TABLE_PARTS | {"table"}
+STRUCTURE = TABLE_PARTS | {"caption", "colgroup", "col", "td", "th"}
+TABLE_GUESTS = STRUCTURE | {"script", "style", "template"}
 #: What svg and math hold but don't show, where HTML goes on inside them, and the start tags of HTML that end them.
 FOREIGN = frozenset(("svg", "math"))
 UNSEEN_FOREIGN = frozenset("annotation annotation-xml defs desc metadata symbol clippath mask pattern marker".split())
@@ -64,18 +72,21 @@ BREAKOUT = HEADINGS | frozenset("b big blockquote body br center code dd div dl
                                 "pre ruby s small span strong strike sub sup table tt u ul var".split())
 NO_BARRIER, TABLE_ONLY = frozenset(), frozenset(("table",))
 
-#: Cells are padded up to this width; longer ones push their row's next cells to the right.
-CELL_WIDTH = 40
+#: Cells with cells behind them are broken into lines of at most this width.
+CELL_WIDTH = 80
+#: Cells that begin after so many columns span no rows.
+SPANNED_COLUMNS = 1000
 
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)(>?)""")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
-_UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _UNSHOWN_FOREIGN = re.compile(r"""\b(?:display\s*=\s*["']?\s*none|visibility\s*=\s*["']?\s*(?:hidden|collapse))""", re.I)
 _QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
 _BARE_LAST = re.compile(r"""=\s*[^\s"'][^\s]*\Z""")
 _COMMENT_END = re.compile(r"--!?>")
 _BLANK = re.compile(r"[ \t\n\r\f\v]+")
-_HINT = re.compile(r"hidden|style|start|value|colspan|type|alt", re.I)
+_HINT = re.compile(r"hidden|style|start|value|colspan|rowspan|reversed|open|type|alt", re.I)
 
 
 class Element:
@@ -86,10 +97,19 @@ class Element:
 
     def visible(self) -> bool:
         a = self.attributes
-        if self.tag in UNSEEN or "hidden" in a and a["hidden"].lower() != "until-found":
+        if self.tag in UNSEEN or "hidden" in a and a["hidden"].lower() != "until-found" or self.tag == "dialog" and "open" not in a:
             return False
         return not (a and "style" in a and _UNSHOWN.search(a["style"]) or self.tag == "input" and a.get("type", "").lower() == "hidden")
 
+    def shown(self, inherited: bool) -> bool:
+        """The computed visibility: the last declaration of the own style, else the parent's."""
+        own = _VISIBILITY.findall(self.attributes["style"]) if "style" in self.attributes else []
+        return own[-1].lower() == "visible" if own else inherited
+
+    def number(self, name: str, default: int, least: int) -> int:
+        value = self.attributes.get(name, "")
+        return max(least, int(value)) if re.fullmatch(r"-?\d{1,9}", value) else default
+
 
 def parse(source: str) -> Element:
     """The page as a tree below one root element."""
@@ -101,6 +121,17 @@ def parse(source: str) -> Element:
     # Of each open element, what its texts are: of HTML (""), of "math", of svg outside ("svg", not shown) or inside a "text".
     kinds = [""]
 
+    def add(node: Element | str) -> None:
+        """Append to the open element; in a table, but in none of its cells, insert before the table, its parent's last child so far."""
+        if stack[-1].tag in TABLE_CONTEXT and not kinds[-1] and everywhere["table"] and (
+                node.strip(" \t\n\r\f") if isinstance(node, str) else node.tag not in TABLE_GUESTS):
+            at = len(stack) - 1
+            while stack[at].tag != "table":
+                at -= 1
+            stack[at - 1].children.insert(-1, node)
+        else:
+            stack[-1].children.append(node)
+
     def push(element: Element) -> None:
         kind = kinds[-1]
         if element.tag in FOREIGN:
@@ -110,7 +141,7 @@ def parse(source: str) -> Element:
         elif kind == "svg" and element.tag == "text":
             kind = "text"
             stack[-1].children.append(" ")
-        stack[-1].children.append(element)
+        add(element)
         stack.append(element)
         kinds.append(kind)
         everywhere[element.tag] += 1
@@ -145,7 +176,7 @@ def parse(source: str) -> Element:
             lt = n
         if lt > at:
             if kinds[-1] != "svg":
-                stack[-1].children.append(html.unescape(source[at:lt]))
+                add(html.unescape(source[at:lt]))
             at = lt
             continue
         if source.startswith("<!--", at):
@@ -169,7 +200,7 @@ def parse(source: str) -> Element:
         m = _TAG.match(source, at)
         if m is None:
             if kinds[-1] != "svg":
-                stack[-1].children.append("<")
+                add("<")
             at += 1
             continue
         tag, at = m[1].lower(), m.end()
@@ -177,7 +208,7 @@ def parse(source: str) -> Element:
             break
         if source[m.start() + 1] == "/":
             if tag == "br":
-                stack[-1].children.append(Element("br", {}))
+                add(Element("br", {}))
             elif tag in HEADINGS:
                 close(HEADINGS, BARRIERS)
             elif tag not in ("body", "html"):  # what follows still belongs to the page
@@ -196,6 +227,15 @@ def parse(source: str) -> Element:
                 stack[-1].children.append(" ")
             if m[2].endswith("/") and (kinds[-1] or tag in FOREIGN) and not _BARE_LAST.search(_QUOTED.sub('""', m[2])):
                 continue  # an empty element
+        if tag == "form" and not kinds[-1] and stack[-1].tag in TABLE_CONTEXT and everywhere["table"]:
+            continue  # holds nothing here
+        if tag in STRUCTURE and everywhere["table"]:
+            at_table = len(stack) - 1
+            while stack[at_table].tag not in BARRIERS and stack[at_table].tag not in TABLE_CONTEXT:
+                at_table -= 1
+            if stack[at_table].tag in TABLE_CONTEXT:  # what moved before the table ends
+                while len(stack) > at_table + 1:
+                    pop()
         if tag in ENDS_P:
             close(("p",), BARRIERS)
         if tag in CLOSES:
@@ -210,7 +250,7 @@ def parse(source: str) -> Element:
         if tag not in VOID and tag not in RAW and tag not in PLAIN:
             push(element)
             continue
-        stack[-1].children.append(element)
+        add(element)
         if tag in RAW or tag in PLAIN:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
             inside = source[at:end.start() if end else n]
@@ -267,26 +307,63 @@ class _Lines:
         self.gap = max(self.gap, blank)
 
 
-def _table(rows: list[list[tuple[str, int]]], out: _Lines) -> None:
-    """Rows of (cell text, columns spanned), padded into columns; a cell of several lines takes several lines."""
+def _wrapped(text: str) -> list[str]:
+    """Lines of a cell, long ones broken between words."""
+    out = []
+    for line in text.split("\n"):
+        while len(line) > CELL_WIDTH:
+            at = line.rfind(" ", 1, CELL_WIDTH + 1)
+            at = line.find(" ", CELL_WIDTH) if at < 0 else at
+            if at < 0:
+                break
+            out.append(line[:at].rstrip())
+            line = line[at + 1:].lstrip()
+        out.append(line)
+    return out
+
+
+def _table(rows: list[list[tuple[str, int, int]]], out: _Lines) -> None:
+    """Rows of (cell text, columns, rows spanned), padded into columns; a cell of several lines takes several lines."""
+    taken: dict[int, int] = {}  # columns that cells of rows above cover: the last row that they do
+    grid: list[list[tuple[int, int, list[str]]]] = []  # first column, columns, lines of each cell
+    for r, row in enumerate(rows):
+        line, at = [], 0
+        reach = max((c for c, last in taken.items() if last >= r), default=-1)
+        for i, (text, span, down) in enumerate(row):
+            while taken.get(at, -1) >= r:
+                at += 1
+            line.append((at, span, _wrapped(text) if i < len(row) - 1 or reach > at else text.split("\n")))
+            if down > 1:
+                taken |= dict.fromkeys(range(at, min(at + span, SPANNED_COLUMNS)), r + down - 1)
+            at += span
+        grid.append(line)
     widths: dict[int, int] = {}
-    for row in rows:
-        at = 0
-        for text, span in row:
+    size = lambda lines: min(CELL_WIDTH, max(map(len, lines)))
+    for line in grid:
+        for at, span, lines in line:
             if span == 1:
-                widths[at] = max(widths.get(at, 0), min(CELL_WIDTH, max(map(len, text.split("\n")))))
-            at += span
-    for row in rows:
-        cells = [(text.split("\n"), span) for text, span in row]
-        for k in range(max((len(c) for c, _ in cells), default=0)):
-            line, at = [], 0
-            for lines, span in cells:
-                width = sum(widths.get(j, 0) for j in range(at, min(at + span, at + 64))) + 3 * (min(span, 64) - 1)
-                line.append((lines[k] if k < len(lines) else "").ljust(width))
-                at += span
-            joined = " | ".join(line).rstrip()
+                widths[at] = max(widths.get(at, 0), size(lines))
+    columns = sorted({at for line in grid for at, _, _ in line})
+    for line in grid:  # a cell over several columns that is wider than they are widens the last of those that have cells
+        for at, span, lines in line[:-1]:
+            if span > 1:
+                mine = [c for c in columns[bisect_left(columns, at):bisect_left(columns, at + span)]]
+                lack = size(lines) - sum(widths.get(c, 0) for c in mine) - 3 * (len(mine) - 1)
+                if lack > 0:
+                    widths[mine[-1]] = widths.get(mine[-1], 0) + lack
+    starts, x = {}, 0
+    for c in columns:
+        starts[c] = x
+        x += widths.get(c, 0) + 3
+    for line in grid:
+        for k in range(max((len(lines) for _, _, lines in line), default=0)):
+            joined = ""
+            for i, (at, _, lines) in enumerate(line):
+                if at > columns[0]:
+                    joined = joined.ljust(starts[at] - 3) + " | "
+                joined += lines[k] if k < len(lines) else ""
             if joined.strip(" |"):
-                out.parts = [joined]
+                out.parts = [joined.rstrip(" ")]
                 out.end()
 
 
@@ -294,14 +371,15 @@ def render(root: Element) -> str:
     """All visible text below ``root``."""
     out = _Lines()
     outer: list[tuple[_Lines, list]] = []  # flows that wait for a table to end, with that table's rows
-    rows: list[list[tuple[str, int]]] = []
-    numbers: list[int | None] = []  # of the open lists; None: bullets
-    pre = 0
+    rows: list[list[tuple[str, int, int]]] = []
+    numbers: list[tuple[int, int] | None] = []  # next number and step of the open lists; None: bullets
+    pre, shown = 0, True
     todo: list = [root]  # elements to enter, texts, and functions to call on leaving
     while todo:
         x = todo.pop()
         if isinstance(x, str):
-            out.verbatim(x) if pre else out.text(x)
+            if shown:
+                out.verbatim(x) if pre else out.text(x)
             continue
         if isinstance(x, Element):
             if not x.visible():
@@ -310,28 +388,32 @@ def render(root: Element) -> str:
             if tag == "br":
                 out.end(force=True)
                 continue
+            before, shown = shown, x.shown(shown)
             if tag in ("img", "input"):
-                shown = x.attributes.get("alt" if tag == "img" else "value", "")
-                if shown:
-                    out.text(f" {shown} ")
+                told = x.attributes.get("alt" if tag == "img" else "value", "")
+                if told and shown:
+                    out.text(f" {told} ")
+                shown = before
                 continue
             blank = 1 if tag in SPACED and not (tag in LISTS and numbers) and not rows and not outer else 0
             if tag in BLOCK:
                 if not (out.mark and not out.parts):
                     out.end(blank)
             if tag == "hr":
-                out.parts = ["---"]
+                out.parts = ["---"] if shown else []
                 out.end(blank)
             elif tag in LISTS:
-                start = x.attributes.get("start", "1")
-                numbers.append(int(start) if tag == "ol" and re.fullmatch(r"-?\d{1,9}", start) else 1 if tag == "ol" else None)
+                items = sum(isinstance(c, Element) and c.tag == "li" for c in x.children) if "reversed" in x.attributes else 1
+                step = -1 if "reversed" in x.attributes else 1
+                numbers.append((x.number("start", items, -10 ** 9), step) if tag == "ol" else None)
                 out.indent += 1
             elif tag == "li" and numbers:
-                out.mark = "- "
+                mark = "- "
                 if numbers[-1] is not None:
-                    value = x.attributes.get("value", "")
-                    number = int(value) if re.fullmatch(r"-?\d{1,9}", value) else numbers[-1]
-                    out.mark, numbers[-1] = f"{number}. ", number + 1
+                    number, step = x.number("value", numbers[-1][0], -10 ** 9), numbers[-1][1]
+                    mark, numbers[-1] = f"{number}. ", (number + step, step)
+                if shown:
+                    out.mark = mark
             elif tag in ("dd", "blockquote"):
                 out.indent += 1
             elif tag in ("pre", "textarea", "xmp"):
@@ -347,19 +429,24 @@ def render(root: Element) -> str:
                 if not rows:
                     rows.append([])
                 out = _Lines()
-            todo.append((x, blank))
-            todo += reversed(x.children)
+            children = x.children
+            if tag == "details" and "open" not in x.attributes:  # its first summary only
+                children = [c for c in children if isinstance(c, Element) and c.tag == "summary"][:1]
+            todo.append((x, blank, before))
+            todo += reversed(children)
             continue
-        x, blank = x  # leaving
+        x, blank, shown = x  # leaving
         tag = x.tag
         if tag in ("td", "th") and outer:
             out.end()
-            span = x.attributes.get("colspan", "1")
-            rows[-1].append(("\n".join(out.lines), int(span) if re.fullmatch(r"[1-9]\d{0,2}", span) else 1))
+            down = x.number("rowspan", 1, 0)
+            # The most columns and rows that a cell may span in HTML; 0 rows: all that follow.
+            rows[-1].append(("\n".join(out.lines), min(x.number("colspan", 1, 1), 1000), min(down, 65534) or 65534))
             out = outer[-1][0]
             continue
         if tag == "table":
             done, (out, rows) = rows, outer.pop()
+            out.end()
             _table([r for r in done if r], out)
             out.end(blank)
         elif tag in BLOCK:
@@ -386,7 +473,7 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     schema = T.StructType([pages.schema[c] for c in keep] + [T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__html", 4 << 20):
+        for batch in slices(batches, "__html", 1 << 20):
             texts = [page_text(x.as_py()) for x in column(batch, "__html")]
             yield pa.RecordBatch.from_arrays([column(batch, c) for c in keep] + [pa.array(texts, pa.string())], names=schema.names)
 

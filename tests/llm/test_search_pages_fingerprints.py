@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from claimsight.llm import ann, html_text, queries, winnowing
 from tests.conftest import SF0001, SF001
@@ -84,6 +86,67 @@ def test_page_with_formulas_drawings_and_empty_comments(source, text):
     assert html_text.page_text(source) == text
 
 
+LAYOUT_PAGES = [
+    ("x<table><tr><td>c</td></tr>stray</table>", "xstray\n\nc"),
+    ("<table><tr><td>c</td></tr><a href=x>link</a> tail</table>z", "link tail\n\nc\n\nz"),
+    ("<table><b><tr><td>x</table>y", "x\n\ny"), ("<table><form><tr><td>x</form></table>", "x"),
+    ("<table>a<tr>b<td>c<table>d<td>e</table></table>", "ab\n\ncd\ne"),
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>", "yes"),
+    ("<ul style=visibility:hidden><li>no<li style=visibility:visible>b</ul>", "- b"),
+    ("a<dialog>no</dialog><dialog open>yes</dialog>", "a\nyes"),
+    ("<details><summary>s</summary>no<summary>no</summary></details><details open><summary>t</summary>body</details>", "s\nt\nbody"),
+    ("<table><tr><td rowspan=2>A<td>b1<tr><td>b2</table>", "A | b1\n  | b2"),
+    ("<table><tr><td rowspan=0>A<td>1<td rowspan=2>x<tr><td>2<tr><td>3<td>y</table>", "A | 1 | x\n  | 2\n  | 3 | y"),
+    ("<table><tr><td>" + "x" * 60 + "<td>n<tr><td>a<td>b</table>", "x" * 60 + " | n\na" + " " * 60 + "| b"),
+    ("<table><tr><td colspan=2>spanning cell<td>z<tr><td>a<td>b<td>c</table>", "spanning cell | z\na | b         | c"),
+    ("<table><tr><td colspan=90>wide<td>z<tr><td>a<td>b</table>", "wide  | z\na | b"),
+    ("<table><tr><td>" + "word " * 30 + "<td>n</table>", ("word " * 16).strip() + " | n\n" + ("word " * 14).strip() + " " * 11 + "|"),
+    ("<table><tr><td>n<td>" + "word " * 30 + "</table>", "n | " + ("word " * 30).strip()),  # nothing follows: not broken
+    ("<ol reversed><li>a<li>b<li value=9>c<li>d</ol><ol reversed start=5><li>e</ol>", "4. a\n3. b\n9. c\n8. d\n\n5. e"),
+]
+
+
+@pytest.mark.parametrize("source, text", LAYOUT_PAGES)
+def test_page_layout(source, text):
+    assert html_text.page_text(source) == text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.randoms(use_true_random=False))
+def test_every_visible_text_of_a_tree_is_shown(rng):
+    """Random well-formed trees: each visible word is in the output once, no hidden one is."""
+    seen, unseen, n = [], [], [0]
+
+    def word(shown):
+        n[0] += 1
+        (seen if shown else unseen).append(f"w{n[0]}w")
+        return f" w{n[0]}w "
+
+    def node(depth, shown, there):
+        kind = rng.randrange(9)
+        inside = lambda s=shown, t=there: "".join(node(depth + 1, s, t) for _ in range(rng.randrange(1, 4)))
+        if depth > 4 or kind < 2:
+            return word(shown and there)
+        if kind == 2:
+            return f"<table>{'<caption>' + inside() + '</caption>' if rng.random() < 0.3 else ''}" + "".join(
+                "<tr>" + "".join(f"<td colspan={rng.randrange(1, 4)} rowspan={rng.randrange(0, 4)}>{inside()}</td>" for _ in range(rng.randrange(1, 4)))
+                + (word(shown and there) if rng.random() < 0.3 else "") + "</tr>" for _ in range(rng.randrange(1, 4))) + "</table>"
+        if kind == 3:
+            return f"<{(k := rng.choice(['ul', 'ol', 'ol reversed']))}>" + "".join(f"<li>{inside()}</li>" for _ in range(rng.randrange(1, 4))) + f"</{k[:2]}>"
+        if kind == 4:
+            return f"<div style='visibility:hidden'>{inside(False)}</div>"
+        if kind == 5:
+            return f"<span style='visibility:visible'>{inside(True)}</span>"
+        if kind == 6:
+            tag, gone = rng.choice([("dialog", True), ("dialog open", False), ("div hidden", True), ("section", False), ("details open", False)])
+            return f"<{tag}>{inside(shown, there and not gone)}</{tag.split()[0]}>"
+        return f"<{(k := rng.choice(['b', 'div', 'blockquote', 'pre', 'section']))}>{inside()}</{k}>"
+
+    source = "".join(node(0, True, True) for _ in range(4))
+    got = html_text.page_text(source).split()
+    assert sorted(w for w in got if w.startswith("w")) == sorted(seen)
+
+
 def test_deep_drawings():
     assert html_text.page_text("<svg>" + "<g>" * 30_000 + "<text>x") == "x"
     assert html_text.page_text("<math>" * 10_000 + "<mi>x") == "x"
