@@ -13,6 +13,9 @@ language.  Texts are scored in batches by two matrix products, presence x landma
 landmarks x languages, with the first one's rows divided by their norms; as both are linear, they
 are multiplied once into one ``DIM`` x languages matrix.
 
+A long text would fill all slots, so texts are scored in pieces of ``PIECE`` code points.  The scores of a text are the means of
+its pieces' scores, weighted by their lengths; shorter texts are one piece.
+
 The classifier is fitted on a bounded sample: about ``per_language`` texts of each learned value (all
 of them where there are fewer) and about ``most`` in all, chosen by a hash of the row.  A sampled text travels as its bit
 vector (``DIM`` / 8 bytes, whatever its length).  Scoring reads whole texts.
@@ -40,8 +43,10 @@ from claimsight.llm import common as C
 SIZES = (1, 2, 3, 4)
 #: Hash slots of the presence vectors.
 DIM = 1 << 15
-#: Texts per matrix product.
+#: Texts or pieces of texts per matrix product.
 BATCH = 128
+#: Code points of a piece. Few enough that a piece of anything leaves most slots empty.
+PIECE = 4096
 UNKNOWN = "und"
 
 
@@ -55,9 +60,8 @@ def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return points, np.concatenate(([0], np.cumsum(sizes))), sizes > 2
 
 
-def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """0/1 matrix (texts x ``DIM``) of hashed n-grams, and whether each text has a letter."""
-    points, off, has_letter = code_points(texts)
+def _bits(points: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """0/1 matrix (pieces x ``DIM``) of the hashed n-grams of each piece ``points[off[i]:off[i + 1]]``."""
     out = np.zeros((len(off) - 1, DIM), np.float32)
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
     end = np.repeat(off[1:], np.diff(off))
@@ -71,10 +75,26 @@ def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             ok = at[:len(h)] + n <= end[:len(h)]
             slot = (((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 15)).astype(np.int64)
             flat[(base[:len(h)] + slot)[ok]] = 1
+    return out
+
+
+def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """0/1 matrix (texts x ``DIM``) of hashed n-grams, and whether each text has a letter."""
+    points, off, has_letter = code_points(texts)
+    out = _bits(points, off)
     out[~has_letter] = 0
     return out, has_letter
 
 
+def pieces(off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of pieces of at most ``PIECE`` code points of each text, and the text that each is of."""
+    sizes = np.diff(off)
+    many = np.maximum(-(-sizes // PIECE), 1)
+    owner = np.repeat(np.arange(len(sizes)), many)
+    first = np.cumsum(many) - many
+    return off[:-1][owner] + (np.arange(len(owner)) - first[owner]) * PIECE, owner
+
+
 @dataclass
 class Classifier:
     """``weights``: landmarks folded into the languages, ``DIM`` x languages; scores are
@@ -90,13 +110,19 @@ class Classifier:
         shares = []
         batch = pa.RecordBatch.from_arrays([texts], names=["t"])
         for part in C.slices([batch], "t", 1 << 20):
-            for at in range(0, len(part), BATCH):
-                x, has_letter = presence(C.column(part, "t").slice(at, BATCH))
+            points, off, has_letter = code_points(C.column(part, "t"))
+            starts, owner = pieces(off)
+            ends = np.append(starts[1:], len(points))
+            total = np.zeros((len(part), len(self.languages)))
+            for at in range(0, len(starts), BATCH):
+                to = min(at + BATCH, len(starts))
+                cuts = np.append(starts[at:to], ends[to - 1])
+                x = _bits(points[cuts[0]:cuts[-1]], cuts - cuts[0])
                 f = x @ self.weights / np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1) + self.bias
-                f = np.maximum(f, 1e-6)
-                best = f.argmax(axis=1)
-                names += [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, has_letter)]
-                shares.append(np.where(has_letter, f.max(axis=1) / f.sum(axis=1), 0.0))
+                np.add.at(total, owner[at:to], np.maximum(f, 1e-6) * np.diff(cuts)[:, None])
+            best = total.argmax(axis=1)
+            names += [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, has_letter)]
+            shares.append(np.where(has_letter, total.max(axis=1) / np.maximum(total.sum(axis=1), 1e-300), 0.0))
         return names, np.concatenate(shares) if shares else np.zeros(0)
 
 

@@ -113,3 +113,27 @@ def test_folded_weights_equal_the_kernel():
     want = (phi - centre) @ alpha + mean
     got = bits @ model.weights / np.sqrt(bits.sum(1, keepdims=True)) + model.bias
     assert np.allclose(got, want, atol=1e-4)
+
+
+def test_pieces_cover_the_texts():
+    off = np.array([0, 3, 3 + 2 * langid.PIECE, 5 + 2 * langid.PIECE, 6 + 3 * langid.PIECE])
+    starts, owner = langid.pieces(off)
+    assert owner.tolist() == [0, 1, 1, 2, 3, 3] and np.diff(np.append(starts, off[-1])).tolist() == [
+        3, langid.PIECE, langid.PIECE, 2, langid.PIECE, 1]
+
+
+def test_language_of_very_long_mixed_texts(spark):
+    """Prose and then as much of anything else (log lines, ids) as would fill every slot: still the prose's language."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("lang is not null and text is not null")
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, w)) for w in rng.integers(97, 123, (20_000, 7))]
+    by = {}
+    for r in docs.orderBy("doc_id").collect():
+        by[r.lang] = by.get(r.lang, "") + " " + r.text
+    names = sorted(by)
+    long = [(by[a] * (1 + 200_000 // len(by[a])))[:200_000] + " " + " ".join(words) for a in names]
+    got, shares = model.predict(pa.array(long))
+    assert got == names and (shares > 1 / len(names)).all()
+    alone, _ = model.predict(pa.array([(by[a] * (1 + 1_000_000 // len(by[a])))[:1_000_000] for a in names]))
+    assert alone == names
