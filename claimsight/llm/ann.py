@@ -12,8 +12,9 @@ one task that indexes its block, and the best of each block are merged per query
 in the index and every query meets every block.  Vectors with the same collision count pass
 together, so equal vectors are verified together and ties go to the smaller id.
 
-Vectors that are null, zero, hold null or non-finite components, or have another dimension than
-most, take no part.  Rows without an id take no part either.
+Vectors of different lengths have no inner product: each length is an index of its own, and a query's candidates are
+the vectors of its length.  Vectors that are null, zero, or hold null or non-finite components take no part.  Rows without an
+id take no part either.  Every group of queries gets a copy of every block, so the shuffle grows with blocks times groups.
 """
 
 from __future__ import annotations
@@ -101,33 +102,33 @@ def search(vectors: DataFrame, is_query: str, k: int, id: str, vector: str, proj
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     own = own.where(F.col("v").isNotNull() & finite).withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     own = own.where("norm2 > 0")
-    dims = (own.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("m"),
-            F.sum(F.col("q").cast("long")).alias("nq")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect())
+    # A row per vector length, each an index of its own: length, blocks, groups of queries, largest norm.
+    lengths = own.groupBy(F.size("v").alias("d")).agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("long").alias("blocks"),
+        F.greatest(F.ceil(F.count_if("q") / F.lit(group_rows)), F.lit(1)).cast("long").alias("groups"), F.sqrt(F.max("norm2")).alias("top"))
+    own = own.withColumn("d", F.size("v")).join(C.written(lengths, "vector-lengths"), "d")
     schema = "query_id long, vec_id long, score double"
-    dim, n, nq, top_norm = (dims[0]["d"], dims[0]["n"], dims[0]["nq"], float(np.sqrt(dims[0]["m"]))) if dims else (1, 0, 0, 1.0)
-    blocks, groups = max(1, -(-n // block_rows)), max(1, -(-nq // group_rows))
-    own = own.where(F.size("v") == dim)
-    stored = own.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
-                        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), "id", "v")
-    asked = own.where("q").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-                                  F.pmod(F.xxhash64("id", F.lit(7)), F.lit(groups)).cast("int").alias("grp"), "id", "v")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    stored = own.select("d", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), each("groups").alias("grp"), "id", "v", "top")
+    asked = own.where("q").select(F.col("d").alias("qd"), each("blocks").alias("qblock"), F.pmod(F.xxhash64("id", F.lit(7)), F.col("groups")).alias("qgrp"),
+                                  F.col("id").alias("qid"), F.col("v").alias("qv"))
 
-    def matrix(t: pa.Table) -> np.ndarray:
-        return C.column(t, "v").flatten().to_numpy(zero_copy_only=False).reshape(len(t), dim)
+    def matrix(t: pa.Table, v: str) -> np.ndarray:
+        return C.column(t, v).flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
 
     def run(block: pa.Table, group: pa.Table) -> pa.Table:
         q, v, s = [], [], []
         if len(block) and len(group):
-            index = Index(C.column(block, "id").to_numpy(), matrix(block), top_norm, projections)
-            qids = C.column(group, "id").to_numpy()
-            for qid, (ids, scores) in zip(qids, index.search(matrix(group), qids, k, threshold, verify_share)):
+            index = Index(C.column(block, "id").to_numpy(), matrix(block, "v"), C.column(block, "top")[0].as_py(), projections)
+            qids = C.column(group, "qid").to_numpy()
+            for qid, (ids, scores) in zip(qids, index.search(matrix(group, "qv"), qids, k, threshold, verify_share)):
                 q.append(np.full(len(ids), qid))
                 v.append(ids)
                 s.append(scores)
         join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
         return pa.table({"query_id": join(q, pa.int64()), "vec_id": join(v, pa.int64()), "score": join(s, pa.float64())})
 
-    found = stored.groupBy("block", "grp").cogroup(asked.groupBy("block", "grp")).applyInArrow(run, schema)
+    found = stored.groupBy("d", "block", "grp").cogroup(asked.groupBy("qd", "qblock", "qgrp")).applyInArrow(run, schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -25,6 +25,22 @@ def test_recall_and_order(spark):
     assert total == 20 * (ids % 20 == 0).sum() and hit / total >= 0.9
 
 
+def test_recall_of_every_length(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=d)]) for d, ids in ((8, range(0, 900)), (24, range(1000, 1600))) for i in ids]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, e array<double>"), "vec_id % 20 = 0", 10, "vec_id", "e", block_rows=400, group_rows=20).toPandas()
+    for d, low, high in ((8, 0, 900), (24, 1000, 1600)):
+        ids = np.array([i for i, _ in rows if low <= i < high])
+        v = np.array([x for i, x in rows if low <= i < high])
+        hit = total = 0
+        for q in ids[ids % 20 == 0]:
+            s = v @ v[q - low]
+            s[q - low] = -np.inf
+            mine = set(got[got.query_id == q].vec_id)
+            hit, total = hit + len(mine & set(ids[np.lexsort((ids, -s))[:10]])), total + 10
+        assert len(mine) == 10 and hit / total >= 0.9
+
+
 def test_search_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 5.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]),
@@ -34,6 +50,11 @@ def test_search_edges(spark):
         got = ann.search(vectors, "vec_id % 10 = 0", 3, "vec_id", "e", block_rows=block_rows, group_rows=1).collect()
         assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [
             (0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 3, 0.0), (10, 1, 3, 2.5), (10, 2, 0, -1.0), (10, 3, 1, -2.0)]
+    # A query of another length finds the vectors of its own length.
+    other = spark.createDataFrame([(20, [1.0, 0.0, 2.0]), (21, [3.0, 1.0, 1.0]), (22, [0.0, 0.0, 1.0]), (30, [2.0])], "vec_id long, e array<float>")
+    got = ann.search(vectors.select("vec_id", "e").union(other), "vec_id % 10 = 0", 3, "vec_id", "e").collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got if r.query_id >= 20) == [
+        (20, 1, 21, 5.0), (20, 2, 22, 2.0), (30, 1, 9, 2.0)]
     many = ann.search(vectors, "vec_id = 0", 50, "vec_id", "e").collect()
     assert [r.vec_id for r in sorted(many, key=lambda r: r["rank"])] == [1, 2, 3, 10]
     assert ann.search(vectors.limit(0), "true", 3, "vec_id", "e").count() == 0
