@@ -338,7 +338,7 @@ def ale(rows: DataFrame, scorer: Scorer, feature: str, bins: int = 20) -> DataFr
                       "n", "effect", "heterogeneity", (F.col("__acc") - centre).alias("ale"))
 
 
-def ale_all(rows: DataFrame, scorer: Scorer, features: Sequence[str], bins: int = 20, sample: int | None = 3000,
+def ale_all(rows: DataFrame, scorer: Scorer, features: Sequence[str], bins: int = 20, sample: int | None = 10_000,
             id_col: str = "Claim_ID", seed: int = K.RANDOM_STATE) -> DataFrame:
     """``ale`` of several numeric features over one seeded sample of rows (None: all rows), with a ``feature`` column."""
     if sample is not None:

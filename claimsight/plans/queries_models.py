@@ -380,3 +380,15 @@ def q_ale_model(spark, sf):
         return tm.model.transform(d).withColumn("prediction", F.expm1("prediction"))
 
     return X.ale(test, scorer, "Driver_Age", bins=10)
+
+
+@register("ale_model_features")
+def q_ale_model_features(spark, sf):
+    """ALE of every numeric feature on a boosted-tree model, over 10,000 sampled training claims."""
+    _, train, _, tm = _fitted_gbt(spark, sf)
+
+    def scorer(d):
+        return tm.model.transform(d).withColumn("prediction", F.expm1("prediction"))
+
+    feats = [c for c in K.NUMERIC_FEATURES if c in train.columns]
+    return X.ale_all(train.select("Claim_ID", *feats, *[c for c in K.CATEGORICAL_FEATURES if c in train.columns]), scorer, feats)
