@@ -33,44 +33,76 @@ PRIME, BASE, PLACES = (1 << 31) - 1, 1_000_003, 1 << 31
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def _units(text: str, units: str) -> Column:
-    solid = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANKS))
+def _solid(text: Column) -> Column:
+    """``text`` without blanks at its ends and with every run of blanks as one space."""
+    # Single spaces, which are most of the blanks, stay without a replacement.
+    return F.regexp_replace(F.btrim(text, F.lit(BLANKS)), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+
+
+def _unit_hashes(text: Column, units: str) -> Column:
+    text = F.coalesce(text, F.lit(""))
     if units == WORDS:
+        solid = F.btrim(text, F.lit(BLANKS))
         parts = F.split(solid, r"[\x20\x09-\x0D]+")
-    elif units == CHARACTERS:  # single spaces, which are most of the blanks, stay without a replacement
-        parts = F.split(F.regexp_replace(solid, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " "), "")
+    elif units == CHARACTERS:
+        solid = _solid(text)
+        parts = F.split(solid, "")
     else:
         raise ValueError(f"unknown units: {units}")
-    return F.when(solid == "", F.array().cast("array<string>")).otherwise(parts)
+    parts = F.when(solid == "", F.array().cast("array<string>")).otherwise(parts)
+    return F.transform(parts, lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME)))
 
 
 def _step(a: Column, b: Column, base: int = BASE) -> Column:
     return (a * F.lit(base) + b) % F.lit(PRIME)
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, units: str = WORDS) -> DataFrame:
-    """``df`` with a column ``out``: the fingerprint of ``text``. Row-wise; uses columns named ``__w*``."""
-    df = df.withColumn("__wh", F.transform(_units(text, units), lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))))
-    df, have = df.withColumn("__wg", F.col("__wh")), 1
+def _with_minima(df: DataFrame, h: str, out: str, k: int, w: int, offset: Column | None = None) -> DataFrame:
+    """``df`` with a column ``out``: the minimum of every window of grams of the unit hashes ``h``; the first unit is at ``offset``."""
+    df, have = df.withColumn("__wg", F.col(h)), 1
     while have < k:  # grams of 2, 4, ... units from two halves, then one unit more at a time
         step = have if 2 * have <= k else 1
         m = F.greatest(F.size("__wg") - step, F.lit(0))
-        more = F.slice("__wg" if step == have else "__wh", F.lit(have + 1), m)
+        more = F.slice("__wg" if step == have else h, F.lit(have + 1), m)
         shift = pow(BASE, step, PRIME)
         df = df.withColumn("__wg", F.zip_with(F.slice("__wg", F.lit(1), m), more, lambda a, b: _step(a, b, shift)))
         have += step
-    n = F.size("__wh")
-    whole = F.array(F.aggregate("__wh", F.lit(0).cast("long"), lambda a, b: _step(a, b)))
+    n = F.size(h)
+    whole = F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, b: _step(a, b)))
     # An empty array has no gram; one to k - 1 units are one gram.
     grams = F.when(n >= k, F.col("__wg")).when(n > 0, whole).otherwise(F.array().cast("array<long>"))
-    df = df.withColumn("__wv", F.transform(grams, lambda g, i: g * F.lit(PLACES) + (F.lit(PLACES - 1) - i))).drop("__wh", "__wg")
+    last = F.lit(PLACES - 1) if offset is None else F.lit(PLACES - 1) - offset
+    df = df.withColumn(out, F.transform(grams, lambda g, i: g * F.lit(PLACES) + (last - i))).drop("__wg")
     have = 1
     while have < w:  # minimum of 2, 4, ... grams; the last step may overlap
         step = min(have, w - have)
-        df = df.withColumn("__wv", F.zip_with("__wv", F.slice("__wv", F.lit(step + 1), F.size("__wv")),
-                                              lambda a, b: F.least(a, b)))
+        df = df.withColumn(out, F.zip_with(out, F.slice(out, F.lit(step + 1), F.size(out)), lambda a, b: F.least(a, b)))
         have += step
-    return df.withColumn(out, F.array_distinct("__wv")).drop("__wv")
+    return df
+
+
+def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, units: str = WORDS) -> DataFrame:
+    """``df`` with a column ``out``: the fingerprint of ``text``. Row-wise; uses columns named ``__w*``."""
+    df = _with_minima(df.withColumn("__wh", _unit_hashes(F.col(text), units)), "__wh", "__wv", k, w)
+    return df.withColumn(out, F.array_distinct("__wv")).drop("__wh", "__wv")
+
+
+def _with_both(df: DataFrame, k: int, w: int) -> DataFrame:
+    """``df`` with ``fingerprint`` of ``__text`` and ``edited_fingerprint`` of ``__head`` (a prefix of ``__text``) and ``__tail`` together.
+
+    Units are characters, so the units of the head are the first ones of the text.  All windows that lie in them are the text's; only the
+    others are computed, from the last units of the head and those of the tail.
+    """
+    df = _with_minima(df.withColumn("__wh", _unit_hashes(F.col("__text"), CHARACTERS)), "__wh", "__wv", k, w)
+    df = df.withColumn("fingerprint", F.array_distinct("__wv")).withColumn("__wt", _unit_hashes(F.col("__tail"), CHARACTERS))
+    df = df.withColumn("__wm", F.length(_solid(F.col("__head")))).withColumn("__wo", F.greatest(F.col("__wm") - (k + w - 1), F.lit(0)))
+    blank = F.rtrim("__head", F.lit(BLANKS)) != F.col("__head")
+    blank = (blank | (F.ltrim("__tail", F.lit(BLANKS)) != F.col("__tail"))) & (F.col("__wm") > 0) & (F.size("__wt") > 0)
+    between = F.when(blank, F.array(F.pmod(F.xxhash64(F.lit(" ")), F.lit(PRIME)))).otherwise(F.array().cast("array<long>"))
+    df = df.withColumn("__we", F.concat(F.slice("__wh", F.col("__wo") + 1, F.col("__wm") - F.col("__wo")), between, F.col("__wt")))
+    df = _with_minima(df, "__we", "__wx", k, w, F.col("__wo"))
+    df = df.withColumn("edited_fingerprint", F.array_distinct(F.concat(F.slice("__wv", F.lit(1), F.col("__wo")), F.col("__wx"))))
+    return df.drop("__wh", "__wv", "__wt", "__wm", "__wo", "__we", "__wx")
 
 
 def hashes(fingerprint: str) -> Column:
@@ -128,10 +160,16 @@ def edited_and_next(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     rows = rows.withColumn("__next", F.lead("__text").over(order))
     n = F.length("__text")
     tail = F.floor(n / 4).cast("int")
-    rows = rows.withColumn("__edited", F.concat(F.substr("__text", F.lit(1), n - tail), F.substr("__next", F.lit(1), tail)))
-    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited_sha256", F.sha2("__edited", 256)).drop("__next")
-    rows = with_fingerprint(rows, "__text", "fingerprint", k, w, units).drop("__text")
-    rows = with_fingerprint(rows, "__edited", "edited_fingerprint", k, w, units).drop("__edited")
+    rows = rows.withColumn("__head", F.substr("__text", F.lit(1), n - tail)).withColumn("__tail", F.substr("__next", F.lit(1), tail))
+    rows = rows.withColumn("n_chars", n.cast("long")).drop("__next")
+    edited = F.concat("__head", F.coalesce("__tail", F.lit("")))
+    rows = rows.withColumn("edited_sha256", F.sha2(edited, 256))
+    if units == CHARACTERS:
+        rows = _with_both(rows.withColumn("__tail", F.coalesce("__tail", F.lit(""))), k, w).drop("__text")
+    else:
+        rows = with_fingerprint(rows.withColumn("__edited", edited), "__text", "fingerprint", k, w, units).drop("__text")
+        rows = with_fingerprint(rows, "__edited", "edited_fingerprint", k, w, units).drop("__edited")
+    rows = rows.drop("__head", "__tail")
     rows = rows.withColumn("__h", hashes("fingerprint")).withColumn("__e", hashes("edited_fingerprint"))
     rows = rows.withColumn("near_edited", likeness("__h", "__e")).drop("__h", "__e")
     # The rows are still in order (equal ids too), so the successor's hashes cost no further exchange or sort.

@@ -270,3 +270,39 @@ def test_query_sees_what_unspaced_texts_share(spark, tmp_path):
     spark.createDataFrame([(1, unspaced), (2, "0123456789" * 20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.near_edited for r in queries.op4_winnowing(spark, str(tmp_path)).collect()}
     assert 0 < got[1] < 1 and got[2] > 0
+
+
+@pytest.mark.parametrize("k, w", [(8, 8), (3, 1), (1, 4), (5, 3)])
+def test_edited_fingerprints_reuse_the_text(spark, k, w):
+    """The windows taken over from the text and the computed ones are those of the whole edited text, whatever the blanks at the cut."""
+    import random
+    rng = random.Random(k * w)
+    pick = lambda n: "".join(rng.choice("ab  \t\né中") for _ in range(n))
+    rows = [(i, pick(rng.choice([0, 1, 2, 3, 5, 9, 20, 60, 200]))) for i in range(250)] + [(250 + i, " " * i) for i in range(9)] + [
+        (300, "x" * 30 + " " * 10), (301, " " * 10 + "y" * 30), (302, "z" * 40), (303, "abc"), (304, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = winnowing.edited_and_next(docs, k=k, w=w, units=winnowing.CHARACTERS).orderBy("doc_id").collect()
+    for i, (r, (_, text)) in enumerate(zip(got, rows)):
+        text, following = text or "", rows[(i + 1) % len(rows)][1] or ""
+        q = len(text) // 4
+        edited_text = text[:len(text) - q] + following[:q]
+        numbers = lambda t: [h * 2 ** 31 + 2 ** 31 - 1 + j for h, j in by_characters(t, k, w)]
+        assert r.fingerprint == numbers(text) and r.edited_fingerprint == numbers(edited_text) and r.edited_sha256 == brute.sha(edited_text)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.randoms(use_true_random=False))
+def test_a_shared_run_of_characters_has_a_common_fingerprint(spark_rows, rng):
+    """The match guarantee, on the operator itself: texts that share k + w - 1 characters share a fingerprint."""
+    k, w = winnowing.CHARACTER_K, winnowing.CHARACTER_W
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    run = "q" + make(k + w - 3).replace(" ", "r") + "q"
+    rows = [(i, "".join(rng.choice("uvwxyz") for _ in range(rng.randrange(40))) + run + make(rng.randrange(40))) for i in range(20)]
+    out = winnowing.with_fingerprint(spark_rows(rows), "text", "f", k, w, winnowing.CHARACTERS).collect()
+    sets = [{x >> 31 for x in r.f} for r in out]
+    assert all(a & b for a in sets for b in sets)
+
+
+@pytest.fixture(scope="module")
+def spark_rows(spark):
+    return lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
