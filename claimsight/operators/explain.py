@@ -5,8 +5,8 @@ the model's ``transform`` (or any ``DataFrame -> DataFrame`` scorer), so the
 work is spread over the executors and grows linearly with the rows explained:
 
 * X1 Shapley sampling: each explained row is paired, per sample, with one
-  background row chosen by hash (an equi-join to a size-bounded, broadcast
-  background -- never a cross product), and one random feature order; the
+  background row chosen by hash (an equi-join to a written background of
+  bounded size -- never a cross product), and one random feature order; the
   "with" and "without" rows for every feature are scored together.
   ``shapley_adaptive`` walks along each order and its reverse, keeps running
   variances, and goes on only with the rows whose standard error is too large.
@@ -110,7 +110,7 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
     """Sampled Shapley contributions of ``features`` for every row of ``rows``.
 
     Background: at most ``background_rows`` rows of ``background`` (a seeded
-    sample -- its size is the proven bound that makes the broadcast safe).
+    sample, written once).
     For sample ``s`` of row ``i``: background row ``hash(i, s) mod B`` and
     feature order by ``hash(i, s, f)``.  Output long: ``id, feature,
     contribution`` averaged over samples; contributions of a row sum to
@@ -123,6 +123,7 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
     bg = bg.select(*[F.col(f).alias(f"__b_{f}") for f in feats])
     # index the (bounded) background 0..B-1; the window sees at most B rows
     bg = bg.withColumn("__bidx", F.row_number().over(Window.orderBy(*[f"__b_{f}" for f in feats])) - 1)
+    bg = materialize(rows.sparkSession, bg, f"shapley_background/{uuid.uuid4().hex}")
     n_bg = bg.count()
     if n_bg == 0:
         raise ValueError("empty background")
@@ -130,7 +131,7 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, scorer: Scorer, fea
              .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
              .withColumn("__bidx", F.pmod(hash60(F.col(id_col), F.col("__s"), F.lit(seed)),
                                           F.lit(n_bg)).cast("int")))
-    pairs = pairs.join(F.broadcast(bg), "__bidx")
+    pairs = pairs.join(bg, "__bidx")
     # The explained rows often come from a top-n sample (a single partition);
     # spread the (row, sample) pairs before the features x 2 expansion.
     n_parts = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -208,6 +208,13 @@ for _n in ML.BUILDERS:
     _register_fit(_n)
 
 
+@register("train_default_models")
+def q_train_default_models(spark, sf):
+    """Elastic net, forest and boosting with the reference's default settings (100 trees), all scored on the test split (M5-M7)."""
+    train, test = train_test_split(prepared(spark, sf))
+    return ML.metrics_table(spark, ML.train_all(train, test, ["elastic_net", "random_forest", "gradient_boosting"])).drop("params")
+
+
 @register("tune_elastic_net")
 def q_tune_elastic_net(spark, sf):
     """Grid search with 5 hash folds over all 56 points of the elastic net."""
