@@ -2,7 +2,8 @@
 
 Each match of the splitting pattern is encoded separately, without special tokens, exactly as
 ``Encoding.encode_ordinary`` does on the whole text.  Long texts are first cut where a match of
-the pattern is sure to end, so that memory and the regex stack stay bounded:
+the pattern is sure to end, so that pieces stay short; a long text without any such place (one run of letters, say) is
+one piece, whose memory grows with its length:
 
 * before a space that follows a letter, digit or punctuation mark and precedes one: no match of
   the pattern crosses that point, whatever stands before it;

@@ -7,6 +7,9 @@ Mahalanobis log-density difference, computed with Cholesky factors that are fact
 driver and cached in the model.  A two-parameter logistic map, fitted on scores of models that
 did not see the row (folds), turns the difference into a probability.
 
+Null and empty texts have the zero-size vector and a score like any other; repeated rows count as often as they occur; empty
+tables give empty results, and without labels of both kinds every score is 0.5.
+
 Fitting uses every labelled row: Spark aggregates counts, sums and cross products per class and
 fold, so the driver sees a few small matrices whatever the size of the corpus.
 """

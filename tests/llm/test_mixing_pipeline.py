@@ -162,6 +162,39 @@ def test_queries_take_odd_rows(spark, odd_dir):
         assert query(spark, odd_dir).count() == n, name
 
 
+def test_other_queries_take_odd_rows(spark, odd_dir):
+    """The operators on other tables, and those whose rows are not the documents'."""
+    for t, schema in (("pages", "page_id long, url string, html string, text string"), ("embeddings", "vec_id long, embedding array<float>, label int, id int"),
+                      ("conversations", "conv_id long, turn long, role string, text string, cost int")):
+        rows = {"pages": [(1, None, None, "t"), (None, "u", "<p>a", "t"), (2, "u", "", "t"), (2, "u", "", "t")],
+                "embeddings": [(0, [1.0] * 8, None, 1), (0, [1.0] * 8, None, 1), (None, [2.0] * 8, 3, 1), (20, None, 3, 1), (40, [None] * 8, 3, 1), (60, [], 3, 1)],
+                "conversations": [(None, None, None, None, 1), (1, 0, "user", "hi.", 1), (1, 0, "user", "hi.", 1), (1, None, "", " ", 1)]}[t]
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{odd_dir}/{t}.parquet")
+    run = lambda name, d: next(q for k, q in queries.QUERIES.items() if k.startswith(name + "_"))(spark, d)
+    assert run("op3", odd_dir).count() == 4
+    assert [(r.query_id, r.vec_id) for r in run("op2", odd_dir).collect()] == []  # a query's own id is no candidate
+    assert run("op11", odd_dir).count() == 4 and {r.label_error for r in run("op11", odd_dir).where("vec_id = 0").collect()} == {0}
+    assert {r.conv_id for r in run("op13", odd_dir).collect()} == {None, 1}
+    n = spark.read.parquet(f"{odd_dir}/documents.parquet").count()
+    assert run("op12", odd_dir).count() == n and run("op7", odd_dir).count() > 0 and run("op6", odd_dir).count() > 0
+    d = tempfile.mkdtemp(prefix="claimsight-none-")
+    for t in ("pages", "embeddings", "conversations", "documents"):
+        spark.read.parquet(f"{odd_dir}/{t}.parquet").limit(0).write.parquet(f"{d}/{t}.parquet")
+    for name in ("op2", "op3", "op11", "op12", "op13"):
+        assert run(name, d).count() == 0, name
+
+
+def test_different_texts_under_one_id_are_kept(spark, odd_dir):
+    """Rows of one id are compared by their texts: equal rows and near copies go, other texts stay."""
+    text = " ".join(f"a{i}" for i in range(60))
+    other = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, text), (5, text + " end"), (5, other), (5, other), (7, other + " end"), (7, "third text of all"), (9, other)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    got = sorted((r.doc_id, r.text) for r in P.one_of_each_group(spark, docs, odd_dir).collect())
+    # The copies of the second text: the one with a unique id stays.
+    assert got == sorted([(1, text), (9, other), (7, "third text of all")])
+
+
 def test_library_without_these_folders():
     """The rest imports and lists its queries when the folders are gone."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
