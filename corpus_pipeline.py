@@ -50,7 +50,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     again = written(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if again.isEmpty():
         found = written(minmax.near_duplicates(docs, SHINGLE, SIMILAR), "groups")
-        gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+        # Written first: Spark then knows its size, and moves no texts to it if it is small.
+        gone = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
         return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     own = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])
     of = {c: F.col(f"__c{i}") for i, c in enumerate(docs.columns)}
@@ -59,7 +60,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     key = F.xxhash64(of["doc_id"], F.md5(F.coalesce(of["text"], F.lit("")).cast("binary"))).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     own = written(own.withColumn("__node", F.when(F.col("__again").isNotNull(), key).otherwise(of["doc_id"])), "nodes")
     found = written(minmax.near_duplicates(own.select("__node", of["text"].alias("text")), SHINGLE, SIMILAR, id="__node"), "groups")
-    gone = found.where("__node <> component_id").select("__node").distinct()
+    gone = written(found.where("__node <> component_id").select("__node").distinct(), "gone")
     kept = own.join(gone, "__node", "left_anti")
     every = F.struct(*[of[c].alias(c) for c in docs.columns])
     once = kept.where("__again is not null").groupBy("__node").agg(F.min_by(every, F.xxhash64(*of.values())).alias("row"))
