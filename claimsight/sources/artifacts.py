@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
-import json
 from typing import Any
 
 from pyspark.ml import PipelineModel

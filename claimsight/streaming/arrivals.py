@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from claimsight import config as K
 from claimsight.operators.features import estimate_features, flags, upload_features
 from claimsight.sources.files import csv_stream, typed_or_rejected
 
