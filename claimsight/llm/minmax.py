@@ -103,7 +103,7 @@ def _features(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
     salt = C.mixed(np.arange(1, bands + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, "__text", 2 << 20):
+        for batch in C.slices(batches, "__text", 1 << 20):
             sets = shingle_sets(C.column(batch, "__text"), k)
             full = [i for i, s in enumerate(sets) if len(s)]
             digest, sig, keys = [None] * len(sets), [None] * len(sets), [None] * len(sets)
@@ -140,7 +140,7 @@ def _alike(pairs: DataFrame, percent: int, values: int) -> DataFrame:
 def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """``id``, ``shingles``: full sets of the documents in ``ids``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, "__text", 2 << 20):
+        for batch in C.slices(batches, "__text", 1 << 20):
             sets = [s.view(np.int64) for s in shingle_sets(C.column(batch, "__text"), k)]
             yield pa.RecordBatch.from_arrays([C.column(batch, "id"), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["id", "shingles"])

@@ -69,7 +69,7 @@ class _Slice:
 
 def _parsed(texts: pa.Array, width: int) -> list[_Slice]:
     batch = pa.RecordBatch.from_arrays([texts], names=["t"])
-    return [_Slice(C.column(b, "t"), width) for b in C.slices([batch], "t", 4 << 20)]
+    return [_Slice(C.column(b, "t"), width) for b in C.slices([batch], "t", 1 << 20)]
 
 
 def cut(s: _Slice, repeated: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
