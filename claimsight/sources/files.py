@@ -126,6 +126,10 @@ def lost_numbers(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return raw.agg(*[F.count_if((text[c] != "") & text[c].try_cast(t).isNull()).alias(c) for c, t in kinds.items()])
 
 
+#: Columns of a record that reach Python one by one; those beyond go as an array, only if one of them has a value.
+_NEAR_COLUMNS = 16
+
+
 def csv_stream(spark: SparkSession, in_dir: str, columns: Sequence[str], max_files_per_trigger: int | None = None,
                most_columns: int = 256) -> DataFrame:
     """Arriving header CSV files as a stream of text ``columns``, found by name in the header of each file.
@@ -134,17 +138,24 @@ def csv_stream(spark: SparkSession, in_dir: str, columns: Sequence[str], max_fil
     columns are left out.  A file without one of the columns, or with more than ``most_columns``, stops the stream.
     """
     width = most_columns + 1
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    reader = spark.readStream.schema(wide).options(**_QUOTED).option("header", False).option("multiLine", True)
+    # With a column more than is read, the parser fills short records up; otherwise each column that a record lacks costs an exception.
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
+    reader = spark.readStream.schema(wide).options(**_QUOTED).option("header", False).option("multiLine", True).option("columnPruning", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(in_dir).select("*", F.col("_metadata.file_path").alias("file"))
+    near = min(_NEAR_COLUMNS, width)
+    far = [F.col(f"c{i}") for i in range(near, width)]
+    rest = F.when(F.coalesce(*far).isNotNull(), F.array(*far)) if far else F.lit(None).cast("array<string>")
+    raw = reader.csv(in_dir).select(*[f"c{i}" for i in range(near)], rest.alias("rest"), F.col("_metadata.file_path").alias("file"))
     columns = list(columns)
 
+    def column(batch: pa.RecordBatch, i: int) -> pa.Array:
+        return batch.column(i) if i < near else pc.list_element(batch.column(near), i - near)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, places, crlf = None, [], -1
         for batch in batches:
-            files = batch.column(width).to_pylist()
+            files = batch.column(near + 1).to_pylist()
             at = 0
             while at < len(files):
                 end = at + 1
@@ -152,7 +163,8 @@ def csv_stream(spark: SparkSession, in_dir: str, columns: Sequence[str], max_fil
                     end += 1
                 if files[at] != now:
                     now = files[at]
-                    header = [batch.column(i)[at].as_py() for i in range(width)]
+                    header = [batch.column(i)[at].as_py() for i in range(near)]
+                    header += batch.column(near)[at].as_py() or [None] * (width - near)
                     names = [(c or "").removeprefix("\ufeff").strip() for c in header]
                     missing = [c for c in columns if c not in names]
                     if missing or header[most_columns] is not None:
@@ -161,7 +173,7 @@ def csv_stream(spark: SparkSession, in_dir: str, columns: Sequence[str], max_fil
                     last = max(i for i, c in enumerate(header) if c is not None)
                     crlf = last if header[last].endswith("\r") else -1
                     at += 1
-                values = [batch.column(i).slice(at, end - at) for i in places]
+                values = [column(batch, i).slice(at, end - at) for i in places]
                 yield pa.RecordBatch.from_arrays([pc.utf8_rtrim(v, "\r") if i == crlf else v for i, v in zip(places, values)], names=columns)
                 at = end
 
@@ -222,17 +234,22 @@ def read_upload(spark: SparkSession, path: str, header_schema: T.StructType | No
     return raw.withColumns({c: expr for c, (expr, _) in casts.items()})
 
 
+#: Most rows of a written CSV file.
+_FILE_ROWS = 100_000
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Scored rows to CSV with a header, no index.
 
-    Written in parallel, one file per partition; timestamps as text.  Fields with quotes, commas or line breaks are
+    Written in parallel, at least one file per partition (a file with line breaks is read by one task, so none gets
+    over ``_FILE_ROWS`` rows); timestamps as text.  Fields with quotes, commas or line breaks are
     quoted and their quotes doubled; white space stays as it is.  NULL is an empty field, which reads back as NULL, as does empty text.
     """
     out = df.select(*[F.col(f.name).cast("string").alias(f.name)
                       if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType, T.DateType,
                                                  T.ArrayType, T.MapType, T.StructType))
                       else F.col(f.name) for f in df.schema.fields])
-    (out.write.mode(mode).options(**_QUOTED).option("header", True)
+    (out.write.mode(mode).options(**_QUOTED).option("header", True).option("maxRecordsPerFile", _FILE_ROWS)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

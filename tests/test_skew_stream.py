@@ -140,3 +140,33 @@ def test_null_keys_are_counted_when_asked(spark):
     assert merge_claims_policies(claims, policies, most_null_pairs=6).count() == 7
     with pytest.raises(ValueError):
         merge_claims_policies(claims, policies, most_null_pairs=5)
+
+
+def test_stream_rows_stay_narrow_and_far_columns_are_found(spark, tmp_dir):
+    """Records reach Python in a few columns, with short ones filled up by the parser; columns beyond the narrow part are still found by name."""
+    from claimsight.sources.files import _NEAR_COLUMNS, csv_stream
+    more = [f"x{i}" for i in range(2 * _NEAR_COLUMNS)]
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.csv", "w", newline="") as f:
+        f.write(",".join(["a", *more, "b"]) + "\r\n" + ",".join(["1", *more, '"two,\nlines"']) + "\r\n")
+    with open(f"{tmp_dir}/in/b.csv", "w") as f:
+        f.write("a,b\n3,4\n2\n")
+    rows = csv_stream(spark, f"{tmp_dir}/in", ["a", "b"])
+    plan = rows._jdf.queryExecution().analyzed()
+    assert plan.child().output().size() == _NEAR_COLUMNS + 2
+    assert plan.child().child().output().size() > 257  # one column more than is read
+    rows.writeStream.format("parquet").option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("1", "two,\nlines"), ("2", None), ("3", "4")], key=str)
+
+
+def test_a_large_partition_is_exported_and_kept_in_several_files(spark, tmp_dir, monkeypatch):
+    from claimsight.plans import scoring
+    from claimsight.sources import files
+    monkeypatch.setattr(files, "_FILE_ROWS", 100)
+    monkeypatch.setattr(scoring, "_FILE_ROWS", 100)
+    one = spark.range(250).coalesce(1)
+    files.export_csv(one, f"{tmp_dir}/csv")
+    kept = scoring.materialize(spark, one, "several_files")
+    assert [len(x.inputFiles()) for x in (spark.read.csv(f"{tmp_dir}/csv"), kept)] == [3, 3]
+    assert kept.count() == 250
