@@ -60,8 +60,8 @@ def q_level_pipeline(spark, sf):
     df = prepared(spark, sf).withColumn("Policy_ID", F.col("Policy_ID").cast("string"))
     train, _ = train_test_split(df)
     prep = L.fit_level_pipeline(train, [], ["Policy_ID", "Claim_Type"], most_levels=200, buckets=64)
-    dense = vector_to_array("features")
-    at = F.filter(F.sequence(F.lit(0), F.size(dense) - 1), lambda i: F.get(dense, i) != 0)
+    # The vector is an argument, not a part of the lambda, which would turn it into an array again at every slot.
+    at = F.array_compact(F.transform(vector_to_array("features"), lambda x, i: F.when(x != 0, i)))
     out = prep.transform(df).select("Claim_ID", at.alias("at"))
     return out.select("Claim_ID", F.col("at")[0].alias("policy_slot"), F.col("at")[1].alias("type_slot"), F.size("at").alias("entries"))
 

@@ -238,3 +238,13 @@ def test_rollup_limits(spark, tmp_dir):
     flat = sorted(a for a, n in ((r["amount"], r["n"]) for r in values.collect()) for _ in range(n))
     for rank in (0, 1, 299, len(flat) - 1):
         assert _weighted_rank(values, rank, final_rows=5) == _weighted_rank(values, rank) == flat[rank]
+
+
+def test_level_pipeline_opens_each_vector_once(spark):
+    """The vector is not turned into an array again at every slot."""
+    from claimsight.plans.queries_scale import q_level_pipeline
+    out = q_level_pipeline(spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().analyzed().toString()
+    lambdas = [line for line in plan.splitlines() if "lambdafunction(" in line]
+    assert lambdas and not any("UDF(" in line.split("lambdafunction(", 1)[1] for line in lambdas)
+    assert {r["entries"] for r in out.collect()} == {2}
