@@ -295,3 +295,19 @@ def test_linear_pipeline_contributions_add_up(spark, prepared):
     sums = out.groupBy("Claim_ID").agg(F.sum("contribution").alias("s"))
     off = tm.model.transform(test).select("Claim_ID", "prediction").join(sums, "Claim_ID").agg(F.max(F.abs(F.col("prediction") - F.col("s") - mean))).first()[0]
     assert off < 1e-9
+
+
+def test_preprocessing_reads_written_columns(spark, monkeypatch):
+    """Statistics of the preprocessing read written columns: features are derived once, also for a search; a column without any value is allowed."""
+    from claimsight.operators import ml as ML
+    derived = spark.range(60).select(F.col("id").alias("Claim_ID"), (F.col("id") % 7).cast("double").alias("n"), F.lit(None).alias("none"),
+                                     F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("c"), (F.col("id") + 1.0).alias(ML.K.TARGET))
+    fit, read = ML.fit_feature_pipeline, []
+    monkeypatch.setattr(ML, "fit_feature_pipeline", lambda rows, *a: read.append(rows) or fit(rows, *a))
+    some = {"numeric": ["n", "none"], "categorical": ["c"]}
+    _, vec = ML.training_vectors(derived, **some)
+    assert vec.count() == 60
+    _, table = ML.tune(derived, "elastic_net", {"regParam": [0.1]}, folds=2, **some)
+    assert table.count() == 1
+    assert [r.columns for r in read] == [["n", "none", "c", "label"], ["n", "none", "c", "label", "__fold"]]
+    assert all(r.inputFiles() and all("/training/" in f for f in r.inputFiles()) for r in read)
