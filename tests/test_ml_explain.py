@@ -311,3 +311,11 @@ def test_preprocessing_reads_written_columns(spark, monkeypatch):
     assert table.count() == 1
     assert [r.columns for r in read] == [["n", "none", "c", "label"], ["n", "none", "c", "label", "__fold"]]
     assert all(r.inputFiles() and all("/training/" in f for f in r.inputFiles()) for r in read)
+
+
+def test_training_vectors_are_dealt_over_files(spark, monkeypatch):
+    from claimsight.operators import ml as ML
+    monkeypatch.setattr(ML, "VECTOR_FILE_ROWS", 20)
+    rows = spark.range(50).coalesce(1).select(F.col("id").cast("double").alias("n"), (F.col("id") + 1.0).alias(ML.K.TARGET))
+    _, vec = ML.training_vectors(rows, ["n"], [])
+    assert len(vec.inputFiles()) == 3 and vec.count() == 50
