@@ -319,3 +319,27 @@ def test_training_vectors_are_dealt_over_files(spark, monkeypatch):
     rows = spark.range(50).coalesce(1).select(F.col("id").cast("double").alias("n"), (F.col("id") + 1.0).alias(ML.K.TARGET))
     _, vec = ML.training_vectors(rows, ["n"], [])
     assert len(vec.inputFiles()) == 3 and vec.count() == 50
+
+
+@pytest.mark.parametrize("name, points", [("random_forest", 24)])
+def test_tree_searches_cover_the_configured_grid(spark, monkeypatch, name, points):
+    """Every configured point and all five folds, over all training claims."""
+    import inspect
+
+    from claimsight.plans import queries_models as Q
+
+    asked = {}
+    signature = inspect.signature(ML.tune)
+
+    def tune(*a, **b):
+        call = signature.bind(*a, **b)
+        call.apply_defaults()
+        asked.update(call.arguments)
+        return None, spark.createDataFrame([({}, 1.0)], "params map<string,string>, cv_rmsle double")
+
+    monkeypatch.setattr(Q.ML, "tune", tune)
+    assert getattr(Q, f"q_tune_{name}")(spark, SF0001).count() == 1
+    grid = asked["grid"] or ML.GRIDS[asked["name"]]
+    assert asked["name"] == name and asked["folds"] == ML.K.CV_FOLDS and asked["train_scores"]
+    assert grid == ML.GRIDS[name] and ML.grid_size(name) == points
+    assert asked["train"].count() == train_test_split(Q.prepared(spark, SF0001))[0].count()
