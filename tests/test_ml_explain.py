@@ -321,7 +321,7 @@ def test_training_vectors_are_dealt_over_files(spark, monkeypatch):
     assert len(vec.inputFiles()) == 3 and vec.count() == 50
 
 
-@pytest.mark.parametrize("name, points", [("random_forest", 24)])
+@pytest.mark.parametrize("name, points", [("random_forest", 24), ("gradient_boosting", 27)])
 def test_tree_searches_cover_the_configured_grid(spark, monkeypatch, name, points):
     """Every configured point and all five folds, over all training claims."""
     import inspect
@@ -343,3 +343,29 @@ def test_tree_searches_cover_the_configured_grid(spark, monkeypatch, name, point
     assert asked["name"] == name and asked["folds"] == ML.K.CV_FOLDS and asked["train_scores"]
     assert grid == ML.GRIDS[name] and ML.grid_size(name) == points
     assert asked["train"].count() == train_test_split(Q.prepared(spark, SF0001))[0].count()
+
+
+def test_boosted_models_of_a_search_grow_side_by_side(spark, prepared, monkeypatch):
+    """Depths and steps share every pass, past a checkpoint too, and score like MLlib's own fits; rows without a fold are scored only."""
+    T, labelled, prep = _vectors(spark, prepared)
+    monkeypatch.setattr(T, "tree_scores", lambda *a: pytest.fail("fitted one by one"))
+    grid = {"maxIter": [3, 12], "stepSize": [0.3], "maxDepth": [1, 2]}
+    fold = F.when(F.col("Claim_ID") % 50 != 0, ML.cv_fold(2))
+    vec, points, sums = T.search(labelled, prep, "gradient_boosting", ML.gradient_boosting, grid, 2, fold)
+    for i in (0, 2):  # at depth 1 no two features part the rows alike
+        model = ML.gradient_boosting(**points[i]).fit(vec.where("fold <> 1"))
+        assert sums[1].measures("held")[i][0] == pytest.approx(_rmsle(model, vec, "fold = 1"), rel=1e-9)
+        assert sums[1].measures("used")[i][0] == pytest.approx(_rmsle(model, vec, "fold is null or fold <> 1"), rel=1e-9)
+
+
+def test_split_candidates_of_a_boosted_search():
+    from claimsight.operators.boosting import Layout, _candidates
+    v = np.array([0.0, 0.0, 1.0, 2.0, 2.0, 4.0])
+    assert _candidates(v, 6, 5).tolist() == [0.5, 1.5, 3.0]
+    assert _candidates(np.arange(1.0, 101.0), 100, 3).tolist() == [25.5, 50.5, 75.5]
+    assert _candidates(np.zeros(4), 4, 3).tolist() == []
+    layout = Layout([0], [[1, 2], [3]], [[np.array([0.5])]], 2)
+    codes = layout.codes(np.array([[0.2, 1, 0, 0], [0.9, 0, 1, 1], [0.5, 0, 0, 1]]))
+    assert codes.tolist() == [[0, 1, 0], [1, 5, 3]] and layout.hot(3)[1].tolist() == [False] * 3 + [True] * 3
+    with pytest.raises(ValueError):
+        layout.codes(np.array([[0.2, 1, 1, 0]]))
