@@ -369,3 +369,16 @@ def test_split_candidates_of_a_boosted_search():
     assert codes.tolist() == [[0, 1, 0], [1, 5, 3]] and layout.hot(3)[1].tolist() == [False] * 3 + [True] * 3
     with pytest.raises(ValueError):
         layout.codes(np.array([[0.2, 1, 1, 0]]))
+
+
+def test_several_models_are_evaluated_on_written_test_rows(spark, prepared, monkeypatch):
+    """Features of the test split are derived once for all models, whose metrics are those of the derived rows."""
+    train, test = train_test_split(prepared)
+    evaluate, read = ML.evaluate_model, []
+    monkeypatch.setattr(ML, "evaluate_model", lambda rows, *a: read.append(rows) or evaluate(rows, *a))
+    some = {"numeric": ["Driver_Age", "Estimate_Relative_to_Type"], "categorical": ["Claim_Type"]}
+    models = ML.train_all(train, test, ["elastic_net", "gradient_boosting"], {"elastic_net": {"regParam": 0.01}, "gradient_boosting": {"maxIter": 2}}, **some)
+    assert all(r.inputFiles() and all("/training/" in f for f in r.inputFiles()) for r in read) and len(read) == 2
+    for tm in models:
+        want = ML.run_metrics(evaluate(test, tm.model))
+        assert tm.metrics.keys() == want.keys() and all(tm.metrics[k] == pytest.approx(want[k], rel=1e-9) for k in want)
